@@ -41,6 +41,8 @@ GOLD_TARGET_CUTOFF = "1999-12-31 00:00:00"
 GOLD_PREV_WATERMARK = "1999-10-01 00:00:00"
 GOLD_OVERLAP_SECONDS = 60
 
+LINK_CUTOFF = "1996-12-31 00:00:00"     # all-key link table split
+
 LINEITEM_PK = ["l_orderkey", "l_linenumber"]
 LINEITEM_CURSOR = "l_shipdate"
 LINEITEM_TIE = ["l_partkey", "l_suppkey", "l_extendedprice"]

@@ -158,4 +158,136 @@ def _sql() -> dict[str, str]:
     return q
 
 
-ORACLE_SQL = _sql()
+def upsert_select(t: str, s: str, tcols, scols, pk) -> str:
+    on = " AND ".join(f"t.{k} = s.{k}" for k in pk)
+    out = []
+    for c in list(tcols) + [c for c in scols if c not in tcols]:
+        t_val = f"t.{c}" if c in tcols else "NULL"
+        out.append(f"CASE WHEN s.sp THEN s.{c} ELSE {t_val} END AS {c}" if c in scols
+                   else f"{t_val} AS {c}")
+    return (f"SELECT {', '.join(out)} FROM (SELECT *, TRUE AS tp FROM {t}) t "
+            f"FULL OUTER JOIN (SELECT *, TRUE AS sp FROM {s}) s ON {on}")
+
+
+GOLD_COLS = ["order_id", "customer_id", "status", "total", "modified_at", "priority"]
+
+# DuckDB type names -> catalog types (same rule as functions.types)
+CATALOG_TYPE_CASE = """CASE
+  WHEN column_type LIKE '%[]' OR column_type LIKE 'STRUCT%' OR column_type LIKE 'MAP%' THEN 'string'
+  WHEN column_type = 'BOOLEAN' THEN 'boolean'
+  WHEN column_type IN ('TINYINT', 'SMALLINT', 'INTEGER') THEN 'int'
+  WHEN column_type IN ('BIGINT', 'HUGEINT') THEN 'bigint'
+  WHEN column_type = 'FLOAT' THEN 'float'
+  WHEN column_type = 'DOUBLE' THEN 'double'
+  WHEN column_type = 'DATE' THEN 'date'
+  WHEN column_type LIKE 'TIMESTAMP%' THEN 'timestamp'
+  WHEN column_type LIKE 'DECIMAL%' THEN lower(column_type)
+  WHEN column_type = 'BLOB' THEN 'binary'
+  ELSE 'string' END"""
+
+SCHEMA_TABLES = ("region nation customer supplier part orders lineitem events documents "
+                 "embeddings pages benchmark labels conversations").split()
+
+
+def infer_schema_sql() -> str:
+    parts = [f"SELECT '{t}' AS dataset, '{t}' AS table_name, "
+             f"CAST(row_number() OVER () AS INTEGER) AS ordinal, column_name, "
+             f"{CATALOG_TYPE_CASE} AS column_type FROM (DESCRIBE SELECT * FROM {t})"
+             for t in SCHEMA_TABLES]
+    return "\nUNION ALL\n".join(parts)
+
+
+def _sql_gold() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["watermark_filter"] = (f"SELECT * FROM orders WHERE o_orderdate >= "
+                             f"{ts(fx.GOLD_PREV_WATERMARK)} - INTERVAL {fx.GOLD_OVERLAP_SECONDS} SECOND")
+    q["map_columns"] = ("SELECT CAST(o_orderkey AS BIGINT) AS order_id, CAST(o_custkey AS BIGINT) AS "
+                        "customer_id, o_orderstatus AS status, CAST(o_totalprice AS DOUBLE) AS total, "
+                        "CAST(o_orderdate AS TIMESTAMP) AS modified_at, o_orderpriority AS priority, "
+                        "CAST(NULL AS VARCHAR) AS comment FROM orders")
+    q["watermark_max"] = (
+        "SELECT greatest(max(TRY_CAST(CASE WHEN o_orderstatus = 'P' THEN 'not a timestamp' "
+        "ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS TIMESTAMP)), "
+        f"{ts(fx.GOLD_PREV_WATERMARK)}) AS watermark FROM orders")
+    q["upsert_overwrite"] = (f"WITH {fx.SILVER_ORDERS_SQL}, {fx.GOLD_TARGET_SQL}, {fx.GOLD_SOURCE_SQL} "
+                             + upsert_select("gold_target", "gold_source", GOLD_COLS, GOLD_COLS,
+                                             fx.ORDERS_PK))
+    q["gold_load"] = q["upsert_overwrite"]
+    cut = ts(fx.LINK_CUTOFF)
+    q["upsert_do_nothing"] = (
+        f"WITH t AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_shipdate <= {cut}), "
+        f"s AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_shipdate > {cut}) "
+        "SELECT * FROM t UNION ALL SELECT * FROM s WHERE NOT EXISTS "
+        "(SELECT 1 FROM t WHERE t.l_orderkey = s.l_orderkey AND t.l_partkey = s.l_partkey)")
+    q["watermark_upsert"] = (
+        f"WITH store AS (SELECT 'orders' AS source_table, max(o_orderdate) AS last_watermark, "
+        f"{ts(fx.RUN_TS_1)} AS updated_at FROM orders WHERE o_orderdate <= {ts(fx.GOLD_TARGET_CUTOFF)} "
+        f"UNION ALL SELECT 'events', max(ts), {ts(fx.RUN_TS_1)} FROM events "
+        f"WHERE ts < {ts(fx.SPLIT_DATE + ' 00:00:00')}), "
+        f"new AS (SELECT 'orders' AS source_table, max(o_orderdate) AS last_watermark, "
+        f"{ts(fx.RUN_TS_2)} AS updated_at FROM orders UNION ALL "
+        f"SELECT 'lineitem', max(l_shipdate), {ts(fx.RUN_TS_2)} FROM lineitem) "
+        + upsert_select("store", "new", ["source_table", "last_watermark", "updated_at"],
+                        ["source_table", "last_watermark", "updated_at"], ["source_table"]))
+    q["reconcile_missing_keys"] = (
+        f"{TARGET_CTES},\n{SOURCE_CTE}\n SELECT target.*, NOT EXISTS (SELECT 1 FROM source s "
+        f"WHERE s.entity_id = target.entity_id AND s.event_type = target.event_type) AS is_deleted "
+        f"FROM target")
+    cols = ["doc_id", "text", "lang", "source", "n_chars"]
+    vals = ", ".join(f"coalesce('\"' || replace(CAST({c} AS VARCHAR), '\"', '\"\"') || '\"', "
+                     f"'\\N')" for c in cols)
+    q["staging_csv"] = (f"SELECT doc_id, concat_ws(',', {vals}) AS line FROM "
+                        f"(SELECT doc_id, text, nullif(lang, 'de') AS lang, source, n_chars "
+                        f"FROM documents)")
+    q["sanitize_identifier"] = ("SELECT o_orderkey, o_orderpriority, regexp_replace(lower("
+                                "o_orderpriority), '[^a-z0-9_]', '_', 'g') AS table_name FROM orders")
+    q["normalize_prefix"] = (
+        "WITH p AS (SELECT event_id, CASE WHEN event_type = 'error' THEN '/' ELSE "
+        "'//lake/' || event_type || '//' END AS raw_prefix, 'part-' || event_id || '.parquet' AS name "
+        "FROM events), c AS (SELECT *, regexp_replace(raw_prefix, '^/+|/+$', '', 'g') AS clean FROM p), "
+        "n AS (SELECT event_id, raw_prefix, name, CASE WHEN clean = '' THEN '' ELSE clean || '/' END "
+        "AS prefix FROM c) SELECT event_id, raw_prefix, prefix, "
+        "substr(prefix || 'EVENTS/' || name, length(prefix) + 1) AS relative_key FROM n")
+    q["infer_schema"] = infer_schema_sql()
+    q["type_compat"] = (
+        "WITH s AS (" + infer_schema_sql() + "), m AS (SELECT table_name, column_name, "
+        "CASE column_type WHEN 'bigint' THEN 'bigint' WHEN 'int' THEN 'integer' "
+        "WHEN 'double' THEN 'double precision' WHEN 'float' THEN 'real' "
+        "WHEN 'timestamp' THEN 'timestamp without time zone' WHEN 'string' THEN 'character varying' "
+        "WHEN 'boolean' THEN 'boolean' WHEN 'date' THEN 'date' ELSE column_type END AS existing_type, "
+        "CASE column_type WHEN 'bigint' THEN 'BIGINT' WHEN 'int' THEN 'INT' "
+        "WHEN 'double' THEN 'DOUBLE PRECISION' WHEN 'float' THEN 'REAL' WHEN 'timestamp' THEN 'TIMESTAMP' "
+        "WHEN 'string' THEN 'TEXT' WHEN 'boolean' THEN 'BOOLEAN' WHEN 'date' THEN 'DATE' "
+        "ELSE upper(column_type) END AS configured_type FROM s), "
+        "n AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(lower(existing_type), "
+        "'^timestamp.*$', 'timestamp'), '^character varying.*$', 'text'), 'varchar', 'text')) AS ne, "
+        "trim(regexp_replace(regexp_replace(regexp_replace(lower(configured_type), "
+        "'^timestamp.*$', 'timestamp'), '^character varying.*$', 'text'), 'varchar', 'text')) AS nc "
+        "FROM m) SELECT table_name, column_name, existing_type, configured_type, ne = nc AS compatible "
+        "FROM n")
+    q["schema_diff"] = (
+        "WITH ex AS (SELECT column_name, " + CATALOG_TYPE_CASE + " AS t FROM (DESCRIBE SELECT "
+        "o_orderkey AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id, o_orderstatus AS status, "
+        "o_totalprice AS total, 'x' AS legacy_column FROM orders)), "
+        "conf AS (SELECT * FROM (VALUES ('order_id', 'bigint'), ('customer_id', 'bigint'), "
+        "('status', 'string'), ('total', 'double'), ('modified_at', 'timestamp'), "
+        "('priority', 'string')) v(column_name, t)) "
+        "SELECT 'add' AS kind, column_name, CAST(NULL AS VARCHAR) AS existing_type, t AS configured_type "
+        "FROM conf WHERE column_name NOT IN (SELECT column_name FROM ex) "
+        "UNION ALL SELECT 'extra', column_name, NULL, NULL FROM ex "
+        "WHERE column_name NOT IN (SELECT column_name FROM conf) "
+        "UNION ALL SELECT 'type_mismatch', c.column_name, e.t, c.t FROM conf c JOIN ex e "
+        "ON c.column_name = e.column_name WHERE e.t <> c.t "
+        "UNION ALL SELECT 'pk_mismatch', NULL, 'order_id,status', 'order_id'")
+    old_tgt = TARGET_CTES.replace(
+        f"target AS ({lineage_select('tgt_latest')})",
+        "target AS (" + lineage_select(
+            "tgt_latest", ["event_id", "entity_id", "event_type", "CAST(NULL AS DOUBLE) AS value",
+                           "cursor_ts", "legacy_col"]) + ")")
+    q["add_missing_columns"] = (f"{old_tgt},\n{SOURCE_CTE}\n"
+                                + merge_select("target", "source", SILVER_COLS, fx.EVENTS_PK,
+                                               fx.EVENTS_CURSOR, fx.RUN_TS_2))
+    return q
+
+
+ORACLE_SQL = {**_sql(), **_sql_gold()}

@@ -9,11 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .config import DateValidation, SilverDataset
-from .operators import (batch_state, date_anomaly_filter, date_columns_frame, exclude_columns,
-                        incremental_filter, key_violations, latest_per_key, lineage_columns,
-                        merge_outcome, null_profile, prune_null_columns, read_state)
+from .config import DateValidation, GoldTable, SilverDataset
+from .functions import (catalog_type, normalize_prefix, sanitize_identifier, strip_prefix, ts_lit,
+                        type_compatible)
+from .operators import (ColumnMap, add_missing_columns, batch_state, date_anomaly_filter,
+                        date_columns_frame, exclude_columns, incremental_filter, key_violations,
+                        latest_per_key, lineage_columns, map_columns, merge_outcome, null_profile,
+                        prune_null_columns, read_state, reconcile_missing_keys, schema_diff,
+                        schema_diff_frame, schema_pairs, upsert, watermark_filter, watermark_max)
 from .plans import silver_frames as sf
+from .plans.gold_frames import gold_source, gold_upsert, save_watermarks, watermark_rows
+from .sources.schema import infer_schema
+from .sources.staging import staging_csv
 
 EVENTS_DATASET = SilverDataset(
     name="events", pk=fx.EVENTS_PK, cursor=fx.EVENTS_CURSOR, mode="dedupe_latest",
@@ -143,3 +150,169 @@ def q_append_incremental(spark, sf_dir):
     added = sf.append_load(_bronze(spark, sf_dir), EVENTS_APPEND, VALIDATION, state,
                            fx.AS_OF, fx.RUN_TS_2)
     return first.unionByName(added)
+
+
+# ------------------------------------------------------------------ Gold
+
+ORDERS_GOLD = GoldTable(source_table="orders", target_table="dim_orders",
+                        primary_keys=fx.ORDERS_PK, columns=fx.ORDERS_MAPPING,
+                        watermark_column=fx.ORDERS_WATERMARK_COL, watermark_enabled=True)
+
+
+@query("watermark_filter")
+def q_watermark_filter(spark, sf_dir):
+    return watermark_filter(fx.table(spark, sf_dir, "orders"), fx.ORDERS_WATERMARK_COL,
+                            fx.GOLD_PREV_WATERMARK, fx.GOLD_OVERLAP_SECONDS)
+
+
+@query("map_columns")
+def q_map_columns(spark, sf_dir):
+    mapping = list(fx.ORDERS_MAPPING) + [ColumnMap("o_comment", "comment", "string")]
+    return map_columns(fx.table(spark, sf_dir, "orders"), mapping)
+
+
+@query("watermark_max")
+def q_watermark_max(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderstatus") == "P", F.lit("not a timestamp")).otherwise(
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    return watermark_max(o.select(text.alias("modified_text")), "modified_text",
+                         previous=fx.GOLD_PREV_WATERMARK)
+
+
+def _gold_source(spark, sf_dir):
+    return gold_source(fx.silver_orders(spark, sf_dir), ORDERS_GOLD, fx.GOLD_PREV_WATERMARK,
+                       fx.GOLD_OVERLAP_SECONDS)
+
+
+@query("upsert_overwrite")
+def q_upsert_overwrite(spark, sf_dir):
+    return gold_upsert(fx.gold_target(spark, sf_dir), _gold_source(spark, sf_dir), ORDERS_GOLD)
+
+
+@query("upsert_do_nothing")
+def q_upsert_do_nothing(spark, sf_dir):
+    li = fx.table(spark, sf_dir, "lineitem")
+    cut = ts_lit(fx.LINK_CUTOFF)
+    target = li.where(F.col("l_shipdate") <= cut).select("l_orderkey", "l_partkey").distinct()
+    source = li.where(F.col("l_shipdate") > cut).select("l_orderkey", "l_partkey").distinct()
+    return upsert(target, source, ["l_orderkey", "l_partkey"])
+
+
+@query("watermark_upsert")
+def q_watermark_upsert(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders")
+    e = fx.table(spark, sf_dir, "events")
+    li = fx.table(spark, sf_dir, "lineitem")
+    old = (o.where(F.col("o_orderdate") <= ts_lit(fx.GOLD_TARGET_CUTOFF))
+            .agg(F.lit("orders").alias("source_table"), F.max("o_orderdate").alias("last_watermark"))
+           .unionByName(e.where(F.col("ts") < ts_lit(fx.SPLIT_DATE))
+                        .agg(F.lit("events").alias("source_table"), F.max("ts").alias("last_watermark"))))
+    store = watermark_rows(old, fx.RUN_TS_1)
+    new = (o.agg(F.lit("orders").alias("source_table"), F.max("o_orderdate").alias("last_watermark"))
+            .unionByName(li.agg(F.lit("lineitem").alias("source_table"),
+                                F.max("l_shipdate").alias("last_watermark"))))
+    return save_watermarks(store, new, fx.RUN_TS_2)
+
+
+@query("reconcile_missing_keys")
+def q_reconcile_missing_keys(spark, sf_dir):
+    target = _split_target(spark, sf_dir)
+    src = sf.merge_source(_bronze(spark, sf_dir), EVENTS_DATASET, VALIDATION, read_state(target),
+                          fx.AS_OF)
+    return reconcile_missing_keys(target, src, fx.EVENTS_PK)
+
+
+@query("staging_csv")
+def q_staging_csv(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents").withColumn("lang", F.expr("nullif(lang, 'de')"))
+    return staging_csv(d, keep=["doc_id"])
+
+
+# ------------------------------------------------------------ identifiers
+
+@query("sanitize_identifier")
+def q_sanitize_identifier(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", "o_orderpriority",
+                    sanitize_identifier("o_orderpriority").alias("table_name"))
+
+
+@query("normalize_prefix")
+def q_normalize_prefix(spark, sf_dir):
+    e = fx.table(spark, sf_dir, "events")
+    raw = F.when(F.col("event_type") == "error", F.lit("/")).otherwise(
+        F.concat(F.lit("//lake/"), F.col("event_type"), F.lit("//")))
+    p = e.select("event_id", raw.alias("raw_prefix"),
+                 F.concat(F.lit("part-"), F.col("event_id").cast("string"), F.lit(".parquet")).alias("name"))
+    p = p.withColumn("prefix", normalize_prefix("raw_prefix"))
+    full = F.concat(F.col("prefix"), F.lit("EVENTS/"), F.col("name"))
+    return p.select("event_id", "raw_prefix", "prefix",
+                    strip_prefix(full, F.col("prefix")).alias("relative_key"))
+
+
+# ----------------------------------------------------------------- schema
+
+SCHEMA_TABLES = ("region nation customer supplier part orders lineitem events documents "
+                 "embeddings pages benchmark labels conversations").split()
+
+
+@query("infer_schema")
+def q_infer_schema(spark, sf_dir):
+    return infer_schema(spark, {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SCHEMA_TABLES})
+
+
+@query("type_compat")
+def q_type_compat(spark, sf_dir):
+    s = q_infer_schema(spark, sf_dir)
+    existing = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in _EXISTING_STYLE.items()
+                                                      for x in kv]), F.col("column_type")),
+                          F.col("column_type"))
+    configured = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in _DECLARED_STYLE.items()
+                                                        for x in kv]), F.col("column_type")),
+                            F.upper(F.col("column_type")))
+    return s.select("table_name", "column_name", existing.alias("existing_type"),
+                    configured.alias("configured_type"),
+                    type_compatible(existing, configured).alias("compatible"))
+
+
+# How a relational catalog reports each catalog type, and
+# how a mapping file typically declares it.
+_EXISTING_STYLE = {"bigint": "bigint", "int": "integer", "double": "double precision",
+                   "float": "real", "timestamp": "timestamp without time zone",
+                   "string": "character varying", "boolean": "boolean", "date": "date"}
+_DECLARED_STYLE = {"bigint": "BIGINT", "int": "INT", "double": "DOUBLE PRECISION", "float": "REAL",
+                   "timestamp": "TIMESTAMP", "string": "TEXT", "boolean": "BOOLEAN", "date": "DATE"}
+
+
+def _legacy_gold(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("order_id"),
+                    F.col("o_custkey").cast("string").alias("customer_id"),
+                    F.col("o_orderstatus").alias("status"),
+                    F.col("o_totalprice").alias("total"),
+                    F.lit("x").alias("legacy_column"))
+
+
+@query("schema_diff")
+def q_schema_diff(spark, sf_dir):
+    existing = _legacy_gold(spark, sf_dir)
+    configured = [(m.target, catalog_type(m.data_type)) for m in ORDERS_GOLD.columns]
+    existing_pk = ["order_id", "status"]
+    diff = schema_diff(configured, list(ORDERS_GOLD.primary_keys), schema_pairs(existing.schema),
+                       existing_pk)
+    return schema_diff_frame(spark, diff, existing_pk, list(ORDERS_GOLD.primary_keys))
+
+
+@query("add_missing_columns")
+def q_add_missing_columns(spark, sf_dir):
+    """Silver created while ``value`` was excluded; the config now keeps
+    it: the column is added (old rows NULL) and the next MERGE fills it."""
+    old_cfg = SilverDataset(name="events", pk=fx.EVENTS_PK, cursor=fx.EVENTS_CURSOR,
+                            exclude_columns=("valid_ts", "value"), tie_breakers=fx.EVENTS_TIE)
+    target = _split_target(spark, sf_dir, old_cfg)
+    bronze = _bronze(spark, sf_dir)
+    retained = bronze.select(*sf.retained_columns(bronze, EVENTS_DATASET)).schema
+    evolved = add_missing_columns(target, retained)
+    return sf.merge_load(evolved, bronze, EVENTS_DATASET, VALIDATION, read_state(target),
+                         fx.AS_OF, fx.RUN_TS_2)
