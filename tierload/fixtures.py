@@ -41,6 +41,8 @@ GOLD_TARGET_CUTOFF = "1999-12-31 00:00:00"
 GOLD_PREV_WATERMARK = "1999-10-01 00:00:00"
 GOLD_OVERLAP_SECONDS = 60
 
+CRAWL_CUTOFF = "2024-01-20 00:00:00"    # files older than this were crawled before
+REWRITE_DAY = "2024-01-15"              # files of this day were rewritten since
 LINK_CUTOFF = "1996-12-31 00:00:00"     # all-key link table split
 
 LINEITEM_PK = ["l_orderkey", "l_linenumber"]

@@ -290,4 +290,75 @@ def _sql_gold() -> dict[str, str]:
     return q
 
 
-ORACLE_SQL = {**_sql(), **_sql_gold()}
+PARSED_CTES = (
+    f"WITH {fx.BRONZE_PATHS_SQL},\n"
+    "f AS (SELECT *, string_split(key, '/') AS parts FROM bronze_paths),\n"
+    "g AS (SELECT *, parts[1] AS dataset, parts[2:-2] AS dirs, "
+    "list_filter(parts[2:-2], lambda x: instr(x, '=') > 1) AS pd FROM f "
+    "WHERE len(parts) >= 2 AND lower(parts[-1]) LIKE '%.parquet'),\n"
+    "parsed AS (SELECT event_id, key, last_modified, size, dataset, "
+    "list_transform(pd, lambda x: split_part(x, '=', 1)) AS raw_names, "
+    "list_transform(pd, lambda x: regexp_replace(lower(split_part(x, '=', 1)), '[^a-z0-9_]', '_', 'g')) AS names, "
+    "list_transform(pd, lambda x: substr(x, instr(x, '=') + 1)) AS vals, "
+    "dataset || '/' || array_to_string(dirs, '/') || '/' AS location FROM g)")
+
+
+def layout_ctes(src: str = "parsed", suffix: str = "") -> str:
+    return (f"lay{suffix} AS (SELECT dataset, arg_min(names, key) AS layout FROM {src} "
+            f"WHERE len(names) > 0 GROUP BY dataset),\n"
+            f"j{suffix} AS (SELECT p.*, l.layout, (len(p.names) = 0 OR "
+            f"COALESCE(p.names = l.layout, FALSE)) AS conforms "
+            f"FROM {src} p LEFT JOIN lay{suffix} l ON p.dataset = l.dataset)")
+
+
+def distinct_parts_cte(name: str, src: str) -> str:
+    return (f"{name} AS (SELECT dataset, vals, arg_min(location, key) AS location, "
+            f"any_value(layout) AS names FROM {src} WHERE len(names) > 0 AND conforms "
+            f"GROUP BY dataset, vals)")
+
+
+def _sql_paths() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["parse_partition_path"] = (
+        f"{PARSED_CTES} SELECT event_id, key, dataset, array_to_string(raw_names, '/') AS raw_names, "
+        "array_to_string(vals, '/') AS values, location FROM parsed")
+    q["dataset_summary"] = (
+        f"{PARSED_CTES},\n{layout_ctes()} SELECT dataset, count(*) AS n_files, "
+        "array_to_string(any_value(layout), ',') AS layout, "
+        "count(DISTINCT CASE WHEN len(names) > 0 AND conforms THEN array_to_string(vals, '/') END) "
+        "AS n_partitions, min(CASE WHEN conforms THEN key END) AS sample_file, "
+        "count(CASE WHEN len(names) > 0 AND NOT conforms THEN 1 END) AS n_incompatible, "
+        "regexp_replace(lower(dataset), '[^a-z0-9_]', '_', 'g') AS table_name FROM j GROUP BY dataset")
+    q["partition_layout_check"] = (
+        f"{PARSED_CTES},\n{layout_ctes()} SELECT dataset, key, array_to_string(names, ',') AS names, "
+        "array_to_string(layout, ',') AS layout FROM j WHERE len(names) > 0 AND NOT conforms")
+    q["distinct_partitions"] = (
+        f"{PARSED_CTES},\n{layout_ctes()},\n{distinct_parts_cte('d', 'j')} SELECT dataset, "
+        "array_to_string(vals, '/') AS values, location, array_to_string(names, ',') AS names FROM d")
+    cut = ts(fx.CRAWL_CUTOFF)
+    q["new_partitions"] = (
+        f"{PARSED_CTES},\n{layout_ctes()},\n{distinct_parts_cte('d', 'j')},\n"
+        f"old AS (SELECT * FROM parsed WHERE last_modified < {cut}),\n{layout_ctes('old', '2')},\n"
+        f"{distinct_parts_cte('r', 'j2')} SELECT dataset, array_to_string(vals, '/') AS values, "
+        "location, array_to_string(names, ',') AS names FROM d WHERE NOT EXISTS (SELECT 1 FROM r "
+        "WHERE r.dataset = d.dataset AND r.vals = d.vals)")
+    q["list_partitions"] = (f"WITH {fx.BRONZE_EVENTS_SQL} SELECT DISTINCT ingestion_date, batch_id "
+                            "FROM bronze_events")
+    listing = (f"listing AS (SELECT dataset, key, size + CASE WHEN CAST(last_modified AS DATE) = "
+               f"DATE '{fx.REWRITE_DAY}' THEN 1 ELSE 0 END AS length, last_modified AS modification_time "
+               f"FROM parsed)")
+    inv = (f"inv AS (SELECT dataset, key, size AS length, last_modified AS modification_time, "
+           f"{ts(fx.RUN_TS_1)} AS processed_at FROM parsed WHERE last_modified < {cut})")
+    changed = ("changed AS (SELECT * FROM listing l WHERE NOT EXISTS (SELECT 1 FROM inv i WHERE "
+               "i.dataset = l.dataset AND i.key = l.key AND i.length = l.length AND "
+               "i.modification_time = l.modification_time))")
+    q["changed_files"] = f"{PARSED_CTES},\n{listing},\n{inv},\n{changed} SELECT * FROM changed"
+    cols = ["dataset", "key", "length", "modification_time", "processed_at"]
+    q["file_inventory_upsert"] = (
+        f"{PARSED_CTES},\n{listing},\n{inv},\n{changed},\n"
+        f"chg AS (SELECT *, {ts(fx.RUN_TS_2)} AS processed_at FROM changed) "
+        + upsert_select("inv", "chg", cols, cols, ["dataset", "key"]))
+    return q
+
+
+ORACLE_SQL = {**_sql(), **_sql_gold(), **_sql_paths()}

@@ -19,6 +19,9 @@ from .operators import (ColumnMap, add_missing_columns, batch_state, date_anomal
                         schema_diff_frame, schema_pairs, upsert, watermark_filter, watermark_max)
 from .plans import silver_frames as sf
 from .plans.gold_frames import gold_source, gold_upsert, save_watermarks, watermark_rows
+from .sources.inventory import changed_files, inventory_upsert
+from .sources.paths import (dataset_summary, distinct_partitions, flatten, new_partitions,
+                            parse_keys, partition_layout_check)
 from .sources.schema import infer_schema
 from .sources.staging import staging_csv
 
@@ -316,3 +319,68 @@ def q_add_missing_columns(spark, sf_dir):
     evolved = add_missing_columns(target, retained)
     return sf.merge_load(evolved, bronze, EVENTS_DATASET, VALIDATION, read_state(target),
                          fx.AS_OF, fx.RUN_TS_2)
+
+
+# -------------------------------------------------------------- discovery
+
+def _parsed(spark, sf_dir):
+    return parse_keys(fx.bronze_paths(spark, sf_dir), "key")
+
+
+@query("parse_partition_path")
+def q_parse_partition_path(spark, sf_dir):
+    p = _parsed(spark, sf_dir)
+    return flatten(p.select("event_id", "key", "dataset", "raw_names", "values", "location"))
+
+
+@query("dataset_summary")
+def q_dataset_summary(spark, sf_dir):
+    return dataset_summary(_parsed(spark, sf_dir))
+
+
+@query("partition_layout_check")
+def q_partition_layout_check(spark, sf_dir):
+    return partition_layout_check(_parsed(spark, sf_dir))
+
+
+@query("distinct_partitions")
+def q_distinct_partitions(spark, sf_dir):
+    return flatten(distinct_partitions(_parsed(spark, sf_dir)))
+
+
+@query("new_partitions")
+def q_new_partitions(spark, sf_dir):
+    parsed = _parsed(spark, sf_dir)
+    registered = distinct_partitions(parsed.where(F.col("last_modified") < ts_lit(fx.CRAWL_CUTOFF)))
+    return flatten(new_partitions(distinct_partitions(parsed), registered))
+
+
+@query("list_partitions")
+def q_list_partitions(spark, sf_dir):
+    return _bronze(spark, sf_dir).select("ingestion_date", "batch_id").distinct()
+
+
+def _listing_now(spark, sf_dir):
+    p = _parsed(spark, sf_dir)
+    rewritten = F.to_date("last_modified") == F.lit(fx.REWRITE_DAY).cast("date")
+    return p.select("dataset", "key",
+                    (F.col("size") + F.when(rewritten, 1).otherwise(0)).alias("length"),
+                    F.col("last_modified").alias("modification_time"))
+
+
+def _inventory_before(spark, sf_dir):
+    p = _parsed(spark, sf_dir).where(F.col("last_modified") < ts_lit(fx.CRAWL_CUTOFF))
+    return p.select("dataset", "key", F.col("size").alias("length"),
+                    F.col("last_modified").alias("modification_time"),
+                    ts_lit(fx.RUN_TS_1).alias("processed_at"))
+
+
+@query("changed_files")
+def q_changed_files(spark, sf_dir):
+    return changed_files(_listing_now(spark, sf_dir), _inventory_before(spark, sf_dir))
+
+
+@query("file_inventory_upsert")
+def q_file_inventory_upsert(spark, sf_dir):
+    inv = _inventory_before(spark, sf_dir)
+    return inventory_upsert(inv, changed_files(_listing_now(spark, sf_dir), inv), fx.RUN_TS_2)
