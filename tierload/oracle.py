@@ -361,4 +361,17 @@ def _sql_paths() -> dict[str, str]:
     return q
 
 
-ORACLE_SQL = {**_sql(), **_sql_gold(), **_sql_paths()}
+def _sql_tables() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["gold_watermark_store"] = (f"SELECT 'orders' AS source_table, max(o_orderdate) AS last_watermark, "
+                                 f"{ts(fx.RUN_TS_1)} AS updated_at FROM orders")
+    # entry: Silver after initial load + MERGE, mapped to the serving table
+    q["entry"] = (f"{TARGET_CTES},\n{SOURCE_CTE},\nmerged AS ("
+                  + merge_select("target", "source", SILVER_COLS, fx.EVENTS_PK, fx.EVENTS_CURSOR,
+                                 fx.RUN_TS_2)
+                  + ") SELECT entity_id, event_type, CAST(value AS DOUBLE) AS last_value, "
+                    "cursor_ts AS modified_at, event_id AS last_event_id FROM merged")
+    return q
+
+
+ORACLE_SQL = {**_sql(), **_sql_gold(), **_sql_paths(), **_sql_tables()}

@@ -18,6 +18,11 @@ from .operators import (ColumnMap, add_missing_columns, batch_state, date_anomal
                         prune_null_columns, read_state, reconcile_missing_keys, schema_diff,
                         schema_diff_frame, schema_pairs, upsert, watermark_filter, watermark_max)
 from .plans import silver_frames as sf
+from .config import GoldSettings
+from .plans.flagship import flagship
+from .plans.gold import GoldLoad
+from .plans.silver import load_silver
+from .session import new_run_dir
 from .plans.gold_frames import gold_source, gold_upsert, save_watermarks, watermark_rows
 from .sources.inventory import changed_files, inventory_upsert
 from .sources.paths import (dataset_summary, distinct_partitions, flatten, new_partitions,
@@ -384,3 +389,74 @@ def q_changed_files(spark, sf_dir):
 def q_file_inventory_upsert(spark, sf_dir):
     inv = _inventory_before(spark, sf_dir)
     return inventory_upsert(inv, changed_files(_listing_now(spark, sf_dir), inv), fx.RUN_TS_2)
+
+
+# ------------------------------------------------------- written tables
+
+def _run_tag(spark) -> str:
+    return new_run_dir(spark, "q").rsplit("-", 1)[-1]
+
+
+@query("silver_rebuild")
+def q_silver_rebuild(spark, sf_dir):
+    """Load the first part, then rebuild from all of Bronze: the result
+    must equal an initial load over everything."""
+    prefix = f"silver_{_run_tag(spark)}_"
+    bronze = _bronze(spark, sf_dir)
+    first = bronze.where(F.col("ingestion_date") <= fx.SPLIT_DATE)
+    load_silver(spark, lambda _: first, [EVENTS_DATASET], VALIDATION, as_of=fx.AS_OF,
+                run_ts=fx.RUN_TS_2, table_prefix=prefix).collect()
+    load_silver(spark, lambda _: bronze, [EVENTS_DATASET], VALIDATION, rebuild=True,
+                as_of=fx.AS_OF, run_ts=fx.RUN_TS_1, table_prefix=prefix).collect()
+    return spark.table(f"{prefix}{EVENTS_DATASET.name}")
+
+
+@query("run_summary")
+def q_run_summary(spark, sf_dir):
+    """Silver loader summary over three datasets and two runs: initial
+    loads, then incremental MERGE / append; one dataset gated."""
+    prefix = f"silver_{_run_tag(spark)}_"
+    bronze = _bronze(spark, sf_dir)
+    first = bronze.where(F.col("ingestion_date") <= fx.SPLIT_DATE)
+    gated = SilverDataset(name="events_gated", pk=fx.EVENTS_PK, cursor=fx.EVENTS_CURSOR,
+                          mode="append_only", requires_confirmation=True, note="needs review")
+    datasets = [EVENTS_DATASET, EVENTS_APPEND, gated]
+    s1 = load_silver(spark, lambda _: first, datasets, VALIDATION, as_of=fx.AS_OF,
+                     run_ts=fx.RUN_TS_1, table_prefix=prefix)
+    s1 = spark.createDataFrame(s1.collect(), s1.schema).withColumn("run", F.lit(1))
+    s2 = load_silver(spark, lambda _: bronze, datasets, VALIDATION, as_of=fx.AS_OF,
+                     run_ts=fx.RUN_TS_2, table_prefix=prefix)
+    return s1.unionByName(s2.withColumn("run", F.lit(2)))
+
+
+@query("gold_load")
+def q_gold_load(spark, sf_dir):
+    """Existing Gold table + stored watermark, then one Gold run over
+    Silver orders: overlap read, typed mapping, upsert, watermark."""
+    tag = _run_tag(spark)
+    gold_prefix, wm_table = f"gold_{tag}_", f"gold_{tag}_watermarks"
+    loader = GoldLoad(spark, lambda _: fx.silver_orders(spark, sf_dir), GoldSettings(
+        watermark_overlap_seconds=fx.GOLD_OVERLAP_SECONDS), gold_prefix, wm_table,
+        run_ts=fx.RUN_TS_2)
+    loader.target(ORDERS_GOLD).write(fx.gold_target(spark, sf_dir))
+    store = loader.ensure_store()
+    store.write(save_watermarks(store.read(), spark.createDataFrame(
+        [("orders", None)], "source_table string, last_watermark string")
+        .withColumn("last_watermark", ts_lit(fx.GOLD_PREV_WATERMARK)), fx.RUN_TS_1))
+    loader.run([ORDERS_GOLD]).collect()
+    return spark.table(f"{gold_prefix}{ORDERS_GOLD.target_table}")
+
+
+@query("gold_watermark_store")
+def q_gold_watermark_store(spark, sf_dir):
+    """The watermark store after a first (full) Gold run of orders."""
+    tag = _run_tag(spark)
+    loader = GoldLoad(spark, lambda _: fx.silver_orders(spark, sf_dir), GoldSettings(),
+                      f"gold_{tag}_", f"gold_{tag}_watermarks", run_ts=fx.RUN_TS_1)
+    loader.run([ORDERS_GOLD]).collect()
+    return spark.table(f"gold_{tag}_watermarks")
+
+
+@query("entry")
+def q_entry(spark, sf_dir):
+    return flagship(spark, sf_dir)
