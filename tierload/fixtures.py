@@ -164,3 +164,27 @@ GOLD_SOURCE_SQL = """gold_source AS (
          CAST(o_orderdate AS TIMESTAMP) AS modified_at, CAST(o_orderpriority AS VARCHAR) AS priority
   FROM silver_orders
   WHERE o_orderdate >= TIMESTAMP '1999-10-01 00:00:00' - INTERVAL 60 SECOND)"""
+
+
+# ------------------------------------------------------- Bronze on disk
+
+_WRITTEN: dict = {}
+
+
+def write_bronze_files(spark: SparkSession, sf_dir: str) -> str:
+    """Write the Bronze fixtures as Hive-partitioned Parquet below a new
+    folder of the shared work dir (once per session and scale); return
+    the root.  Layout: ``EVENTS/ingestion_date=../batch_id=../part-*``
+    and ``Orders.v1/o_orderpriority=../part-*``."""
+    from .session import new_run_dir
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _WRITTEN:
+        return _WRITTEN[key]
+    root = new_run_dir(spark, "bronze")
+    parts = ["ingestion_date", "batch_id"]
+    (bronze_events(spark, sf_dir).repartition(*parts)
+        .write.partitionBy(*parts).parquet(f"{root}/EVENTS"))
+    (table(spark, sf_dir, "orders").repartition("o_orderpriority")
+        .write.partitionBy("o_orderpriority").parquet(f"{root}/Orders.v1"))
+    _WRITTEN[key] = root
+    return root

@@ -371,6 +371,13 @@ def _sql_tables() -> dict[str, str]:
                                  fx.RUN_TS_2)
                   + ") SELECT entity_id, event_type, CAST(value AS DOUBLE) AS last_value, "
                     "cursor_ts AS modified_at, event_id AS last_event_id FROM merged")
+    q["bronze_scan"] = f"WITH {fx.BRONZE_EVENTS_SQL} SELECT * FROM bronze_events"
+    q["bronze_table_scan"] = q["bronze_scan"]
+    q["catalog_partitions"] = (f"WITH {fx.BRONZE_EVENTS_SQL} SELECT DISTINCT ingestion_date, batch_id "
+                               "FROM bronze_events")
+    q["table_columns"] = (f"WITH {fx.BRONZE_EVENTS_SQL} SELECT column_name, {CATALOG_TYPE_CASE} AS "
+                          "data_type FROM (DESCRIBE SELECT * EXCLUDE (ingestion_date, batch_id) "
+                          "FROM bronze_events)")
     return q
 
 

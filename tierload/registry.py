@@ -24,6 +24,10 @@ from .plans.gold import GoldLoad
 from .plans.silver import load_silver
 from .session import new_run_dir
 from .plans.gold_frames import gold_source, gold_upsert, save_watermarks, watermark_rows
+from .plans.crawl import crawl
+from .sources.catalog import show_partitions
+from .sources.listing import bronze_scan, list_files
+from .sources.schema import table_columns
 from .sources.inventory import changed_files, inventory_upsert
 from .sources.paths import (dataset_summary, distinct_partitions, flatten, new_partitions,
                             parse_keys, partition_layout_check)
@@ -460,3 +464,59 @@ def q_gold_watermark_store(spark, sf_dir):
 @query("entry")
 def q_entry(spark, sf_dir):
     return flagship(spark, sf_dir)
+
+
+# ------------------------------------------------------ files and catalog
+
+@query("file_listing")
+def q_file_listing(spark, sf_dir):
+    root = fx.write_bronze_files(spark, sf_dir)
+    parsed = parse_keys(list_files(spark, root), "key")
+    return parsed.select("dataset", F.array_join("values", "/").alias("values"), "length")
+
+
+@query("bronze_scan")
+def q_bronze_scan(spark, sf_dir):
+    root = fx.write_bronze_files(spark, sf_dir)
+    return bronze_scan(spark, f"{root}/EVENTS", ["ingestion_date", "batch_id"])
+
+
+def _crawled(spark, sf_dir, plan_only=False):
+    root = fx.write_bronze_files(spark, sf_dir)
+    db = f"bronze_{_run_tag(spark)}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    summary = crawl(spark, root, "", db, plan_only=plan_only, inventory=f"{db}.crawler_files")
+    return db, summary
+
+
+@query("crawl_plan")
+def q_crawl_plan(spark, sf_dir):
+    return _crawled(spark, sf_dir, plan_only=True)[1]
+
+
+@query("register_table")
+def q_register_table(spark, sf_dir):
+    db, first = _crawled(spark, sf_dir)
+    root = fx.write_bronze_files(spark, sf_dir)
+    again = crawl(spark, root, "", db, inventory=f"{db}.crawler_files")   # re-crawl: no new partitions
+    return (spark.createDataFrame(first.collect(), first.schema).withColumn("run", F.lit(1))
+            .unionByName(again.withColumn("run", F.lit(2))))
+
+
+@query("table_columns")
+def q_table_columns(spark, sf_dir):
+    db, _ = _crawled(spark, sf_dir)
+    return table_columns(spark, f"{db}.events")
+
+
+@query("catalog_partitions")
+def q_catalog_partitions(spark, sf_dir):
+    db, _ = _crawled(spark, sf_dir)
+    return show_partitions(spark, f"{db}.events")
+
+
+@query("bronze_table_scan")
+def q_bronze_table_scan(spark, sf_dir):
+    """The registered Bronze table read back through the catalog."""
+    db, _ = _crawled(spark, sf_dir)
+    return spark.table(f"{db}.events")
