@@ -25,6 +25,9 @@ from .plans.silver import load_silver
 from .session import new_run_dir
 from .plans.gold_frames import gold_source, gold_upsert, save_watermarks, watermark_rows
 from .plans.crawl import crawl
+from .plans.tables import SnapshotTable
+from .sources.jdbc import JdbcTarget, derby_memory_url
+from .streaming.bronze_stream import stream_silver
 from .sources.catalog import show_partitions
 from .sources.listing import bronze_scan, list_files
 from .sources.schema import table_columns
@@ -520,3 +523,32 @@ def q_bronze_table_scan(spark, sf_dir):
     """The registered Bronze table read back through the catalog."""
     db, _ = _crawled(spark, sf_dir)
     return spark.table(f"{db}.events")
+
+
+# ------------------------------------------------------ external sinks
+
+@query("jdbc_upsert")
+def q_jdbc_upsert(spark, sf_dir):
+    """Gold orders into an in-process Derby database: initial rows, then
+    the watermark slice upserted through staging + one MERGE."""
+    target = JdbcTarget(spark, derby_memory_url())
+    table = "DIM_ORDERS"
+    target.upsert(fx.gold_target(spark, sf_dir), table, list(ORDERS_GOLD.primary_keys))
+    target.upsert(_gold_source(spark, sf_dir), table, list(ORDERS_GOLD.primary_keys))
+    return target.read(table)
+
+
+@query("stream_merge")
+def q_stream_merge(spark, sf_dir):
+    """Bronze files drained by an availableNow stream, several files per
+    micro-batch, each batch merged into Silver."""
+    root = fx.write_bronze_files(spark, sf_dir)
+    loc = f"{root}/EVENTS"
+    data_schema = spark.read.parquet(loc).schema
+    tag = _run_tag(spark)
+    table = SnapshotTable(spark, f"silver_stream_{tag}", key=fx.EVENTS_PK)
+    q = stream_silver(spark, loc, data_schema, ["ingestion_date", "batch_id"], table,
+                      EVENTS_DATASET, new_run_dir(spark, "stream-cp"), VALIDATION, fx.AS_OF,
+                      fx.RUN_TS_1, max_files_per_trigger=250)
+    q.awaitTermination()
+    return spark.table(table.name)
