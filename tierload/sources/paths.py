@@ -1,10 +1,10 @@
 """Object keys -> datasets, Hive partitions and table layouts.
 
-Keys are parsed with array expressions (no UDF).  Per-dataset facts
-(layout, counts, sample file) are aggregates with map-side partial
-aggregation; the per-dataset result is joined back, and AQE turns that
-join into a broadcast at runtime when the measured side is small.  No
-window partitions by dataset, so a dataset holding a third of all
+Keys are parsed with codegen'd string functions (no UDF, no lambdas).
+Per-dataset facts (layout, counts, sample file) are aggregates with
+map-side partial aggregation; only tiny per-dataset results are joined
+back, and AQE turns those joins into broadcasts after measuring them.
+No window partitions by dataset, so a dataset holding a third of all
 files is still spread over every task.
 """
 
@@ -22,6 +22,11 @@ NAME_SEP = ","
 VALUE_SEP = "/"
 
 
+# One ``name=value`` directory -- name is everything up to
+# the first ``=`` (non-empty), value the rest of the segment.
+PARTITION_SEGMENT = r"(?:^|/)([^/=]+)=([^/]*)"
+
+
 def parse_keys(df: DataFrame, key_col: str = "key", prefix: str = "") -> DataFrame:
     """Add ``dataset``, ``raw_names``, ``names`` (sanitised), ``values``
     and ``location`` to every key that is a Parquet file inside a
@@ -30,56 +35,89 @@ def parse_keys(df: DataFrame, key_col: str = "key", prefix: str = "") -> DataFra
     Dataset = first segment after the prefix; each later directory whose
     text has ``=`` after a non-empty name is a partition ``name=value``
     (the value keeps any further ``=``, may be empty); other directories
-    are skipped but stay part of the location.
+    are skipped but stay part of the location.  Only codegen'd string
+    functions are used (no per-element lambdas), so the parse stays in
+    whole-stage code and the pushed-down key filter stays cheap.
     """
     p = normalize_prefix_str(prefix)
-    rel = F.col(key_col).substr(F.lit(len(p) + 1), F.length(F.col(key_col)))
-    parts = F.split(rel, "/", -1)
-    n = F.size(parts)
-    dirs = F.slice(parts, F.lit(2), F.greatest(n - 2, F.lit(0)))
-    pdirs = F.filter(dirs, lambda x: F.instr(x, "=") > 1)
-    raw_names = F.transform(pdirs, lambda x: F.substring_index(x, "=", 1))
-    values = F.transform(pdirs, lambda x: x.substr(F.instr(x, "=") + 1, F.length(x)))
-    keep = (n >= 2) & F.lower(F.element_at(parts, -1)).endswith(PARQUET_SUFFIX)
-    dataset = F.element_at(parts, 1)
+    key = F.col(key_col)
+    rel = key.substr(F.lit(len(p) + 1), F.length(key))
+    keep = (F.instr(rel, "/") > 0) & F.lower(rel).endswith(PARQUET_SUFFIX)
+    dataset = F.substring_index(rel, "/", 1)
+    # directories between the dataset and the file name, "/"-joined
+    dirs = F.regexp_extract(rel, r"^[^/]*/(.*)/[^/]*$", 1)
+    n_slash = F.length(rel) - F.length(F.replace(rel, F.lit("/"), F.lit("")))
+    head = F.regexp_extract(rel, r"^(.*/)[^/]*$", 1)
+    location = F.concat(F.lit(p), F.when(n_slash == 1, F.concat(dataset, F.lit("//")))
+                        .otherwise(head))
+    raw_names = F.regexp_extract_all(dirs, F.lit(PARTITION_SEGMENT), 1)
+    values = F.regexp_extract_all(dirs, F.lit(PARTITION_SEGMENT), 2)
+    # "/" never occurs inside a segment, so the joined forms are exact keys
+    names_key = F.regexp_replace(F.lower(F.array_join(raw_names, VALUE_SEP)), "[^a-z0-9_/]", "_")
+    names = F.when(names_key == "", F.array().cast("array<string>")) \
+             .otherwise(F.split(names_key, VALUE_SEP, -1))
     return (df.where(keep)
               .withColumn("dataset", dataset)
               .withColumn("raw_names", raw_names)
-              .withColumn("names", F.transform(raw_names, lambda x: sanitize_identifier(x)))
+              .withColumn("names_key", names_key)
+              .withColumn("names", names)
               .withColumn("values", values)
-              .withColumn("location", F.concat(F.lit(p), dataset, F.lit("/"),
-                                               F.array_join(dirs, "/"), F.lit("/"))))
+              .withColumn("values_key", F.array_join(values, VALUE_SEP))
+              .withColumn("location", location))
+
+
+def _pick_layout(grouped: DataFrame) -> DataFrame:
+    """Per dataset, the layout (``nk``) of the group holding the first
+    listed key that has partitions; ``grouped`` has one row per
+    ``(dataset, nk)`` or finer, with its ``first_key``."""
+    first = F.min(F.when(F.col("nk") != "", F.struct(F.col("first_key"), F.col("nk"))))
+    return grouped.groupBy("dataset").agg(first["nk"].alias("layout_key"))
 
 
 def dataset_layouts(parsed: DataFrame, key_col: str = "key") -> DataFrame:
-    """Per dataset, the partition layout of the first listed key that
-    has partitions (``min(key)``: listings are in key order)."""
-    return (parsed.where(F.size("names") > 0)
-                  .groupBy("dataset")
-                  .agg(F.min_by("names", key_col).alias("layout")))
+    """``(dataset, layout_key)``: the ``/``-joined sanitised partition
+    names of the first listed key (``min(key)``) that has partitions.
+    One partial aggregate over the listing, then a tiny one."""
+    g = (parsed.groupBy("dataset", F.col("names_key").alias("nk"))
+               .agg(F.min(key_col).alias("first_key")))
+    return _pick_layout(g)
 
 
 def with_layout(parsed: DataFrame, key_col: str = "key") -> DataFrame:
     """Add ``layout`` and ``conforms`` (unpartitioned, or same names as
-    the layout) to every parsed key."""
+    the layout) to every parsed key.  The per-dataset layout table is
+    tiny; AQE broadcasts it after measuring it."""
     lay = dataset_layouts(parsed, key_col)
     j = parsed.join(lay, "dataset", "left")
-    return j.withColumn("conforms", (F.size("names") == 0) | (F.col("names") == F.col("layout")))
+    nk = F.col("names_key")
+    return (j.withColumn("conforms", (nk == "") | (nk == F.col("layout_key")))
+             .withColumn("layout", F.split("layout_key", VALUE_SEP, -1))
+             .drop("layout_key"))
 
 
 def dataset_summary(parsed: DataFrame, key_col: str = "key") -> DataFrame:
     """One row per dataset: table name, file count, layout, distinct
     conforming partitions, sample file (first compatible key) and the
-    number of keys whose layout differs."""
-    j = with_layout(parsed, key_col)
-    part = (F.size("names") > 0)
+    number of keys whose layout differs.
+
+    One pass over the listing: a partial aggregate per ``(dataset,
+    layout variant)``; everything after that works on a handful of rows
+    per dataset (the grouped result is reused, not recomputed)."""
+    g = (parsed.groupBy("dataset", F.col("names_key").alias("nk"))
+               .agg(F.count(F.lit(1)).alias("n"),
+                    F.min(key_col).alias("first_key"),
+                    F.count_distinct("values_key").alias("n_parts")))
+    j = g.join(_pick_layout(g), "dataset", "left")
+    conf = (F.col("nk") == "") | (F.col("nk") == F.col("layout_key"))
     return (j.groupBy("dataset")
-             .agg(F.count(F.lit(1)).alias("n_files"),
-                  F.array_join(F.first("layout", ignorenulls=True), NAME_SEP).alias("layout"),
-                  F.count_distinct(F.when(part & F.col("conforms"),
-                                          F.array_join("values", VALUE_SEP))).alias("n_partitions"),
-                  F.min(F.when(F.col("conforms"), F.col(key_col))).alias("sample_file"),
-                  F.count(F.when(part & ~F.col("conforms"), F.lit(1))).alias("n_incompatible"))
+             .agg(F.sum("n").alias("n_files"),
+                  F.regexp_replace(F.first("layout_key", ignorenulls=True), VALUE_SEP, NAME_SEP)
+                   .alias("layout"),
+                  F.coalesce(F.sum(F.when((F.col("nk") != "") & conf, F.col("n_parts"))),
+                             F.lit(0)).cast("long").alias("n_partitions"),
+                  F.min(F.when(conf, F.col("first_key"))).alias("sample_file"),
+                  F.coalesce(F.sum(F.when(~conf, F.col("n"))), F.lit(0)).cast("long")
+                   .alias("n_incompatible"))
              .withColumn("table_name", sanitize_identifier("dataset")))
 
 
@@ -87,20 +125,27 @@ def partition_layout_check(parsed: DataFrame, key_col: str = "key") -> DataFrame
     """Keys with partitions whose names differ from their dataset's layout
     (these are skipped when partitions are registered)."""
     j = with_layout(parsed, key_col)
-    return (j.where((F.size("names") > 0) & ~F.col("conforms"))
+    return (j.where((F.col("names_key") != "") & ~F.col("conforms"))
              .select("dataset", key_col,
                      F.array_join("names", NAME_SEP).alias("names"),
                      F.array_join("layout", NAME_SEP).alias("layout")))
 
 
 def distinct_partitions(parsed: DataFrame, key_col: str = "key") -> DataFrame:
-    """``(dataset, values, location)`` per distinct conforming partition;
-    the location is the one of the first key listed with those values."""
-    j = with_layout(parsed, key_col)
-    return (j.where((F.size("names") > 0) & F.col("conforms"))
-             .groupBy("dataset", "values")
-             .agg(F.min_by("location", key_col).alias("location"),
-                  F.first("layout").alias("names")))
+    """``(dataset, values, location, names)`` per distinct conforming
+    partition; the location is the one of the first key listed with
+    those values.  Aggregated per partition first (map-side partial),
+    so the layout join only sees one row per partition."""
+    first = F.min(F.struct(F.col(key_col).alias("first_key"), F.col("location"),
+                           F.col("values")))
+    parts = (parsed.where(F.col("names_key") != "")
+                   .groupBy("dataset", F.col("names_key").alias("nk"), "values_key")
+                   .agg(first.alias("m"))
+                   .select("dataset", "nk", "m.first_key", "m.location", "m.values"))
+    j = parts.join(_pick_layout(parts), "dataset", "left")
+    return (j.where(F.col("nk") == F.col("layout_key"))
+             .select("dataset", "values", "location",
+                     F.split("nk", VALUE_SEP, -1).alias("names")))
 
 
 def new_partitions(discovered: DataFrame, registered: DataFrame) -> DataFrame:
