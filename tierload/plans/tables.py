@@ -29,6 +29,7 @@ from ..session import work_dir
 VERSION_PROP = "tierload.version"
 KEY_PROP = "tierload.key"
 DEFAULT_BUCKETS = 8
+TABLE_ROOT_CONF = "tierload.table.root"   # shared folder for table versions
 
 
 def _q(name: str) -> str:
@@ -47,7 +48,8 @@ class SnapshotTable:
         self.name = name
         self.key = list(key or [])
         self.buckets = buckets if buckets is not None else (DEFAULT_BUCKETS if self.key else None)
-        self.root = (root or f"{work_dir(spark)}/tables/{name}").rstrip("/")
+        base = spark.conf.get(TABLE_ROOT_CONF, None) or f"{work_dir(spark)}/tables"
+        self.root = (root or f"{base.rstrip('/')}/{name}").rstrip("/")
 
     # ------------------------------------------------------------ catalog
     def exists(self) -> bool:
