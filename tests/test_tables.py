@@ -106,3 +106,27 @@ def test_list_files_relative_keys(spark, tmp_path):
     spark.createDataFrame([(1,)], "a int").write.parquet(str(tmp_path / "DS" / "d=1"))
     keys = [r["key"] for r in list_files(spark, str(tmp_path)).collect()]
     assert keys and all(k.startswith("DS/d=1/part-") for k in keys)
+
+
+def _files(spark, table):
+    return spark.table(table).select(F.input_file_name().alias("f")).distinct().count()
+
+
+def test_one_file_per_bucket_on_create_and_merge(spark):
+    from tierload.operators import merge_latest
+    t = SnapshotTable(spark, _name("files"), key=["id"], buckets=4)
+    base = spark.range(200).select(F.col("id"), F.lit("a").alias("v"),
+                                   F.lit(1).alias("cur"),
+                                   F.lit("2024-01-01").alias("_source_ingestion_date"),
+                                   F.lit("b1").alias("_source_batch_id"),
+                                   F.lit(None).cast("timestamp_ntz").alias("_silver_loaded_at"))
+    v1 = t.write(base.repartition(7))              # arbitrary input partitioning
+    assert _files(spark, v1) == 4 and t.stored_buckets() == 4
+    src = spark.range(150, 260).select(F.col("id"), F.lit("b").alias("v"), F.lit(2).alias("cur"),
+                                       F.lit("2024-01-02").alias("ingestion_date"),
+                                       F.lit("b2").alias("batch_id"))
+    merged = merge_latest(t.read(), src, ["id"], "cur", "2026-01-01 00:00:00")
+    v2 = t.write(merged, aligned=True)
+    assert _files(spark, v2) == 4
+    assert spark.table(t.name).count() == 260
+    assert spark.table(t.name).where("v = 'b'").count() == 110

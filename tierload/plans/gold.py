@@ -91,7 +91,7 @@ class GoldLoad:
         if t.watermark_enabled:
             metrics.append(F.max(F.col(t.watermark_target).cast("timestamp_ntz")).alias("wm"))
         src = src.observe(obs, *metrics)
-        target.write(gold_upsert(target.read(), src, t, duplicates="trust"))
+        target.write(gold_upsert(target.read(), src, t, duplicates="trust"), aligned=True)
         m = obs.get
         new_wm = prev
         if t.watermark_enabled and m.get("wm") is not None:

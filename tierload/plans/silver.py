@@ -79,7 +79,8 @@ class SilverLoad:
         if op == "INCREMENTAL UPDATE" and ds.mode == "append_only":
             table.append(counted)
         else:
-            table.write(counted)
+            # a MERGE comes out of the bucket-aligned join: no re-shuffle
+            table.write(counted, aligned=(op == "INCREMENTAL UPDATE"))
         rows = obs.get.get("rows")
         return (ds.name, ds.mode, op, f"OK ({op})", rows, st[0], st[1])
 

@@ -22,12 +22,14 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import work_dir
 
 VERSION_PROP = "tierload.version"
 KEY_PROP = "tierload.key"
+BUCKETS_PROP = "tierload.buckets"
 DEFAULT_BUCKETS = 8
 TABLE_ROOT_CONF = "tierload.table.root"   # shared folder for table versions
 
@@ -62,13 +64,20 @@ class SnapshotTable:
         val = rows[0]["value"] if rows else None
         return val if val and "does not have property" not in val else None
 
-    def stored_key(self) -> list[str]:
+    def _version_prop(self, prop: str) -> str | None:
         v = self.current_version()
         if v is None:
-            return []
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {_q(v)} ('{KEY_PROP}')").collect()
-        val = rows[0]["value"] if rows else ""
-        return [k for k in val.split(",") if k and "does not have property" not in val]
+            return None
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {_q(v)} ('{prop}')").collect()
+        val = rows[0]["value"] if rows else None
+        return None if val is None or "does not have property" in val else val
+
+    def stored_key(self) -> list[str]:
+        return [k for k in (self._version_prop(KEY_PROP) or "").split(",") if k]
+
+    def stored_buckets(self) -> int | None:
+        val = self._version_prop(BUCKETS_PROP)
+        return int(val) if val else None
 
     def read(self) -> DataFrame:
         """The current version (the bucketed table itself, so joins on
@@ -87,17 +96,27 @@ class SnapshotTable:
         vid = f"{time.time_ns():x}{uuid.uuid4().hex[:6]}"
         return f"{self.name}__v{vid}", f"{self.root}/v{vid}"
 
-    def write(self, df: DataFrame) -> str:
+    def write(self, df: DataFrame, aligned: bool = False) -> str:
         """Write ``df`` as a new version and publish it.  Returns the
-        version table name."""
+        version table name.
+
+        A keyed table keeps the bucket count it was created with.  Rows
+        are hash-partitioned by the key into that many partitions first
+        (one file per bucket) unless ``aligned``: the caller's plan
+        already holds one bucket per task, as the output of a join with
+        the current (bucketed) version does."""
         vt, path = self._new_version()
+        buckets = self.stored_buckets() or self.buckets
+        if self.key and buckets and not aligned:
+            df = df.repartition(buckets, *[F.col(k) for k in self.key])
         w = df.write.format("parquet").option("path", path).mode("errorifexists")
-        if self.key and self.buckets:
-            w = w.bucketBy(self.buckets, *self.key).sortBy(*self.key)
+        if self.key and buckets:
+            w = w.bucketBy(buckets, *self.key).sortBy(*self.key)
         w.saveAsTable(vt)
         if self.key:
             self.spark.sql(f"ALTER TABLE {_q(vt)} SET TBLPROPERTIES "
-                           f"('{KEY_PROP}' = '{','.join(self.key)}')")
+                           f"('{KEY_PROP}' = '{','.join(self.key)}', "
+                           f"'{BUCKETS_PROP}' = '{buckets or 0}')")
         self._publish(vt)
         return vt
 
@@ -115,9 +134,12 @@ class SnapshotTable:
         target = self.spark.table(v).schema
         from ..operators.schema_ops import align_to_schema
         aligned = align_to_schema(df, target).select(*target.fieldNames())
+        buckets = self.stored_buckets() or self.buckets
+        if self.key and buckets:
+            aligned = aligned.repartition(buckets, *[F.col(k) for k in self.key])
         w = aligned.write.format("parquet").mode("append")
-        if self.key and self.buckets:
-            w = w.bucketBy(self.buckets, *self.key).sortBy(*self.key)
+        if self.key and buckets:
+            w = w.bucketBy(buckets, *self.key).sortBy(*self.key)
         w.saveAsTable(v)
         self.spark.catalog.refreshTable(v)
 
