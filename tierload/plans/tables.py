@@ -155,10 +155,12 @@ class SnapshotTable:
         self._publish(v)
 
     def versions(self) -> list[str]:
-        prefix = f"{self.name}__v".lower()
-        db = self.name.split(".")[0] if "." in self.name else None
+        """Version tables of this table, oldest first (qualified like the name)."""
+        db, _, short = self.name.rpartition(".")
+        prefix = f"{short}__v".lower()
         tables = self.spark.catalog.listTables(db) if db else self.spark.catalog.listTables()
-        return sorted(t.name for t in tables if t.name.lower().startswith(prefix))
+        found = sorted(t.name for t in tables if t.name.lower().startswith(prefix))
+        return [f"{db}.{t}" if db else t for t in found]
 
     def drop_old_versions(self, keep: int = 2) -> list[str]:
         """Unregister all but the newest ``keep`` versions (the current one

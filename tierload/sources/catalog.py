@@ -75,16 +75,21 @@ def registered_partitions(spark: SparkSession, name: str, dataset: str) -> DataF
         return spark.createDataFrame([], "dataset string, values array<string>")
     shown = spark.sql(f"SHOW PARTITIONS {_q(name)}")
     spec = F.split(F.col("partition"), "/")
-    values = F.transform(spec, lambda x: F.url_decode(x.substr(F.instr(x, "=") + 1, F.length(x))))
+    values = F.transform(spec, lambda x: _unescape(x.substr(F.instr(x, "=") + 1, F.length(x))))
     return shown.select(F.lit(dataset).alias("dataset"), values.alias("values"))
 
 
+def _unescape(c):
+    """Undo the catalog's ``%XX`` path escaping (``+`` stays ``+``)."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def show_partitions(spark: SparkSession, name: str) -> DataFrame:
     """``SHOW PARTITIONS`` as one string column per partition column."""
     names = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
     spec = F.split(F.col("partition"), "/")
     return spark.sql(f"SHOW PARTITIONS {_q(name)}").select(
-        *[F.url_decode(F.element_at(spec, i + 1).substr(len(n) + 2, 1 << 30)).alias(n)
+        *[_unescape(F.element_at(spec, i + 1).substr(len(n) + 2, 1 << 30)).alias(n)
           for i, n in enumerate(names)])
 
 
