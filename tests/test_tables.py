@@ -130,3 +130,20 @@ def test_one_file_per_bucket_on_create_and_merge(spark):
     assert _files(spark, v2) == 4
     assert spark.table(t.name).count() == 260
     assert spark.table(t.name).where("v = 'b'").count() == 110
+
+
+def test_state_is_stored_with_each_version(spark):
+    from tierload.operators import read_state
+    t = SnapshotTable(spark, _name("state"), key=["id"], buckets=2)
+    df = spark.createDataFrame(
+        [(1, "2024-01-02", "b2"), (2, "2024-01-03", "b1"), (3, "2024-01-03", "b0"), (4, None, "zz")],
+        "id int, _source_ingestion_date string, _source_batch_id string")
+    t.write(df)
+    assert t.state() == read_state(df) == ("2024-01-03", "b1")
+    t.append(spark.createDataFrame([(5, "2024-01-01", "b9")], df.schema))
+    assert t.state() == ("2024-01-03", "b1")              # older rows never lower the state
+    t.append(spark.createDataFrame([(6, "2024-01-04", "a0")], df.schema))
+    assert t.state() == ("2024-01-04", "a0")
+    e = SnapshotTable(spark, _name("empty"), key=["id"], buckets=2)
+    e.write(df.limit(0))
+    assert e.state() is None

@@ -21,15 +21,21 @@ STATE_BATCH = "_source_batch_id"
 DEFAULT_OVERLAP_SECONDS = 60
 
 
+def state_metric(date_col: str = STATE_DATE, batch_col: str = STATE_BATCH) -> Column:
+    """Aggregate giving ``struct(d, b)``: the max ingestion timestamp and
+    the max batch id among rows at that timestamp (NULL when no row has a
+    date).  Usable in ``agg`` and in ``observe``."""
+    d = F.col(date_col).cast(T.TimestampNTZType())
+    return F.max(F.when(d.isNotNull(), F.struct(d.alias("d"), F.col(batch_col).alias("b"))))
+
+
 def batch_state(silver: DataFrame, date_col: str = STATE_DATE,
                 batch_col: str = STATE_BATCH) -> DataFrame:
     """One row ``(ingestion_ts, batch_id)``: the max ingestion timestamp
     and the max batch id among rows at that timestamp; NULLs when
     ``silver`` is empty.  One aggregate instead of two queries."""
-    d = F.col(date_col).cast(T.TimestampNTZType())
-    top = F.max(F.when(d.isNotNull(), F.struct(d.alias("d"), F.col(batch_col).alias("b"))))
-    return silver.agg(top.alias("s")).select(F.col("s.d").alias("ingestion_ts"),
-                                             F.col("s.b").alias("batch_id"))
+    return silver.agg(state_metric(date_col, batch_col).alias("s")).select(
+        F.col("s.d").alias("ingestion_ts"), F.col("s.b").alias("batch_id"))
 
 
 def read_state(silver: DataFrame, date_col: str = STATE_DATE,

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DateValidation, SilverDataset
-from ..operators.incremental import read_state
 from ..operators.schema_ops import find_missing_columns
 from . import silver_frames as sf
 from .tables import SnapshotTable
@@ -57,7 +56,7 @@ class SilverLoad:
         retained = bronze.select(*[F.col(f"`{c}`") for c in sf.retained_columns(bronze, ds)]).schema
         missing = find_missing_columns(retained, table.schema)
         current = table.read()
-        state = read_state(current)
+        state = table.state()          # stored with the version: no Silver scan
         if ds.mode == "dedupe_latest":
             frame = sf.merge_load(current, bronze, ds, self.validation, state, self.as_of,
                                   self.run_ts)

@@ -21,7 +21,7 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,10 @@ from ..session import work_dir
 VERSION_PROP = "tierload.version"
 KEY_PROP = "tierload.key"
 BUCKETS_PROP = "tierload.buckets"
+# batch state of the data in a version, observed while it was written
+STATE_DATE_PROP = "tierload.state.date"
+STATE_BATCH_PROP = "tierload.state.batch"
+LINEAGE_DATE, LINEAGE_BATCH = "_source_ingestion_date", "_source_batch_id"
 DEFAULT_BUCKETS = 8
 TABLE_ROOT_CONF = "tierload.table.root"   # shared folder for table versions
 
@@ -79,6 +83,39 @@ class SnapshotTable:
         val = self._version_prop(BUCKETS_PROP)
         return int(val) if val else None
 
+    def state(self) -> tuple | None:
+        """``(date 'YYYY-MM-DD', batch_id)`` of the newest Bronze batch in
+        the table, or ``None`` when empty.  Read from the version's
+        properties (observed during the write, so no scan); computed with
+        one aggregate for versions written without it."""
+        date = self._version_prop(STATE_DATE_PROP)
+        if date is not None:
+            return (date[:10], self._version_prop(STATE_BATCH_PROP) or None) if date else None
+        current = self.read()
+        if LINEAGE_DATE not in current.columns or LINEAGE_BATCH not in current.columns:
+            return None
+        from ..operators.incremental import read_state
+        return read_state(current)
+
+    def _observe_state(self, df: DataFrame):
+        if LINEAGE_DATE not in df.columns or LINEAGE_BATCH not in df.columns:
+            return df, None
+        from ..operators.incremental import state_metric
+        obs = Observation(f"state_{uuid.uuid4().hex[:8]}")
+        return df.observe(obs, state_metric(LINEAGE_DATE, LINEAGE_BATCH).alias("s")), obs
+
+    def _save_state(self, vt: str, obs, previous: tuple | None = None) -> None:
+        if obs is None:
+            return
+        s = obs.get.get("s")
+        new = (s["d"].strftime("%Y-%m-%d %H:%M:%S"), s["b"]) if s is not None else None
+        if previous is not None and (new is None or (previous[0][:10], previous[1] or "")
+                                     > (new[0][:10], new[1] or "")):
+            new = previous
+        date, batch = new if new else ("", "")
+        self.spark.sql(f"ALTER TABLE {_q(vt)} SET TBLPROPERTIES ('{STATE_DATE_PROP}' = "
+                       f"'{date}', '{STATE_BATCH_PROP}' = '{(batch or '')}')")
+
     def read(self) -> DataFrame:
         """The current version (the bucketed table itself, so joins on
         the key can use its partitioning)."""
@@ -109,10 +146,12 @@ class SnapshotTable:
         buckets = self.stored_buckets() or self.buckets
         if self.key and buckets and not aligned:
             df = df.repartition(buckets, *[F.col(k) for k in self.key])
+        df, obs = self._observe_state(df)
         w = df.write.format("parquet").option("path", path).mode("errorifexists")
         if self.key and buckets:
             w = w.bucketBy(buckets, *self.key).sortBy(*self.key)
         w.saveAsTable(vt)
+        self._save_state(vt, obs)
         if self.key:
             self.spark.sql(f"ALTER TABLE {_q(vt)} SET TBLPROPERTIES "
                            f"('{KEY_PROP}' = '{','.join(self.key)}', "
@@ -132,8 +171,10 @@ class SnapshotTable:
             self.write(df)
             return
         target = self.spark.table(v).schema
+        previous = self.state()
         from ..operators.schema_ops import align_to_schema
         aligned = align_to_schema(df, target).select(*target.fieldNames())
+        aligned, obs = self._observe_state(aligned)
         buckets = self.stored_buckets() or self.buckets
         if self.key and buckets:
             aligned = aligned.repartition(buckets, *[F.col(k) for k in self.key])
@@ -141,6 +182,7 @@ class SnapshotTable:
         if self.key and buckets:
             w = w.bucketBy(buckets, *self.key).sortBy(*self.key)
         w.saveAsTable(v)
+        self._save_state(v, obs, previous)
         self.spark.catalog.refreshTable(v)
 
     def add_columns(self, fields: list[T.StructField]) -> None:

@@ -27,6 +27,10 @@ SESSION_DEFAULTS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # Keyed table versions hold one sorted file per bucket, so a bucketed
+    # scan can report its sort order and the MERGE join skips sorting the
+    # large side (Spark only claims the order when a bucket has one file).
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 
 
