@@ -76,6 +76,7 @@ class GoldTable:
 
 @dataclass(frozen=True)
 class GoldSettings:
+    # Default rows per statement for relational targets.
     batch_size: int = 2500
     schema: str = "public"
     watermark_overlap_seconds: float | None = None

@@ -18,6 +18,8 @@ from ..functions.literals import minus_seconds, ts_lit
 
 STATE_DATE = "_source_ingestion_date"
 STATE_BATCH = "_source_batch_id"
+# A watermark read re-reads this many seconds before the
+# stored high-water mark (late or clock-skewed rows).
 DEFAULT_OVERLAP_SECONDS = 60
 
 

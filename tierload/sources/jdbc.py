@@ -28,6 +28,7 @@ _DERBY_TYPES = {"boolean": "BOOLEAN", "int": "INTEGER", "bigint": "BIGINT", "flo
 _POSTGRES_TYPES = {"boolean": "BOOLEAN", "int": "INTEGER", "bigint": "BIGINT", "float": "REAL",
                    "double": "DOUBLE PRECISION", "date": "DATE", "timestamp": "TIMESTAMP",
                    "string": "TEXT", "binary": "BYTEA"}
+# Concurrent sessions against the relational target.
 DEFAULT_MAX_CONNECTIONS = 5
 
 
