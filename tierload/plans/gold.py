@@ -1,6 +1,8 @@
 """Silver -> Gold loader: guarded schema, watermark-incremental read,
 typed mapping, keyed upsert, watermark saved last.
 
+With a ``jdbc`` target, each run's slice is also upserted into the
+relational table (staging + one MERGE) before the watermark moves.
 The watermark store is itself a small keyed table upserted after the
 data version is published, so a failure before that point re-reads
 the same slice next time (the upsert is idempotent).  The new
@@ -44,6 +46,7 @@ class GoldLoad:
     watermark_table: str = "gold_watermarks"
     buckets: int | None = None
     run_ts: object = None
+    jdbc: object = None                          # optional sources.jdbc.JdbcTarget
 
     def target(self, t: GoldTable) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.table_prefix}{t.target_table}",
@@ -93,6 +96,9 @@ class GoldLoad:
         src = src.observe(obs, *metrics)
         target.write(gold_upsert(target.read(), src, t, duplicates="trust"), aligned=True)
         m = obs.get
+        if self.jdbc is not None:                # relational copy: staging + one MERGE
+            self.jdbc.upsert(src, t.target_table, list(t.primary_keys),
+                             batch_size=self.settings.batch_size)
         new_wm = prev
         if t.watermark_enabled and m.get("wm") is not None:
             new_wm = m["wm"] if prev is None or m["wm"] > prev else prev
@@ -118,6 +124,6 @@ class GoldLoad:
 def load_gold(spark: SparkSession, silver: Callable[[str], DataFrame], tables: list[GoldTable],
               settings: GoldSettings = GoldSettings(), table_prefix: str = "gold_",
               watermark_table: str = "gold_watermarks", buckets: int | None = None,
-              run_ts=None) -> DataFrame:
+              run_ts=None, jdbc=None) -> DataFrame:
     return GoldLoad(spark, silver, settings, table_prefix, watermark_table, buckets,
-                    run_ts).run(tables)
+                    run_ts, jdbc).run(tables)
