@@ -147,3 +147,18 @@ def test_state_is_stored_with_each_version(spark):
     e = SnapshotTable(spark, _name("empty"), key=["id"], buckets=2)
     e.write(df.limit(0))
     assert e.state() is None
+
+
+def test_only_selects_one_dataset(spark):
+    from tierload.config import ConfigError, GoldSettings
+    from tierload.plans.gold import load_gold
+    from tierload.plans.silver import load_silver
+    from tierload import registry as R
+    bronze = fx.bronze_events(spark, SF_SMALL)
+    out = load_silver(spark, lambda _: bronze, [R.EVENTS_DATASET, R.EVENTS_APPEND], R.VALIDATION,
+                      plan_only=True, only="events_log").collect()
+    assert [r["dataset"] for r in out] == ["events_log"]
+    with pytest.raises(ConfigError):
+        load_silver(spark, lambda _: bronze, [R.EVENTS_DATASET], only="missing")
+    with pytest.raises(ConfigError):
+        load_gold(spark, lambda _: bronze, [R.ORDERS_GOLD], GoldSettings(), only="missing")

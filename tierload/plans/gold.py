@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import GoldSettings, GoldTable, safe_batch_size, validate_gold_config
+from ..config import (ConfigError, GoldSettings, GoldTable, safe_batch_size,
+                      validate_gold_config)
 from ..functions.types import catalog_type
 from ..operators.quality import assert_unique_keys
 from ..operators.schema_ops import guard, schema_diff
@@ -124,6 +125,12 @@ class GoldLoad:
 def load_gold(spark: SparkSession, silver: Callable[[str], DataFrame], tables: list[GoldTable],
               settings: GoldSettings = GoldSettings(), table_prefix: str = "gold_",
               watermark_table: str = "gold_watermarks", buckets: int | None = None,
-              run_ts=None, jdbc=None) -> DataFrame:
+              run_ts=None, jdbc=None, only: str | None = None) -> DataFrame:
+    """Run the Silver -> Gold load; ``only`` selects one configured table
+    by source or target name (an unknown name is an error)."""
+    if only is not None:
+        tables = [t for t in tables if only in (t.source_table, t.target_table)]
+        if not tables:
+            raise ConfigError(f"no table named {only!r} is configured")
     return GoldLoad(spark, silver, settings, table_prefix, watermark_table, buckets,
                     run_ts, jdbc).run(tables)

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DateValidation, SilverDataset
+from ..config import ConfigError, DateValidation, SilverDataset
 from ..operators.schema_ops import find_missing_columns
 from . import silver_frames as sf
 from .tables import SnapshotTable
@@ -105,7 +105,13 @@ def load_silver(spark: SparkSession, bronze: Callable[[str], DataFrame],
                 datasets: list[SilverDataset], validation: DateValidation = DateValidation(),
                 plan_only: bool = False, rebuild: bool = False, confirm: bool = False,
                 as_of=None, run_ts=None, table_prefix: str = "silver_",
-                buckets: int | None = None) -> DataFrame:
+                buckets: int | None = None, only: str | None = None) -> DataFrame:
+    """Run the Bronze -> Silver load; ``only`` restricts it to one
+    configured dataset (an unknown name is an error)."""
+    if only is not None:
+        datasets = [d for d in datasets if d.name == only]
+        if not datasets:
+            raise ConfigError(f"no dataset named {only!r} is configured")
     loader = SilverLoad(spark, bronze, validation, table_prefix, buckets, as_of, run_ts)
     return loader.run(datasets, plan_only, rebuild, confirm)
 

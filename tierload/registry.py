@@ -484,7 +484,13 @@ def q_bronze_scan(spark, sf_dir):
     return bronze_scan(spark, f"{root}/EVENTS", ["ingestion_date", "batch_id"])
 
 
+_CRAWLED: dict = {}
+
+
 def _crawled(spark, sf_dir, plan_only=False):
+    """Crawl the written Bronze files into a new database.  Queries that
+    only read the registered tables reuse one crawl per session
+    (``plan_only`` and ``register_table`` always crawl afresh)."""
     root = fx.write_bronze_files(spark, sf_dir)
     db = f"bronze_{_run_tag(spark)}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
@@ -492,6 +498,16 @@ def _crawled(spark, sf_dir, plan_only=False):
     return db, summary
 
 
+def _registered_db(spark, sf_dir) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    db = _CRAWLED.get(key)
+    if db is None or not spark.catalog.tableExists(f"{db}.events"):
+        db, summary = _crawled(spark, sf_dir)
+        summary.collect()
+        _CRAWLED[key] = db
+    return db
+
+
 @query("crawl_plan")
 def q_crawl_plan(spark, sf_dir):
     return _crawled(spark, sf_dir, plan_only=True)[1]
@@ -508,21 +524,18 @@ def q_register_table(spark, sf_dir):
 
 @query("table_columns")
 def q_table_columns(spark, sf_dir):
-    db, _ = _crawled(spark, sf_dir)
-    return table_columns(spark, f"{db}.events")
+    return table_columns(spark, f"{_registered_db(spark, sf_dir)}.events")
 
 
 @query("catalog_partitions")
 def q_catalog_partitions(spark, sf_dir):
-    db, _ = _crawled(spark, sf_dir)
-    return show_partitions(spark, f"{db}.events")
+    return show_partitions(spark, f"{_registered_db(spark, sf_dir)}.events")
 
 
 @query("bronze_table_scan")
 def q_bronze_table_scan(spark, sf_dir):
     """The registered Bronze table read back through the catalog."""
-    db, _ = _crawled(spark, sf_dir)
-    return spark.table(f"{db}.events")
+    return spark.table(f"{_registered_db(spark, sf_dir)}.events")
 
 
 # ------------------------------------------------------ external sinks
