@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ConfigError, DateValidation, SilverDataset
+from ..operators.columns import BRONZE_PARTITIONS, plan_exclusion
 from ..operators.schema_ops import find_missing_columns
 from . import silver_frames as sf
 from .tables import SnapshotTable
@@ -46,6 +47,11 @@ class SilverLoad:
         """``(operation, frame, table, state, missing_columns)`` without
         writing anything (state is read: it is needed for the plan)."""
         bronze = self.bronze(ds.name)
+        excl = plan_exclusion([c for c in bronze.columns if c not in BRONZE_PARTITIONS],
+                              ds.exclude_columns)
+        if excl.not_found:
+            log.warning("%s: excluded columns not in the Bronze schema: %s", ds.name,
+                        ", ".join(excl.not_found))
         table = self.table(ds)
         exists = table.exists() and not rebuild
         if not exists:
@@ -89,8 +95,9 @@ class SilverLoad:
         out = []
         for ds in datasets:
             if ds.requires_confirmation and not confirm:
-                out.append((ds.name, ds.mode, None, "SKIPPED (requires confirmation)", None,
-                            None, None))
+                note = f": {ds.note}" if ds.note else ""
+                out.append((ds.name, ds.mode, None, f"SKIPPED (requires confirmation){note}",
+                            None, None, None))
                 continue
             try:
                 out.append(self.run_one(ds, plan_only, rebuild))
