@@ -9,14 +9,14 @@ reports what would be registered and writes nothing.
 
 from __future__ import annotations
 
+import json
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.identifiers import normalize_prefix_str, sanitize_name
-from ..functions.literals import ts_lit
+from ..functions.identifiers import normalize_prefix_str
 from ..sources.catalog import add_partitions, register_table, split_columns
 from ..sources.inventory import INVENTORY_KEY, changed_files, inventory_upsert
 from ..sources.listing import list_files
@@ -57,7 +57,7 @@ def _crawl(spark, base, parsed, listing, database, plan_only, inventory, run_ts)
         if other != r["dataset"]:
             raise NameCollision(f"datasets {other!r} and {r['dataset']!r} both map to table "
                                 f"{r['table_name']!r}")
-    inv = SnapshotTable(spark, inventory, key=INVENTORY_KEY, buckets=1) if inventory else None
+    inv = SnapshotTable(spark, inventory, key=INVENTORY_KEY) if inventory else None
     cache = _schema_cache(inv, parsed) if inv is not None and inv.exists() else {}
     partitions = distinct_partitions(parsed).withColumn(
         "location", F.concat(F.lit(base + "/"), F.col("location")))
@@ -68,8 +68,8 @@ def _crawl(spark, base, parsed, listing, database, plan_only, inventory, run_ts)
         layout = r["layout"].split(",") if r["layout"] else []
         sample = r["sample_file"]
         cached = cache.get((dataset, sample))
-        schema = T.StructType.fromJson(__import__("json").loads(cached)) if cached else \
-            spark.read.parquet(f"{base}/{sample}").schema
+        schema = (T.StructType.fromJson(json.loads(cached)) if cached
+                  else spark.read.parquet(f"{base}/{sample}").schema)   # footer only
         schemas[(dataset, sample)] = schema.json()
         columns = split_columns(schema, layout)
         row = dict(dataset=dataset, table_name=qualified, n_files=r["n_files"], sample_file=sample,
@@ -112,7 +112,5 @@ def _update_inventory(spark, inv: SnapshotTable, parsed: DataFrame, schemas: dic
              .join(current.where(F.col("schema_json").isNotNull()).select(*INVENTORY_KEY),
                    INVENTORY_KEY, "left_anti"))
     upd = changed.unionByName(fresh).dropDuplicates(INVENTORY_KEY)
-    inv.write(inventory_upsert(current, upd, run_ts))
-
-
-__all__ = ["crawl", "NameCollision", "sanitize_name", "ts_lit"]
+    # the upsert joins the bucketed inventory on its key: bucket-aligned output
+    inv.write(inventory_upsert(current, upd, run_ts), aligned=True)

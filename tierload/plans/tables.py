@@ -34,7 +34,6 @@ BUCKETS_PROP = "tierload.buckets"
 STATE_DATE_PROP = "tierload.state.date"
 STATE_BATCH_PROP = "tierload.state.batch"
 LINEAGE_DATE, LINEAGE_BATCH = "_source_ingestion_date", "_source_batch_id"
-DEFAULT_BUCKETS = 8
 TABLE_ROOT_CONF = "tierload.table.root"   # shared folder for table versions
 
 
@@ -46,14 +45,19 @@ class SnapshotTable:
     """A table written as immutable versions and published through a view.
 
     ``key`` and ``buckets`` make it a keyed table (bucketed by the key);
-    without them versions are plain unbucketed Parquet."""
+    without them versions are plain unbucketed Parquet.  ``buckets``
+    defaults to ``spark.sql.shuffle.partitions`` when the table is
+    created; an existing table keeps its bucket count."""
 
     def __init__(self, spark: SparkSession, name: str, key: list[str] | tuple | None = None,
                  buckets: int | None = None, root: str | None = None):
         self.spark = spark
         self.name = name
         self.key = list(key or [])
-        self.buckets = buckets if buckets is not None else (DEFAULT_BUCKETS if self.key else None)
+        if buckets is None and self.key:
+            # default: the cluster's configured shuffle parallelism
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        self.buckets = buckets if self.key else None
         base = spark.conf.get(TABLE_ROOT_CONF, None) or f"{work_dir(spark)}/tables"
         self.root = (root or f"{base.rstrip('/')}/{name}").rstrip("/")
 
