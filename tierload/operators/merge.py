@@ -1,10 +1,11 @@
 """Row-level table merges as DataFrame algebra.
 
 There is no MERGE on plain Parquet, so each merge computes the full
-next version of the affected rows; ``plans.tables`` writes it as a new
-snapshot (or only the touched key buckets) and swaps it in.
+next version of the table; ``plans.tables`` writes it as a new version
+bucketed by the key and swaps it in.
 
-Both merges are one equi-join on the key.  Source keys are unique
+Every merge is one full-outer equi-join on the key: against a table
+bucketed by that key, only the source side is shuffled.  Source keys are unique
 (deduplicated first) and target keys are unique (they come from a
 previous merge), so the join is 1:1 per key and key skew cannot blow
 up a task; AQE coalesces/splits partitions at runtime.
@@ -143,9 +144,19 @@ def upsert_overwrite(target: DataFrame, source: DataFrame, pk: list[str]) -> Dat
 
 
 def upsert_do_nothing(target: DataFrame, source: DataFrame, pk: list[str]) -> DataFrame:
-    """All columns are key columns: insert missing keys, ignore the rest."""
-    new = source.select(*target.columns).join(target.select(*pk), on=pk, how="left_anti")
-    return target.unionByName(new)
+    """All columns are key columns: insert missing keys, leave existing
+    rows untouched (target-only columns keep their values; a key repeated
+    in the source is inserted once).  One full-outer join on the key, so
+    the output stays aligned with a table bucketed by the key."""
+    src = source.select(*pk).dropDuplicates(pk)
+    tgt_cols = list(target.columns)
+    t = target.select(*[F.col(_q(c)).alias(f"t__{c}") for c in tgt_cols], F.lit(True).alias(_T))
+    s = src.select(*[F.col(_q(c)).alias(f"s__{c}") for c in pk])
+    cond = reduce(lambda a, b: a & b, [F.col(f"t__{k}") == F.col(f"s__{k}") for k in pk])
+    j = t.join(s, cond, "full_outer")
+    t_in = F.col(_T).isNotNull()
+    return j.select(*[(F.when(t_in, F.col(f"t__{c}")).otherwise(F.col(f"s__{c}")) if c in pk
+                       else F.col(f"t__{c}")).alias(c) for c in tgt_cols])
 
 
 def reconcile_missing_keys(target: DataFrame, source_keys: DataFrame, pk: list[str],
