@@ -161,3 +161,39 @@ def safe_batch_size(requested: int, n_columns: int) -> int:
 __all__ = ["ColumnMap", "ConfigError", "DateValidation", "GoldSettings", "GoldTable",
            "SilverDataset", "safe_batch_size", "validate_gold_config", "validate_gold_table",
            "field"]
+
+
+# ------------------------------------------------------------ JSON config
+# Key names of the loaders' JSON configuration files.
+
+def silver_config_from_json(doc: dict) -> tuple[DateValidation, list[SilverDataset]]:
+    """``{"dateValidation": {...}, "datasets": [...]}`` as objects."""
+    dv = doc.get("dateValidation") or {}
+    validation = DateValidation(dv.get("minTimestamp", DEFAULT_MIN_TIMESTAMP),
+                                int(dv.get("maxYearsFromToday", DEFAULT_MAX_YEARS_FROM_TODAY)))
+    datasets = [SilverDataset(name=d["name"], pk=d.get("pk") or [], cursor=d.get("cursor"),
+                              mode=d.get("mode", "dedupe_latest"),
+                              exclude_columns=d.get("excludeColumns") or [],
+                              requires_confirmation=bool(d.get("requiresConfirmation", False)),
+                              note=d.get("note", ""), tie_breakers=d.get("tieBreakers") or [])
+                for d in doc.get("datasets") or []]
+    return validation, datasets
+
+
+def gold_config_from_json(doc: dict) -> tuple[GoldSettings, list[GoldTable]]:
+    """``{"settings": {...}, "tables": [...]}`` as objects (validated)."""
+    st = doc.get("settings")
+    settings = None if st is None else GoldSettings(
+        batch_size=st.get("batchSize"), schema=st.get("postgresSchema", "public"),
+        watermark_overlap_seconds=st.get("watermarkOverlapSeconds"))
+    tables = []
+    for t in doc.get("tables") or []:
+        wm = t.get("watermark") or {}
+        tables.append(GoldTable(
+            source_table=t.get("sourceTable"), target_table=t.get("targetTable"),
+            primary_keys=t.get("primaryKeys") or [],
+            columns=[ColumnMap(c.get("source"), c.get("target"), c.get("postgresType"))
+                     for c in t.get("columns") or []],
+            watermark_column=wm.get("sourceColumn"), watermark_enabled=bool(wm.get("enabled"))))
+    validate_gold_config(settings, tables)
+    return settings, tables

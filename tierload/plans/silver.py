@@ -47,6 +47,10 @@ class SilverLoad:
         """``(operation, frame, table, state, missing_columns)`` without
         writing anything (state is read: it is needed for the plan)."""
         bronze = self.bronze(ds.name)
+        missing_lineage = [c for c in BRONZE_PARTITIONS if c not in bronze.columns]
+        if missing_lineage:
+            raise ConfigError(f"{ds.name}: Bronze has no {', '.join(missing_lineage)} column(s); "
+                              f"Bronze tables are partitioned by {', '.join(BRONZE_PARTITIONS)}")
         excl = plan_exclusion([c for c in bronze.columns if c not in BRONZE_PARTITIONS],
                               ds.exclude_columns)
         if excl.not_found:
