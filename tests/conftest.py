@@ -17,6 +17,7 @@ def spark():
     # tests only: a checkpoint folder of our own when none is configured
     if not os.environ.get("SPARK_CHECKPOINT_DIR"):
         extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tierload-test-")
+    extra["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="tierload-wh-")
     s = build_session("local[*]", app="tierload-tests", shuffle_partitions=8,
                       extra={"spark.driver.memory": "4g", **extra})
     s.sparkContext.setLogLevel("ERROR")

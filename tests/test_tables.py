@@ -162,3 +162,15 @@ def test_only_selects_one_dataset(spark):
         load_silver(spark, lambda _: bronze, [R.EVENTS_DATASET], only="missing")
     with pytest.raises(ConfigError):
         load_gold(spark, lambda _: bronze, [R.ORDERS_GOLD], GoldSettings(), only="missing")
+
+
+def test_initial_load_one_file_per_bucket_without_extra_shuffle(spark):
+    from tierload import registry as R
+    from tierload.plans.silver import load_silver
+    prefix = f"{_name('init')}_"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    load_silver(spark, lambda _: fx.bronze_events(spark, SF_SMALL), [R.EVENTS_DATASET],
+                R.VALIDATION, table_prefix=prefix).collect()
+    t = SnapshotTable(spark, f"{prefix}events", key=fx.EVENTS_PK)
+    assert t.stored_buckets() == buckets
+    assert 0 < _files(spark, t.current_version()) <= buckets

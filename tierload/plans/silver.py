@@ -88,11 +88,24 @@ class SilverLoad:
         if op == "INCREMENTAL UPDATE" and ds.mode == "append_only":
             table.append(counted)
         else:
-            # a MERGE comes out of the bucket-aligned join: no re-shuffle
-            table.write(counted, aligned=(op == "INCREMENTAL UPDATE"))
+            table.write(counted, aligned=self._aligned(op, ds, table))
         rows = obs.get.get("rows")
         return (ds.name, ds.mode, op, f"OK ({op})", rows, st[0], st[1])
 
+    def _aligned(self, op: str, ds: SilverDataset, table: SnapshotTable) -> bool:
+        """Does the load's plan already hold one bucket per task?
+
+        A MERGE comes out of the join with the bucketed current version.
+        A dedupe initial load comes out of the latest-row window, whose
+        exchange hash-partitions by the key into
+        ``spark.sql.shuffle.partitions`` -- the bucket layout itself when
+        the counts are equal (AQE only merges whole partitions).  Only the
+        number of files depends on this, never the result."""
+        if op == "INCREMENTAL UPDATE":
+            return True
+        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        return ds.mode == "dedupe_latest" and table.effective_buckets() == shuffle
+
     def run(self, datasets: list[SilverDataset], plan_only: bool = False, rebuild: bool = False,
             confirm: bool = False) -> DataFrame:
         """Load every dataset; one summary row each (errors isolated)."""

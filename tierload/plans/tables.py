@@ -87,6 +87,10 @@ class SnapshotTable:
         val = self._version_prop(BUCKETS_PROP)
         return int(val) if val else None
 
+    def effective_buckets(self) -> int | None:
+        """Bucket count the next version will have."""
+        return (self.stored_buckets() or self.buckets) if self.key else None
+
     def state(self) -> tuple | None:
         """``(date 'YYYY-MM-DD', batch_id)`` of the newest Bronze batch in
         the table, or ``None`` when empty.  Read from the version's

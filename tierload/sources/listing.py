@@ -9,6 +9,9 @@ inference so every file comes back as a plain path.
 
 from __future__ import annotations
 
+import os
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +23,6 @@ _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
 def _strip_scheme(path: str) -> str:
-    import re
     return re.sub(_SCHEME, "", path)
 
 
@@ -31,6 +33,8 @@ def list_files(spark: SparkSession, root: str, prefix: str = "",
     style, prefix included).  Only ``.parquet`` files (any case) unless
     ``parquet_only=False``."""
     base = root.rstrip("/")
+    if not re.match(_SCHEME, base) and not base.startswith("/"):
+        base = os.path.abspath(base)          # the source reports absolute paths
     p = normalize_prefix_str(prefix)
     df = (spark.read.format("binaryFile")
           .option("recursiveFileLookup", "true")
