@@ -4,7 +4,7 @@ constructor checks the loaders rely on."""
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from .operators.columns import ColumnMap, as_column_maps
 from .operators.quality import DEFAULT_MAX_YEARS_FROM_TODAY, DEFAULT_MIN_TIMESTAMP
@@ -159,8 +159,8 @@ def safe_batch_size(requested: int, n_columns: int) -> int:
 
 
 __all__ = ["ColumnMap", "ConfigError", "DateValidation", "GoldSettings", "GoldTable",
-           "SilverDataset", "safe_batch_size", "validate_gold_config", "validate_gold_table",
-           "field"]
+           "SilverDataset", "gold_config_from_json", "safe_batch_size",
+           "silver_config_from_json", "validate_gold_config", "validate_gold_table"]
 
 
 # ------------------------------------------------------------ JSON config
