@@ -30,9 +30,17 @@ def _q(c: str) -> str:
     return f"`{c}`"
 
 
+def _align(source: DataFrame, pk: list[str], partitions: int | None) -> DataFrame:
+    """Hash-partition the (small, deduplicated) source by the key into
+    the target's bucket count, so the join keeps the bucketed target in
+    place instead of re-shuffling it to the session's partition count."""
+    return source if not partitions else source.repartition(partitions, *[F.col(k) for k in pk])
+
+
 def merge_latest(target: DataFrame, source: DataFrame, pk: list[str], cursor: str,
                  run_ts=None, tie_breakers=(), source_is_latest: bool = False,
-                 date_col: str = "ingestion_date", batch_col: str = "batch_id") -> DataFrame:
+                 date_col: str = "ingestion_date", batch_col: str = "batch_id",
+                 partitions: int | None = None) -> DataFrame:
     """Incremental MERGE of a Bronze slice into Silver.
 
     ``source`` is reduced to its latest row per key *before* the join
@@ -49,9 +57,11 @@ def merge_latest(target: DataFrame, source: DataFrame, pk: list[str], cursor: st
 
     NULL keys never match (``=`` semantics): such source rows are
     inserted.  Output columns follow the target's order, then any new
-    source business column.
+    source business column.  ``partitions``: the target's bucket count
+    when it differs from ``spark.sql.shuffle.partitions``.
     """
     s = source if source_is_latest else latest_per_key(source, pk, cursor, tie_breakers)
+    s = _align(s, pk, partitions)
     src_cols = [c for c in s.columns if c not in (date_col, batch_col)]
     tgt_cols = list(target.columns)
     out_cols = tgt_cols + [c for c in src_cols if c not in tgt_cols]
@@ -101,7 +111,7 @@ def merge_outcome(target: DataFrame, source_latest: DataFrame, pk: list[str],
 
 def upsert(target: DataFrame, source: DataFrame, pk: list[str],
            duplicates: str = "error", cursor: str | None = None,
-           tie_breakers=()) -> DataFrame:
+           tie_breakers=(), partitions: int | None = None) -> DataFrame:
     """INSERT ... ON CONFLICT: overwrite every non-key column, or do
     nothing when every column is part of the key.
 
@@ -117,14 +127,16 @@ def upsert(target: DataFrame, source: DataFrame, pk: list[str],
     elif duplicates != "trust":
         raise ValueError(f"unknown duplicates policy {duplicates!r}")
     if all(c in pk for c in source.columns):
-        return upsert_do_nothing(target, source, pk)
-    return upsert_overwrite(target, source, pk)
+        return upsert_do_nothing(target, source, pk, partitions)
+    return upsert_overwrite(target, source, pk, partitions)
 
 
-def upsert_overwrite(target: DataFrame, source: DataFrame, pk: list[str]) -> DataFrame:
+def upsert_overwrite(target: DataFrame, source: DataFrame, pk: list[str],
+                     partitions: int | None = None) -> DataFrame:
     """Insert new keys; replace every mapped non-key column of existing
     keys unconditionally.  Target-only columns keep their values on
     update and are NULL on insert.  One full-outer join on the key."""
+    source = _align(source, pk, partitions)
     tgt_cols = list(target.columns)
     src_cols = list(source.columns)
     out_cols = tgt_cols + [c for c in src_cols if c not in tgt_cols]
@@ -143,12 +155,13 @@ def upsert_overwrite(target: DataFrame, source: DataFrame, pk: list[str]) -> Dat
     return j.select(*[pick(c) for c in out_cols])
 
 
-def upsert_do_nothing(target: DataFrame, source: DataFrame, pk: list[str]) -> DataFrame:
+def upsert_do_nothing(target: DataFrame, source: DataFrame, pk: list[str],
+                      partitions: int | None = None) -> DataFrame:
     """All columns are key columns: insert missing keys, leave existing
     rows untouched (target-only columns keep their values; a key repeated
     in the source is inserted once).  One full-outer join on the key, so
     the output stays aligned with a table bucketed by the key."""
-    src = source.select(*pk).dropDuplicates(pk)
+    src = _align(source.select(*pk).dropDuplicates(pk), pk, partitions)
     tgt_cols = list(target.columns)
     t = target.select(*[F.col(_q(c)).alias(f"t__{c}") for c in tgt_cols], F.lit(True).alias(_T))
     s = src.select(*[F.col(_q(c)).alias(f"s__{c}") for c in pk])

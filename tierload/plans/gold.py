@@ -95,7 +95,9 @@ class GoldLoad:
         if t.watermark_enabled:
             metrics.append(F.max(F.col(t.watermark_target).cast("timestamp_ntz")).alias("wm"))
         src = src.observe(obs, *metrics)
-        target.write(gold_upsert(target.read(), src, t, duplicates="trust"), aligned=True)
+        merged = gold_upsert(target.read(), src, t, duplicates="trust",
+                             partitions=target.join_partitions())
+        target.write(merged, aligned=True)
         m = obs.get
         if self.jdbc is not None:                # relational copy: staging + one MERGE
             self.jdbc.upsert(src, t.target_table, list(t.primary_keys),
@@ -106,7 +108,8 @@ class GoldLoad:
             store = self.store()
             entry = self.spark.createDataFrame([(t.source_table, new_wm)],
                                                "source_table string, last_watermark timestamp_ntz")
-            store.write(save_watermarks(store.read(), entry, self.run_ts))
+            store.write(save_watermarks(store.read(), entry, self.run_ts,
+                                        partitions=store.join_partitions()), aligned=True)
         return (t.source_table, t.target_table, "OK", m.get("rows"), prev, new_wm, batch)
 
     def run(self, tables: list[GoldTable]) -> DataFrame:

@@ -31,9 +31,9 @@ def next_watermark(silver_slice: DataFrame, table: GoldTable, previous=None) ->
 
 
 def gold_upsert(target: DataFrame, source: DataFrame, table: GoldTable,
-                duplicates: str = "error") -> DataFrame:
+                duplicates: str = "error", partitions: int | None = None) -> DataFrame:
     return upsert(target, source, list(table.primary_keys), duplicates=duplicates,
-                  cursor=table.watermark_target)
+                  cursor=table.watermark_target, partitions=partitions)
 
 
 def watermark_rows(entries: DataFrame, run_ts=None) -> DataFrame:
@@ -44,6 +44,8 @@ def watermark_rows(entries: DataFrame, run_ts=None) -> DataFrame:
                           stamp.alias("updated_at"))
 
 
-def save_watermarks(store: DataFrame, entries: DataFrame, run_ts=None) -> DataFrame:
+def save_watermarks(store: DataFrame, entries: DataFrame, run_ts=None,
+                    partitions: int | None = None) -> DataFrame:
     """Upsert new high-water marks into the store (key ``source_table``)."""
-    return upsert(store, watermark_rows(entries, run_ts), ["source_table"], duplicates="error")
+    return upsert(store, watermark_rows(entries, run_ts), ["source_table"], duplicates="error",
+                  partitions=partitions)

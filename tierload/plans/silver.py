@@ -69,7 +69,7 @@ class SilverLoad:
         state = table.state()          # stored with the version: no Silver scan
         if ds.mode == "dedupe_latest":
             frame = sf.merge_load(current, bronze, ds, self.validation, state, self.as_of,
-                                  self.run_ts)
+                                  self.run_ts, partitions=table.join_partitions())
         else:
             frame = sf.append_load(bronze, ds, self.validation, state, self.as_of, self.run_ts)
         return "INCREMENTAL UPDATE", frame, table, state, missing

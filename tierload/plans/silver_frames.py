@@ -58,7 +58,9 @@ def merge_source(bronze: DataFrame, ds: SilverDataset, validation: DateValidatio
 
 def merge_load(silver: DataFrame, bronze: DataFrame, ds: SilverDataset,
                validation: DateValidation = DateValidation(), state=None, as_of=None,
-               run_ts=None) -> DataFrame:
-    """Incremental MERGE: the next full version of ``silver``."""
+               run_ts=None, partitions: int | None = None) -> DataFrame:
+    """Incremental MERGE: the next full version of ``silver``
+    (``partitions``: Silver's bucket count, see ``merge_latest``)."""
     src = merge_source(bronze, ds, validation, state, as_of)
-    return merge_latest(silver, src, list(ds.pk), ds.cursor, run_ts, source_is_latest=True)
+    return merge_latest(silver, src, list(ds.pk), ds.cursor, run_ts, source_is_latest=True,
+                        partitions=partitions)

@@ -91,6 +91,15 @@ class SnapshotTable:
         """Bucket count the next version will have."""
         return (self.stored_buckets() or self.buckets) if self.key else None
 
+    def join_partitions(self) -> int | None:
+        """Partition count a source must be hash-partitioned into to join
+        this table without moving it: the bucket count when it differs
+        from ``spark.sql.shuffle.partitions`` (else ``None``: the source's
+        own shuffle already matches)."""
+        b = self.effective_buckets()
+        shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        return b if b and b != shuffle else None
+
     def state(self) -> tuple | None:
         """``(date 'YYYY-MM-DD', batch_id)`` of the newest Bronze batch in
         the table, or ``None`` when empty.  Read from the version's

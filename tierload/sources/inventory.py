@@ -24,8 +24,10 @@ def changed_files(listing: DataFrame, inventory: DataFrame) -> DataFrame:
     return listing.join(inventory.select(*CHANGE_KEY), CHANGE_KEY, "left_anti")
 
 
-def inventory_upsert(inventory: DataFrame, entries: DataFrame, run_ts=None) -> DataFrame:
+def inventory_upsert(inventory: DataFrame, entries: DataFrame, run_ts=None,
+                     partitions: int | None = None) -> DataFrame:
     """Insert-or-replace ``entries`` by ``(dataset, key)``, stamping
     ``processed_at``."""
     stamp = ts_lit(run_ts) if run_ts is not None else F.localtimestamp()
-    return upsert_overwrite(inventory, entries.withColumn("processed_at", stamp), INVENTORY_KEY)
+    return upsert_overwrite(inventory, entries.withColumn("processed_at", stamp), INVENTORY_KEY,
+                            partitions)

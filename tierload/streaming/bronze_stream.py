@@ -44,8 +44,8 @@ def merge_batches(table: SnapshotTable, ds: SilverDataset, validation: DateValid
             else:
                 table.write(sf.append_load(batch, ds, validation, None, as_of, run_ts))
         elif ds.mode == "dedupe_latest":
-            table.write(sf.merge_load(table.read(), batch, ds, validation, None, as_of, run_ts),
-                        aligned=True)
+            table.write(sf.merge_load(table.read(), batch, ds, validation, None, as_of, run_ts,
+                                      partitions=table.join_partitions()), aligned=True)
         else:
             table.append(sf.append_load(batch, ds, validation, None, as_of, run_ts))
     return run
