@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from .config import DateValidation, GoldTable, SilverDataset
+from .config import DateValidation, GoldSettings, GoldTable, SilverDataset
 from .functions import (catalog_type, normalize_prefix, sanitize_identifier, strip_prefix, ts_lit,
                         type_compatible)
 from .operators import (ColumnMap, add_missing_columns, batch_state, date_anomaly_filter,
@@ -18,24 +18,22 @@ from .operators import (ColumnMap, add_missing_columns, batch_state, date_anomal
                         prune_null_columns, read_state, reconcile_missing_keys, schema_diff,
                         schema_diff_frame, schema_pairs, upsert, watermark_filter, watermark_max)
 from .plans import silver_frames as sf
-from .config import GoldSettings
+from .plans.crawl import crawl
 from .plans.flagship import flagship
 from .plans.gold import GoldLoad
-from .plans.silver import load_silver
-from .session import new_run_dir
 from .plans.gold_frames import gold_source, gold_upsert, save_watermarks, watermark_rows
-from .plans.crawl import crawl
+from .plans.silver import load_silver
 from .plans.tables import SnapshotTable
-from .sources.jdbc import JdbcTarget, derby_memory_url
-from .streaming.bronze_stream import stream_silver
+from .session import new_run_dir
 from .sources.catalog import show_partitions
-from .sources.listing import bronze_scan, list_files
-from .sources.schema import table_columns
 from .sources.inventory import changed_files, inventory_upsert
+from .sources.jdbc import JdbcTarget, derby_memory_url
+from .sources.listing import bronze_scan, list_files
 from .sources.paths import (dataset_summary, distinct_partitions, flatten, new_partitions,
                             parse_keys, partition_layout_check)
-from .sources.schema import infer_schema
+from .sources.schema import infer_schema, table_columns
 from .sources.staging import staging_csv
+from .streaming.bronze_stream import stream_silver
 
 EVENTS_DATASET = SilverDataset(
     name="events", pk=fx.EVENTS_PK, cursor=fx.EVENTS_CURSOR, mode="dedupe_latest",
