@@ -372,6 +372,31 @@ def _sql_tables() -> dict[str, str]:
                                  fx.RUN_TS_2)
                   + ") SELECT entity_id, event_type, CAST(value AS DOUBLE) AS last_value, "
                     "cursor_ts AS modified_at, event_id AS last_event_id FROM merged")
+    split = f"'{fx.SPLIT_DATE}'"
+    q["run_summary"] = (
+        f"{TARGET_CTES},\n{SOURCE_CTE},\n"
+        f"merged AS ({merge_select('target', 'source', SILVER_COLS, fx.EVENTS_PK, fx.EVENTS_CURSOR, fx.RUN_TS_2)}),\n"
+        f"log AS (SELECT * FROM clean WHERE ingestion_date <= {split}),\n"
+        "log_d AS (SELECT max(CAST(ingestion_date AS TIMESTAMP)) AS d FROM log),\n"
+        "log_state AS (SELECT d, (SELECT max(batch_id) FROM log "
+        "WHERE CAST(ingestion_date AS TIMESTAMP) = log_d.d) AS b FROM log_d),\n"
+        "log_added AS (SELECT clean.* FROM clean, log_state WHERE "
+        + state_pred("log_state.d", "log_state.b") + "),\n"
+        "st_txt AS (SELECT strftime(d, '%Y-%m-%d') AS sd, b AS sb FROM state),\n"
+        "log_txt AS (SELECT strftime(d, '%Y-%m-%d') AS sd, b AS sb FROM log_state)\n"
+        "SELECT 'events' AS dataset, 'dedupe_latest' AS mode, 'INITIAL LOAD' AS operation, "
+        "'OK (INITIAL LOAD)' AS status, (SELECT count(*) FROM target) AS rows_written, "
+        "CAST(NULL AS VARCHAR) AS state_date, CAST(NULL AS VARCHAR) AS state_batch, 1 AS run\n"
+        "UNION ALL SELECT 'events_log', 'append_only', 'INITIAL LOAD', 'OK (INITIAL LOAD)', "
+        "(SELECT count(*) FROM log), NULL, NULL, 1\n"
+        "UNION ALL SELECT 'events_gated', 'append_only', NULL, "
+        "'SKIPPED (requires confirmation): needs review', NULL, NULL, NULL, 1\n"
+        "UNION ALL SELECT 'events', 'dedupe_latest', 'INCREMENTAL UPDATE', 'OK (INCREMENTAL UPDATE)', "
+        "(SELECT count(*) FROM merged), sd, sb, 2 FROM st_txt\n"
+        "UNION ALL SELECT 'events_log', 'append_only', 'INCREMENTAL UPDATE', "
+        "'OK (INCREMENTAL UPDATE)', (SELECT count(*) FROM log_added), sd, sb, 2 FROM log_txt\n"
+        "UNION ALL SELECT 'events_gated', 'append_only', NULL, "
+        "'SKIPPED (requires confirmation): needs review', NULL, NULL, NULL, 2")
     q["bronze_scan"] = f"WITH {fx.BRONZE_EVENTS_SQL} SELECT * FROM bronze_events"
     q["bronze_table_scan"] = q["bronze_scan"]
     q["catalog_partitions"] = (f"WITH {fx.BRONZE_EVENTS_SQL} SELECT DISTINCT ingestion_date, batch_id "
