@@ -397,6 +397,35 @@ def _sql_tables() -> dict[str, str]:
         "'OK (INCREMENTAL UPDATE)', (SELECT count(*) FROM log_added), sd, sb, 2 FROM log_txt\n"
         "UNION ALL SELECT 'events_gated', 'append_only', NULL, "
         "'SKIPPED (requires confirmation): needs review', NULL, NULL, NULL, 2")
+    # Bronze written by Spark as one file per partition folder (see
+    # fixtures.write_bronze_files): EVENTS by (ingestion_date, batch_id),
+    # Orders.v1 by o_orderpriority.
+    crawl_facts = (
+        f"WITH {fx.BRONZE_EVENTS_SQL},\n"
+        "ev AS (SELECT count(*) AS n, min('ingestion_date=' || ingestion_date || '/batch_id=' || batch_id) "
+        "AS first_dir FROM (SELECT DISTINCT ingestion_date, batch_id FROM bronze_events)),\n"
+        "od AS (SELECT count(*) AS n, min('o_orderpriority=' || o_orderpriority) AS first_dir "
+        "FROM (SELECT DISTINCT o_orderpriority FROM orders)),\n"
+        "ev_cols AS (SELECT count(*) AS c FROM (DESCRIBE SELECT * EXCLUDE (ingestion_date, batch_id) "
+        "FROM bronze_events)),\n"
+        "od_cols AS (SELECT count(*) AS c FROM (DESCRIBE SELECT * EXCLUDE (o_orderpriority) FROM orders))\n")
+
+    def crawl_rows(action: str, created_ev: str, created_od: str, source: str, run: str = "") -> str:
+        r = f", {run} AS run" if run else ""
+        return (f"SELECT 'EVENTS' AS dataset, 'events' AS table_name, n AS n_files, "
+                f"'EVENTS/' || first_dir || '/' AS sample_dir, CAST(c AS INTEGER) AS n_columns, "
+                f"'ingestion_date,batch_id' AS partition_columns, n AS n_partitions, "
+                f"'{action}' AS action, {created_ev} AS partitions_created, "
+                f"{'NULL' if created_ev == 'NULL' else '0'} AS partitions_failed, "
+                f"'{source}' AS schema_source{r} FROM ev, ev_cols\n"
+                f"UNION ALL SELECT 'Orders.v1', 'orders_v1', n, 'Orders.v1/' || first_dir || '/', "
+                f"CAST(c AS INTEGER), 'o_orderpriority', n, '{action}', {created_od}, "
+                f"{'NULL' if created_od == 'NULL' else '0'}, '{source}'{(', ' + run) if run else ''} "
+                f"FROM od, od_cols")
+
+    q["crawl_plan"] = crawl_facts + crawl_rows("PLAN", "NULL", "NULL", "file")
+    q["register_table"] = (crawl_facts + crawl_rows("created", "ev.n", "od.n", "file", "1")
+                           + "\nUNION ALL\n" + crawl_rows("updated", "0", "0", "cache", "2"))
     q["bronze_scan"] = f"WITH {fx.BRONZE_EVENTS_SQL} SELECT * FROM bronze_events"
     q["bronze_table_scan"] = q["bronze_scan"]
     q["catalog_partitions"] = (f"WITH {fx.BRONZE_EVENTS_SQL} SELECT DISTINCT ingestion_date, batch_id "

@@ -506,9 +506,20 @@ def _registered_db(spark, sf_dir) -> str:
     return db
 
 
+def _crawl_report(summary):
+    """The crawl summary without run-specific text: the table's name
+    without the run's database, the sample file's folder instead of its
+    (writer-generated) file name."""
+    return summary.select(
+        "dataset", F.substring_index("table_name", ".", -1).alias("table_name"), "n_files",
+        F.regexp_extract("sample_file", r"^(.*/)[^/]*$", 1).alias("sample_dir"), "n_columns",
+        "partition_columns", "n_partitions", "action", "partitions_created", "partitions_failed",
+        "schema_source")
+
+
 @query("crawl_plan")
 def q_crawl_plan(spark, sf_dir):
-    return _crawled(spark, sf_dir, plan_only=True)[1]
+    return _crawl_report(_crawled(spark, sf_dir, plan_only=True)[1])
 
 
 @query("register_table")
@@ -516,8 +527,9 @@ def q_register_table(spark, sf_dir):
     db, first = _crawled(spark, sf_dir)
     root = fx.write_bronze_files(spark, sf_dir)
     again = crawl(spark, root, "", db, inventory=f"{db}.crawler_files")   # re-crawl: no new partitions
-    return (spark.createDataFrame(first.collect(), first.schema).withColumn("run", F.lit(1))
-            .unionByName(again.withColumn("run", F.lit(2))))
+    first = spark.createDataFrame(first.collect(), first.schema)
+    return (_crawl_report(first).withColumn("run", F.lit(1))
+            .unionByName(_crawl_report(again).withColumn("run", F.lit(2))))
 
 
 @query("table_columns")
