@@ -42,6 +42,9 @@ EVENTS_APPEND = SilverDataset(
     name="events_log", pk=fx.EVENTS_PK, cursor=fx.EVENTS_CURSOR, mode="append_only",
     exclude_columns=("Valid_TS",))
 VALIDATION = DateValidation(fx.MIN_TS, fx.MAX_YEARS)
+# Bucket count of the keyed tables the writer queries create: sized for
+# the fixtures (the library default follows spark.sql.shuffle.partitions).
+FIXTURE_BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -410,9 +413,10 @@ def q_silver_rebuild(spark, sf_dir):
     bronze = _bronze(spark, sf_dir)
     first = bronze.where(F.col("ingestion_date") <= fx.SPLIT_DATE)
     load_silver(spark, lambda _: first, [EVENTS_DATASET], VALIDATION, as_of=fx.AS_OF,
-                run_ts=fx.RUN_TS_2, table_prefix=prefix).collect()
+                run_ts=fx.RUN_TS_2, table_prefix=prefix, buckets=FIXTURE_BUCKETS).collect()
     load_silver(spark, lambda _: bronze, [EVENTS_DATASET], VALIDATION, rebuild=True,
-                as_of=fx.AS_OF, run_ts=fx.RUN_TS_1, table_prefix=prefix).collect()
+                as_of=fx.AS_OF, run_ts=fx.RUN_TS_1, table_prefix=prefix,
+                buckets=FIXTURE_BUCKETS).collect()
     return spark.table(f"{prefix}{EVENTS_DATASET.name}")
 
 
@@ -427,10 +431,10 @@ def q_run_summary(spark, sf_dir):
                           mode="append_only", requires_confirmation=True, note="needs review")
     datasets = [EVENTS_DATASET, EVENTS_APPEND, gated]
     s1 = load_silver(spark, lambda _: first, datasets, VALIDATION, as_of=fx.AS_OF,
-                     run_ts=fx.RUN_TS_1, table_prefix=prefix)
+                     run_ts=fx.RUN_TS_1, table_prefix=prefix, buckets=FIXTURE_BUCKETS)
     s1 = spark.createDataFrame(s1.collect(), s1.schema).withColumn("run", F.lit(1))
     s2 = load_silver(spark, lambda _: bronze, datasets, VALIDATION, as_of=fx.AS_OF,
-                     run_ts=fx.RUN_TS_2, table_prefix=prefix)
+                     run_ts=fx.RUN_TS_2, table_prefix=prefix, buckets=FIXTURE_BUCKETS)
     return s1.unionByName(s2.withColumn("run", F.lit(2)))
 
 
@@ -442,7 +446,7 @@ def q_gold_load(spark, sf_dir):
     gold_prefix, wm_table = f"gold_{tag}_", f"gold_{tag}_watermarks"
     loader = GoldLoad(spark, lambda _: fx.silver_orders(spark, sf_dir), GoldSettings(
         watermark_overlap_seconds=fx.GOLD_OVERLAP_SECONDS), gold_prefix, wm_table,
-        run_ts=fx.RUN_TS_2)
+        buckets=FIXTURE_BUCKETS, run_ts=fx.RUN_TS_2)
     loader.target(ORDERS_GOLD).write(fx.gold_target(spark, sf_dir))
     store = loader.ensure_store()
     store.write(save_watermarks(store.read(), spark.createDataFrame(
@@ -457,7 +461,8 @@ def q_gold_watermark_store(spark, sf_dir):
     """The watermark store after a first (full) Gold run of orders."""
     tag = _run_tag(spark)
     loader = GoldLoad(spark, lambda _: fx.silver_orders(spark, sf_dir), GoldSettings(),
-                      f"gold_{tag}_", f"gold_{tag}_watermarks", run_ts=fx.RUN_TS_1)
+                      f"gold_{tag}_", f"gold_{tag}_watermarks", buckets=FIXTURE_BUCKETS,
+                      run_ts=fx.RUN_TS_1)
     loader.run([ORDERS_GOLD]).collect()
     return spark.table(f"gold_{tag}_watermarks")
 
@@ -569,7 +574,7 @@ def q_stream_merge(spark, sf_dir):
     loc = f"{root}/EVENTS"
     data_schema = spark.read.parquet(loc).schema
     tag = _run_tag(spark)
-    table = SnapshotTable(spark, f"silver_stream_{tag}", key=fx.EVENTS_PK)
+    table = SnapshotTable(spark, f"silver_stream_{tag}", key=fx.EVENTS_PK, buckets=FIXTURE_BUCKETS)
     q = stream_silver(spark, loc, data_schema, ["ingestion_date", "batch_id"], table,
                       EVENTS_DATASET, new_run_dir(spark, "stream-cp"), VALIDATION, fx.AS_OF,
                       fx.RUN_TS_1, max_files_per_trigger=250)
