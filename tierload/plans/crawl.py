@@ -37,19 +37,24 @@ class NameCollision(ValueError):
 
 
 def crawl(spark: SparkSession, root: str, prefix: str = "", database: str | None = None,
-          plan_only: bool = False, inventory: str | None = None, run_ts=None) -> DataFrame:
-    """Discover and register every dataset below ``root/prefix``."""
+          plan_only: bool = False, inventory: str | None = None, run_ts=None,
+          inventory_buckets: int | None = None) -> DataFrame:
+    """Discover and register every dataset below ``root/prefix``; the file
+    inventory (if named) is a keyed table on ``(dataset, key)`` with
+    ``inventory_buckets`` buckets (default: the shuffle parallelism)."""
     base = root.rstrip("/")
     p = normalize_prefix_str(prefix)
     listing = list_files(spark, base, p)
     parsed = parse_keys(listing, "key", p).cache()   # reused by summary and partitions
     try:
-        return _crawl(spark, base, parsed, listing, database, plan_only, inventory, run_ts)
+        return _crawl(spark, base, parsed, database, plan_only, inventory, run_ts,
+                      inventory_buckets)
     finally:
         parsed.unpersist()
 
 
-def _crawl(spark, base, parsed, listing, database, plan_only, inventory, run_ts) -> DataFrame:
+def _crawl(spark, base, parsed, database, plan_only, inventory, run_ts,
+           inventory_buckets) -> DataFrame:
     summary = dataset_summary(parsed).collect()       # one row per dataset
     names: dict[str, str] = {}
     for r in summary:
@@ -57,7 +62,8 @@ def _crawl(spark, base, parsed, listing, database, plan_only, inventory, run_ts)
         if other != r["dataset"]:
             raise NameCollision(f"datasets {other!r} and {r['dataset']!r} both map to table "
                                 f"{r['table_name']!r}")
-    inv = SnapshotTable(spark, inventory, key=INVENTORY_KEY) if inventory else None
+    inv = (SnapshotTable(spark, inventory, key=INVENTORY_KEY, buckets=inventory_buckets)
+           if inventory else None)
     cache = _schema_cache(inv, parsed) if inv is not None and inv.exists() else {}
     partitions = distinct_partitions(parsed).withColumn(
         "location", F.concat(F.lit(base + "/"), F.col("location")))

@@ -497,7 +497,8 @@ def _crawled(spark, sf_dir, plan_only=False):
     root = fx.write_bronze_files(spark, sf_dir)
     db = f"bronze_{_run_tag(spark)}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    summary = crawl(spark, root, "", db, plan_only=plan_only, inventory=f"{db}.crawler_files")
+    summary = crawl(spark, root, "", db, plan_only=plan_only, inventory=f"{db}.crawler_files",
+                    inventory_buckets=FIXTURE_BUCKETS)
     return db, summary
 
 
@@ -531,7 +532,8 @@ def q_crawl_plan(spark, sf_dir):
 def q_register_table(spark, sf_dir):
     db, first = _crawled(spark, sf_dir)
     root = fx.write_bronze_files(spark, sf_dir)
-    again = crawl(spark, root, "", db, inventory=f"{db}.crawler_files")   # re-crawl: no new partitions
+    again = crawl(spark, root, "", db, inventory=f"{db}.crawler_files",   # re-crawl: nothing new
+                  inventory_buckets=FIXTURE_BUCKETS)
     first = spark.createDataFrame(first.collect(), first.schema)
     return (_crawl_report(first).withColumn("run", F.lit(1))
             .unionByName(_crawl_report(again).withColumn("run", F.lit(2))))
