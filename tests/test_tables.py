@@ -174,3 +174,15 @@ def test_initial_load_one_file_per_bucket_without_extra_shuffle(spark):
     t = SnapshotTable(spark, f"{prefix}events", key=fx.EVENTS_PK)
     assert t.stored_buckets() == buckets
     assert 0 < _files(spark, t.current_version()) <= buckets
+
+
+def test_versions_of_a_qualified_table(spark):
+    db = _name("vdb")
+    spark.sql(f"CREATE DATABASE {db}")
+    t = SnapshotTable(spark, f"{db}.snap", key=["id"], buckets=2)
+    first = t.write(spark.createDataFrame([(1,)], "id int"))
+    t.write(spark.createDataFrame([(2,)], "id int"))
+    third = t.write(spark.createDataFrame([(3,)], "id int"))
+    assert len(t.versions()) == 3 and all(v.startswith(f"{db}.") for v in t.versions())
+    assert t.drop_old_versions(keep=2) == [first]
+    assert t.current_version() == third and [r[0] for r in spark.table(t.name).collect()] == [3]
