@@ -424,6 +424,12 @@ def _sql_tables() -> dict[str, str]:
                 f"FROM od, od_cols")
 
     q["crawl_plan"] = crawl_facts + crawl_rows("PLAN", "NULL", "NULL", "file")
+    q["file_listing"] = (
+        f"WITH {fx.BRONZE_EVENTS_SQL} SELECT 'EVENTS' AS dataset, "
+        "ingestion_date || '/' || batch_id AS values, TRUE AS non_empty "
+        "FROM (SELECT DISTINCT ingestion_date, batch_id FROM bronze_events) "
+        "UNION ALL SELECT 'Orders.v1', o_orderpriority, TRUE "
+        "FROM (SELECT DISTINCT o_orderpriority FROM orders)")
     q["register_table"] = (crawl_facts + crawl_rows("created", "ev.n", "od.n", "file", "1")
                            + "\nUNION ALL\n" + crawl_rows("updated", "0", "0", "cache", "2"))
     q["bronze_scan"] = f"WITH {fx.BRONZE_EVENTS_SQL} SELECT * FROM bronze_events"
