@@ -218,3 +218,13 @@ def test_watermark_in_primary_key_only_warns():
     t = _t(primary_keys=["id", "name"], watermark_enabled=True, watermark_column="foo_name")
     warnings = validate_gold_table(t)
     assert len(warnings) == 1 and "primary key" in warnings[0]
+
+
+def test_write_staging_files(spark, tmp_path):
+    from tierload.sources.staging import write_staging
+    df = spark.createDataFrame([("A1", None, 'q"x'), ("A2", True, "")],
+                               "id string, flag boolean, note string")
+    out = str(tmp_path / "staging")
+    write_staging(df, out)
+    lines = sorted(r.value for r in spark.read.text(out).collect())
+    assert lines == ['"A1",\\N,"q""x"', '"A2","true",""']
