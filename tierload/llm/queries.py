@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierload.llm import decontam, mixture, neardup, quality, substrings, tokens
+from tierload.llm import decontam, mixture, neardup, pii, quality, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOKEN_LIMIT = 1024
@@ -38,6 +38,16 @@ def op3_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                        base.alias("base_failed"), (~base & ~quality.DEFAULT_POLICY.rejects(bits)).alias("kept"), "fail_bits")
 
 
+@_query
+def op4_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.extract(_table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["k"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{kind}")
+              for k, kind in enumerate(pii.KINDS[:pii.CONTEXT])]
+    return rows.select("doc_id", *counts, F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
+                       pii.spans_text(F.col("spans")).alias("spans"))
+
+
 @_query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(_table(spark, sf_dir, "documents"), window=13)
