@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierload.llm import decontam, mixture, neardup, pii, quality, substrings, tokens
+from tierload.llm import decontam, hmm, mixture, neardup, pii, quality, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOKEN_LIMIT = 1024
@@ -48,6 +48,12 @@ def op4_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                        pii.spans_text(F.col("spans")).alias("spans"))
 
 
+@_query
+def op5_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return hmm.score_texts(_table(spark, sf_dir, "documents"), held_out)
+
+
 @_query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(_table(spark, sf_dir, "documents"), window=13)
