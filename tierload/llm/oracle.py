@@ -77,3 +77,35 @@ t AS (SELECT doc_id, count(*) AS n_words FROM dw GROUP BY ALL)
 SELECT d.doc_id, coalesce(t.n_words, 0)::BIGINT AS n_words, coalesce(c.n_hit, 0)::BIGINT AS n_hit, coalesce(it.n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(it.ids, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
 FROM documents d LEFT JOIN t USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN it USING (doc_id)"""
+
+ORACLE_SQL["op1_preference_chat"] = r"""
+WITH c AS (SELECT * FROM conversations WHERE conv_id IS NOT NULL),
+la AS (SELECT conv_id, max(turn) FILTER (role = 'assistant') AS last FROM c GROUP BY 1),
+cut AS (SELECT conv_id, turn, role, text, CASE WHEN role = 'assistant' AND turn = last THEN
+          array_to_string(string_split(text, ' ')[1:greatest(ceil(len(string_split(text, ' ')) / 2.0)::INTEGER, 1)], ' ') ELSE text END AS half
+        FROM c JOIN la USING (conv_id)),
+f AS (SELECT conv_id, arg_min(ROW(role, text), turn) AS opening, coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END), 0) AS score
+      FROM c GROUP BY 1),
+b AS (SELECT opening, arg_max(conv_id, ROW(score, -conv_id)) AS best FROM f GROUP BY 1 HAVING count(*) > 1),
+p AS (SELECT best AS a, conv_id AS b FROM f JOIN b USING (opening) WHERE conv_id <> best),
+t AS (SELECT conv_id AS a, NULL::BIGINT AS b, 'chosen' AS side, turn, role, text FROM cut
+      UNION ALL SELECT conv_id, NULL, 'rejected', turn, role, half FROM cut
+      UNION ALL SELECT a, b, 'chosen', turn, role, text FROM p JOIN c ON conv_id = a
+      UNION ALL SELECT a, b, 'rejected', turn, role, text FROM p JOIN c ON conv_id = b),
+n AS (SELECT *, row_number() OVER (PARTITION BY a, b, side ORDER BY turn, role, text) AS i,
+        '<|' || replace(coalesce(role, 'unknown'), '<|', '< |') || '|>' || chr(10) AS head,
+        replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) AS body FROM t),
+x AS (SELECT n1.a, n1.b, n1.i, n1.role IS NOT DISTINCT FROM n2.role AND n1.text IS NOT DISTINCT FROM n2.text AS same
+      FROM n n1 JOIN n n2 ON n1.a = n2.a AND n1.b IS NOT DISTINCT FROM n2.b AND n1.i = n2.i AND n1.side = 'chosen' AND n2.side = 'rejected'),
+k AS (SELECT a, b, coalesce(min(i) FILTER (NOT same) - 1, max(i)) AS n_common FROM x GROUP BY ALL),
+m AS (SELECT n.*, n_common, sum(length(head) + length(body)) FILTER (i > n_common) OVER (PARTITION BY n.a, n.b, side ORDER BY i) AS stop
+      FROM n JOIN k ON n.a = k.a AND n.b IS NOT DISTINCT FROM k.b),
+r AS (SELECT a, b, n_common,
+        coalesce(string_agg(head || body, '' ORDER BY i) FILTER (side = 'chosen' AND i <= n_common), '') AS prompt,
+        coalesce(string_agg(head || body, '' ORDER BY i) FILTER (side = 'chosen' AND i > n_common), '') AS chosen,
+        coalesce(string_agg(head || body, '' ORDER BY i) FILTER (side = 'rejected' AND i > n_common), '') AS rejected,
+        coalesce(string_agg((stop - length(body))::BIGINT || ':' || stop::BIGINT, ',' ORDER BY i) FILTER (side = 'chosen' AND i > n_common AND role = 'assistant'), '') AS chosen_mask,
+        coalesce(string_agg((stop - length(body))::BIGINT || ':' || stop::BIGINT, ',' ORDER BY i) FILTER (side = 'rejected' AND i > n_common AND role = 'assistant'), '') AS rejected_mask
+      FROM m GROUP BY a, b, n_common)
+SELECT a AS chosen_id, b AS rejected_id, n_common::BIGINT AS n_common, prompt, chosen, rejected, chosen_mask, rejected_mask,
+       chosen_mask <> '' AND rejected_mask <> '' AND chosen <> rejected AS usable FROM r"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierload.llm import decontam, hmm, mixture, neardup, pii, quality, substrings, tokens
+from tierload.llm import decontam, hmm, mixture, neardup, pii, preferences, quality, render, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOKEN_LIMIT = 1024
@@ -24,6 +24,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    pairs = preferences.truncated_pairs(turns).unionAll(preferences.opening_pairs(turns))
+    rows = preferences.format_pairs(pairs, ["chosen_id", "rejected_id"])
+    return rows.select("chosen_id", "rejected_id", "n_common", "prompt", "chosen", "rejected",
+                       preferences.spans_text(F.col("chosen_spans")).alias("chosen_mask"),
+                       preferences.spans_text(F.col("rejected_spans")).alias("rejected_mask"), "usable")
+
+
 @_query
 def op2_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), q=4, percent=80)
@@ -54,6 +64,13 @@ def op5_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_texts(_table(spark, sf_dir, "documents"), held_out)
 
 
+@_query
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = render.render_pages(_table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "text", F.length("text").cast("long").alias("n_chars"),
+                       F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"))
+
+
 @_query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(_table(spark, sf_dir, "documents"), window=13)
