@@ -15,7 +15,11 @@ guaranteed distance is 23 of 60; a pair at J = 0.8 differs in 12 on
 average, and shares no key with probability below 1e-6.
 
 Candidates are confirmed on full shingle sets.  Documents with equal sets
-form one class first, and only class representatives are indexed.  Within
+form one class first, and only class representatives are indexed.  A
+shingle that no other candidate holds cannot lie in an intersection, so
+the number of the others bounds every intersection: it rules out most
+pairs of a family of loose variants exactly, before any set is compared.
+In the last step, parity bitmaps rule out most of the others, exactly too.  Within
 a key, members are linked through hubs (a star, not all pairs) for
 ``STARS`` rounds; afterwards, every pair of members of one key whose
 groups still differ is tested, so no link between different components
@@ -39,7 +43,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierload.llm.common import IdFilter, arrow_map, save
@@ -48,6 +52,7 @@ from tierload.llm.text import Words, blocks, mix
 CHUNKS, CHUNK, ERRORS = 12, 5, 1
 SYMBOLS = CHUNKS * CHUNK
 STARS = 3
+BITMAP = [f"w{i}" for i in range(16)]  # 64-bit words of a parity bitmap
 _SEEDS = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64))
 _ODD = mix(np.arange(101, 101 + SYMBOLS, dtype=np.uint64)) | np.uint64(1)
 
@@ -127,16 +132,34 @@ def index_keys(nodes: DataFrame) -> DataFrame:
     return arrow_map(nodes.select("node", "signature"), fn, "key long, node long")
 
 
+def possible(a: str, b: str, percent: int) -> Column:
+    """Two classes can be linked: neither shares too few shingles with anyone, whatever the other holds.
+
+    A link needs an intersection of percent / (100 + percent) of both sizes, and it lies within the shared shingles.
+    """
+    return (100 + percent) * F.least(F.col(f"{a}.r"), F.col(f"{b}.r")) >= percent * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
+def few_differences(percent: int) -> Column:
+    """The bitmaps x and y of classes c and d do not rule out a link.
+
+    A bitmap holds the parity of the set's shingles per bit, so two sets differ in at least as many shingles as
+    their bitmaps differ in bits; a link allows (100 - percent) / (100 + percent) of both sizes.
+    """
+    bits = sum((F.bit_count(F.col(f"x.{w}").bitwiseXOR(F.col(f"y.{w}"))) for w in BITMAP), F.lit(0))
+    return (100 + percent) * bits <= (100 - percent) * (F.col("c.n") + F.col("d.n"))
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (a, b) with ``linked``: 100 * intersection >= percent * union, on full sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    """``pairs`` (a, b) with ``linked``: 100 * intersection >= percent * union, on full sets.
+
+    Shingles of one class only cannot lie in an intersection, so the shared ones and the full sizes suffice.
+    """
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("n").alias("na"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("n").alias("nb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - both
-    linked = 100 * both >= percent * union
-    # sizes alone rule a pair out before the intersection is taken
-    possible = 100 * F.least(F.size("sa"), F.size("sb")) >= percent * F.greatest(F.size("sa"), F.size("sb"))
-    rows = pairs.join(right, "b").join(left, "a").select("a", "b", F.when(possible, linked).otherwise(False).alias("linked"))
+    linked = (100 + percent) * both >= percent * (F.col("na") + F.col("nb"))
+    rows = pairs.join(right, "b").join(left, "a").select("a", "b", linked.alias("linked"))
     return rows.groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
@@ -191,36 +214,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def linked_classes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, q: int, percent: int) -> DataFrame:
     """(node, component) of the class representatives that have a link."""
     keys = index_keys(nodes)
-    heads = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub != last").select("key", "hub")
-    members = save(keys.join(heads, "key"), "members")
-    shared = IdFilter(members, "node")
-    sets = save(shingle_sets(docs, id_col, text_col, q, shared), "sets")
+    common = keys.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first != last").select("key")
+    found = save(keys.join(common, "key"), "members")
+    sets = save(shared_shingles(save(shingle_sets(docs, id_col, text_col, q, IdFilter(found, "node")), "sets"), percent), "shared")
+    class_of = F.struct("node", F.size("shingles").alias("r"), "n").alias("c")
+    members = save(found.join(sets.select("node", class_of), "node").select("key", "c"), "members")
 
     # first star: each class against its smallest hub
-    pairs = members.where("node != hub").groupBy("node").agg(F.min("hub").alias("a")).select("a", F.col("node").alias("b"))
-    tested = save(confirm(pairs, sets, percent), "tested")
-    all_tested = tested
+    hubs = members.groupBy("key").agg(F.min("c").alias("hub"))
+    pairs = (members.join(hubs, "key").where((F.col("c.node") != F.col("hub.node")) & possible("c", "hub", percent))
+             .groupBy(F.col("c.node").alias("b")).agg(F.min("hub.node").alias("a")).select("a", "b"))
+    all_tested = save(confirm(pairs, sets, percent), "tested")
     names = components(all_tested.where("linked").select("a", "b"))
     for _ in range(STARS - 1):
         open_keys = unresolved(members, names)
         score = (all_tested.select(F.col("a").alias("node"), "linked").unionAll(all_tested.select(F.col("b").alias("node"), "linked"))
                  .groupBy("node").agg(F.sum(F.when(F.col("linked"), 1).otherwise(-1)).alias("score")))
-        ranked = open_keys.join(score, "node", "left").select("key", "node", "component", F.coalesce("score", F.lit(0)).alias("score"))
-        hubs = ranked.groupBy("key").agg(F.max(F.struct("score", (-F.col("node")).alias("minus"), "component")).alias("top"))
-        pairs = (ranked.join(hubs, "key").where(F.col("component") != F.col("top.component"))
-                 .select((-F.col("top.minus")).alias("hub"), "node")
-                 .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+        ranked = open_keys.join(score, F.col("c.node") == F.col("node"), "left").select(
+            "key", "c", "component", F.coalesce("score", F.lit(0)).alias("score"))
+        hubs = ranked.groupBy("key").agg(F.max(F.struct("score", (-F.col("c.node")).alias("minus"), F.col("c").alias("hub"),
+                                                        F.col("component").alias("hub_component"))).alias("top")).select("key", "top.*")
+        pairs = (ranked.select("key", "c", "component").join(hubs, "key")
+                 .where((F.col("component") != F.col("hub_component")) & possible("c", "hub", percent))
+                 .select(F.least("hub.node", "c.node").alias("a"), F.greatest("hub.node", "c.node").alias("b")).distinct()
                  .join(all_tested.select("a", "b"), ["a", "b"], "left_anti"))
         tested = save(confirm(pairs, sets, percent), "tested")
         if not tested.head(1):
             break
         all_tested = all_tested.unionAll(tested)
         names = components(all_tested.where("linked").select("a", "b"))
-    # what no star has joined: every pair of one key whose components still differ
-    rest = unresolved(members, names)
-    other = rest.select("key", F.col("node").alias("node_b"), F.col("component").alias("component_b"))
-    pairs = (rest.join(other, "key").where((F.col("node") < F.col("node_b")) & (F.col("component") != F.col("component_b")))
-             .select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+    # what no star has joined: every possible pair of one key whose components still differ
+    bits = sets.select("node", F.struct(*BITMAP).alias("x"))
+    rest = unresolved(members, names).join(bits, F.col("c.node") == F.col("node")).select("key", "c", "component", "x")
+    other = rest.select("key", F.col("c").alias("d"), F.col("component").alias("other_component"), F.col("x").alias("y"))
+    pairs = (rest.join(other, "key").where((F.col("c.node") < F.col("d.node")) & (F.col("component") != F.col("other_component"))
+                                           & possible("c", "d", percent) & few_differences(percent))
+             .select(F.col("c.node").alias("a"), F.col("d.node").alias("b")).distinct()
              .join(all_tested.select("a", "b"), ["a", "b"], "left_anti"))
     tested = save(confirm(pairs, sets, percent), "tested")
     if tested.where("linked").head(1):
@@ -229,24 +258,41 @@ def linked_classes(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str
 
 
 def unresolved(members: DataFrame, names: DataFrame) -> DataFrame:
-    """(key, node, component) of the keys whose members are in different components."""
-    named = members.select("key", "node").join(names, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component"))
+    """(key, c, component) of the keys whose members are in different components."""
+    named = members.join(names, F.col("c.node") == F.col("node"), "left").select(
+        "key", "c", F.coalesce("component", "c.node").alias("component"))
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
     return save(named.join(mixed, "key"), "open")
 
 
+def shared_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, shingles, bitmap): full size, and the shingles that some other class holds too.
+
+    A class of which fewer than ``percent`` percent are shared can have no link and is left out.
+    """
+    rows = sets.select("node", "n", F.explode("shingles").alias("shingle"))
+    common = rows.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1").select("shingle")
+    kept = rows.join(common, "shingle").groupBy("node", "n").agg(F.collect_list("shingle").alias("shingles"))
+    return kept.where(100 * F.size("shingles") >= percent * F.col("n")).join(sets.select("node", "n", *BITMAP), ["node", "n"])
+
+
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, q: int, ids: IdFilter) -> DataFrame:
     """(node, shingles) of the documents that share an index key with another one."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def fn(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for b in blocks(batch.filter(pa.array(ids.contains(batch.column("id")))), "text"):
-            first, h, _ = shingles(b.column("text"), q)
+            first, h, n = shingles(b.column("text"), q)
             lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("id"), lists], ["node", "shingles"])
+            width = 64 * len(BITMAP)
+            place = np.repeat(np.arange(len(n)), n) * width + (mix(h + np.uint64(7)) % np.uint64(width)).astype(np.int64)
+            odd = (np.bincount(place, minlength=len(n) * width) & 1).reshape(len(n), width)
+            words = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), pa.array(n.astype(np.int32)), lists, *[pa.array(words[:, i].copy()) for i in range(len(BITMAP))]],
+                ["node", "n", "shingles", *BITMAP])
 
-    return arrow_map(src, fn, "node long, shingles array<long>").where(F.size("shingles") > 0)
+    return arrow_map(src, fn, "node long, n int, shingles array<long>, " + ", ".join(f"{w} long" for w in BITMAP)).where(F.size("shingles") > 0)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: int = 5, percent: int = 80) -> DataFrame:
