@@ -197,15 +197,14 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     gone = (rows.withColumn("all", least)
             .where((F.col("least") > F.col("all")) | (F.size("rest") > 0))
             .select("window", F.when(F.col("least") > F.col("all"), F.concat(F.array("least"), F.col("rest")))
-                    .otherwise(F.col("rest")).alias("ids")))
+                    .otherwise(F.col("rest")).alias("ids"))
+            .select(F.explode("ids").alias("id"), "window").repartition("id"))
 
     def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for b in batches:
-            lists = b.column("ids")
-            n = lists.value_lengths().to_numpy()
-            held.append((np.repeat(b.column("window").to_numpy(), n), lists.flatten().to_numpy()))
-            size += int(n.sum())
+            held.append((b.column("window").to_numpy(), b.column("id").to_numpy()))
+            size += b.num_rows
             if size >= 2_000_000:
                 yield grouped(held)
                 held, size = [], 0
