@@ -186,3 +186,36 @@ def test_versions_of_a_qualified_table(spark):
     assert len(t.versions()) == 3 and all(v.startswith(f"{db}.") for v in t.versions())
     assert t.drop_old_versions(keep=2) == [first]
     assert t.current_version() == third and [r[0] for r in spark.table(t.name).collect()] == [3]
+
+
+def _append_frame(spark, ids, batch):
+    from pyspark.sql import functions as F
+    return spark.createDataFrame([(i,) for i in ids], "id int").select(
+        "id", F.lit("2024-01-01").cast("timestamp_ntz").alias("_source_ingestion_date"), F.lit(batch).alias("_source_batch_id"))
+
+
+def test_state_after_an_interrupted_append_comes_from_the_rows(spark, monkeypatch):
+    t = SnapshotTable(spark, "pending_append")
+    t.append(_append_frame(spark, [1], "b1"))
+    monkeypatch.setattr(SnapshotTable, "_save_state", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost driver")))
+    try:
+        t.append(_append_frame(spark, [2], "b2"))
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    assert t.state() == ("2024-01-01", "b2")          # the rows are in: the batch is not loaded again
+    t.append(_append_frame(spark, [3], "b3"))
+    assert t.state() == ("2024-01-01", "b3") and t.read().count() == 3
+
+
+def test_quote_in_a_batch_id(spark):
+    t = SnapshotTable(spark, "quoted_batch")
+    t.append(_append_frame(spark, [1], "b'1"))
+    assert t.state() == ("2024-01-01", "b'1")
+
+
+def test_column_names_differing_in_case_are_the_same_column():
+    from pyspark.sql import types as T
+    from tierload.operators.schema_ops import find_missing_columns
+    one, two = (T.StructType([T.StructField(n, T.IntegerType())]) for n in ("Value", "value"))
+    assert find_missing_columns(one, two) == []

@@ -88,12 +88,20 @@ def watermark_filter(df: DataFrame, column: str, watermark,
     return df.where(F.col(column) >= bound)
 
 
+def watermark_value(df: DataFrame, column: str) -> Column:
+    """The column as a timestamp; text that is none counts as NULL."""
+    c = F.col(column)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return c.try_cast(T.TimestampNTZType())
+    return c.cast(T.TimestampNTZType())
+
+
 def watermark_max(df: DataFrame, column: str, previous=None) -> DataFrame:
     """One row ``watermark``: max of the column (unparseable text and
     NULLs ignored), never below ``previous``."""
     c = F.col(column)
     if not isinstance(df.schema[column].dataType, (T.TimestampNTZType, T.TimestampType)):
-        c = c.try_cast(T.TimestampNTZType())
+        c = watermark_value(df, column)
     m = F.max(c)
     if previous is not None:
         m = F.greatest(m, ts_lit(previous, df.schema[column].dataType

@@ -19,9 +19,9 @@ log = logging.getLogger(__name__)
 
 
 def find_missing_columns(source: T.StructType, target: T.StructType) -> list[T.StructField]:
-    """Fields of ``source`` whose (case-sensitive) name is not in ``target``."""
-    existing = set(target.fieldNames())
-    return [f for f in source.fields if f.name not in existing]
+    """Fields of ``source`` whose name (case ignored, as in the catalog) is not in ``target``."""
+    existing = {n.lower() for n in target.fieldNames()}
+    return [f for f in source.fields if f.name.lower() not in existing]
 
 
 def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:

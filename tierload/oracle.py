@@ -213,7 +213,6 @@ def _sql_gold() -> dict[str, str]:
                              + upsert_select("gold_target", "gold_source", GOLD_COLS, GOLD_COLS,
                                              fx.ORDERS_PK))
     q["gold_load"] = q["upsert_overwrite"]
-    q["jdbc_upsert"] = q["upsert_overwrite"]
     cut = ts(fx.LINK_CUTOFF)
     q["upsert_do_nothing"] = (
         f"WITH t AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_shipdate <= {cut}), "

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from ..config import (ConfigError, GoldSettings, GoldTable, safe_batch_size,
                       validate_gold_config)
 from ..functions.types import catalog_type
+from ..operators.incremental import watermark_value
 from ..operators.quality import assert_unique_keys
 from ..operators.schema_ops import guard, schema_diff
 from .gold_frames import WATERMARK_SCHEMA, gold_source, gold_upsert, save_watermarks
@@ -93,7 +94,7 @@ class GoldLoad:
         obs = Observation(f"gold_{t.target_table}")
         metrics = [F.count(F.lit(1)).alias("rows")]
         if t.watermark_enabled:
-            metrics.append(F.max(F.col(t.watermark_target).cast("timestamp_ntz")).alias("wm"))
+            metrics.append(F.max(watermark_value(src, t.watermark_target)).alias("wm"))
         src = src.observe(obs, *metrics)
         merged = gold_upsert(target.read(), src, t, duplicates="trust",
                              partitions=target.join_partitions())
@@ -121,7 +122,7 @@ class GoldLoad:
             except Exception as e:
                 log.exception("table %s failed", t.target_table)
                 out.append((t.source_table, t.target_table,
-                            f"ERROR: {type(e).__name__}: {e}"[:500], None, None, None, None))
+                            f"ERROR: {type(e).__name__}: {e}", None, None, None, None))
         return self.spark.createDataFrame(out, SUMMARY_SCHEMA)
 
 

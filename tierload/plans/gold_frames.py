@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import GoldTable
+from ..config import ConfigError, GoldTable
 from ..functions.literals import ts_lit
 from ..operators.columns import map_columns
 from ..operators.incremental import watermark_filter, watermark_max
@@ -22,6 +22,9 @@ def gold_source(silver: DataFrame, table: GoldTable, watermark=None,
     src = silver
     if table.watermark_enabled and watermark is not None:
         src = watermark_filter(silver, table.watermark_column, watermark, overlap_seconds)
+    absent = [c.source for c in table.columns if c.source not in silver.columns]
+    if absent:
+        raise ConfigError(f"{table.source_table}: mapped source columns do not exist: {', '.join(absent)}")
     return map_columns(src, table.columns)
 
 

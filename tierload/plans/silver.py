@@ -120,7 +120,7 @@ class SilverLoad:
                 out.append(self.run_one(ds, plan_only, rebuild))
             except Exception as e:  # isolate the failure, keep loading others
                 log.exception("dataset %s failed", ds.name)
-                out.append((ds.name, ds.mode, None, f"ERROR: {type(e).__name__}: {e}"[:500],
+                out.append((ds.name, ds.mode, None, f"ERROR: {type(e).__name__}: {e}",
                             None, None, None))
         return self.spark.createDataFrame(out, SUMMARY_SCHEMA)
 

@@ -33,6 +33,7 @@ BUCKETS_PROP = "tierload.buckets"
 # batch state of the data in a version, observed while it was written
 STATE_DATE_PROP = "tierload.state.date"
 STATE_BATCH_PROP = "tierload.state.batch"
+PENDING_PROP = "tierload.state.pending"   # an append began and has not saved its state
 LINEAGE_DATE, LINEAGE_BATCH = "_source_ingestion_date", "_source_batch_id"
 TABLE_ROOT_CONF = "tierload.table.root"   # shared folder for table versions
 
@@ -106,7 +107,8 @@ class SnapshotTable:
         properties (observed during the write, so no scan); computed with
         one aggregate for versions written without it."""
         date = self._version_prop(STATE_DATE_PROP)
-        if date is not None:
+        # an append that did not finish may have committed its rows: ask the table itself
+        if date is not None and self._version_prop(PENDING_PROP) != "yes":
             return (date[:10], self._version_prop(STATE_BATCH_PROP) or None) if date else None
         current = self.read()
         if LINEAGE_DATE not in current.columns or LINEAGE_BATCH not in current.columns:
@@ -130,8 +132,13 @@ class SnapshotTable:
                                      > (new[0][:10], new[1] or "")):
             new = previous
         date, batch = new if new else ("", "")
-        self.spark.sql(f"ALTER TABLE {_q(vt)} SET TBLPROPERTIES ('{STATE_DATE_PROP}' = "
-                       f"'{date}', '{STATE_BATCH_PROP}' = '{(batch or '')}')")
+        self._set_props(vt, {STATE_DATE_PROP: date, STATE_BATCH_PROP: batch or "", PENDING_PROP: "no"})
+
+    def _set_props(self, vt: str, props: dict[str, str]) -> None:
+        def text(v: str) -> str:
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        self.spark.sql(f"ALTER TABLE {_q(vt)} SET TBLPROPERTIES ("
+                       + ", ".join(f"{text(k)} = {text(v)}" for k, v in props.items()) + ")")
 
     def read(self) -> DataFrame:
         """The current version (the bucketed table itself, so joins on
@@ -195,6 +202,8 @@ class SnapshotTable:
         buckets = self.stored_buckets() or self.buckets
         if self.key and buckets:
             aligned = aligned.repartition(buckets, *[F.col(k) for k in self.key])
+        if obs is not None:
+            self._set_props(v, {PENDING_PROP: "yes"})
         w = aligned.write.format("parquet").mode("append")
         if self.key and buckets:
             w = w.bucketBy(buckets, *self.key).sortBy(*self.key)

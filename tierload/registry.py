@@ -27,7 +27,6 @@ from .plans.tables import SnapshotTable
 from .session import new_run_dir
 from .sources.catalog import show_partitions
 from .sources.inventory import changed_files, inventory_upsert
-from .sources.jdbc import JdbcTarget, derby_memory_url
 from .sources.listing import bronze_scan, list_files
 from .sources.paths import (dataset_summary, distinct_partitions, flatten, new_partitions,
                             parse_keys, partition_layout_check)
@@ -500,7 +499,7 @@ def _crawled(spark, sf_dir, plan_only=False):
     root = fx.write_bronze_files(spark, sf_dir)
     db = f"bronze_{_run_tag(spark)}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    summary = crawl(spark, root, "", db, plan_only=plan_only, inventory=f"{db}.crawler_files",
+    summary = crawl(spark, root, "", db, plan_only=plan_only, inventory=f"{db}.file_inventory",
                     inventory_buckets=FIXTURE_BUCKETS)
     return db, summary
 
@@ -535,7 +534,7 @@ def q_crawl_plan(spark, sf_dir):
 def q_register_table(spark, sf_dir):
     db, first = _crawled(spark, sf_dir)
     root = fx.write_bronze_files(spark, sf_dir)
-    again = crawl(spark, root, "", db, inventory=f"{db}.crawler_files",   # re-crawl: nothing new
+    again = crawl(spark, root, "", db, inventory=f"{db}.file_inventory",   # re-crawl: nothing new
                   inventory_buckets=FIXTURE_BUCKETS)
     first = spark.createDataFrame(first.collect(), first.schema)
     return (_crawl_report(first).withColumn("run", F.lit(1))
@@ -560,17 +559,6 @@ def q_bronze_table_scan(spark, sf_dir):
 
 # ------------------------------------------------------ external sinks
 
-@query("jdbc_upsert")
-def q_jdbc_upsert(spark, sf_dir):
-    """Gold orders into an in-process Derby database: initial rows, then
-    the watermark slice upserted through staging + one MERGE."""
-    target = JdbcTarget(spark, derby_memory_url())
-    table = "DIM_ORDERS"
-    target.upsert(fx.gold_target(spark, sf_dir), table, list(ORDERS_GOLD.primary_keys))
-    target.upsert(_gold_source(spark, sf_dir), table, list(ORDERS_GOLD.primary_keys))
-    return target.read(table)
-
-
 @query("stream_merge")
 def q_stream_merge(spark, sf_dir):
     """Bronze files drained by an availableNow stream, several files per

@@ -77,6 +77,8 @@ def work_dir(spark: SparkSession) -> str:
         except Exception:
             path = None
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tierload-")
         spark.sparkContext.setCheckpointDir(path)
         spark.conf.set("spark.checkpoint.dir", path)

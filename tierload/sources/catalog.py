@@ -63,8 +63,14 @@ def register_table(spark: SparkSession, name: str, location: str, columns: T.Str
             spark.sql(f"ALTER TABLE {_q(name)} ADD COLUMNS ("
                       + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new) + ")")
         return "updated"
+    # the catalog has no way to change a column type in place; known partitions are kept
+    kept = show_partitions(spark, name).collect() if current_parts and current_parts == list(partition_names) else []
     spark.sql(f"DROP TABLE {_q(name)}")
     spark.sql(create)
+    for at in range(0, len(kept), PARTITION_BATCH):
+        specs = " ".join("PARTITION (" + ", ".join(f"`{n}` = {_lit(r[n])}" for n in partition_names) + ")"
+                         for r in kept[at:at + PARTITION_BATCH])
+        spark.sql(f"ALTER TABLE {_q(name)} ADD IF NOT EXISTS {specs}")
     return "updated"
 
 
@@ -97,7 +103,7 @@ def add_partitions(spark: SparkSession, name: str, partition_names: list[str],
                    discovered: DataFrame, dataset: str) -> tuple[int, int]:
     """Register discovered partitions that are not registered yet, in
     chunks of ``PARTITION_BATCH``.  Returns ``(created, failed)``; a
-    failing chunk is counted and the rest still run.  Vanished
+    failing chunk is retried partition by partition.  Vanished
     partitions are never dropped."""
     todo = new_partitions(discovered.where(F.col("dataset") == dataset),
                           registered_partitions(spark, name, dataset))
@@ -108,15 +114,19 @@ def add_partitions(spark: SparkSession, name: str, partition_names: list[str],
         nonlocal created, failed
         if not chunk:
             return
-        specs = " ".join(
-            "PARTITION (" + ", ".join(f"`{n}` = {_lit(v)}" for n, v in zip(partition_names, vals))
-            + f") LOCATION {_lit(loc)}" for vals, loc in chunk)
+        specs = ["PARTITION (" + ", ".join(f"`{n}` = {_lit(v)}" for n, v in zip(partition_names, vals))
+                 + f") LOCATION {_lit(loc)}" for vals, loc in chunk]
         try:
-            spark.sql(f"ALTER TABLE {_q(name)} ADD IF NOT EXISTS {specs}")
+            spark.sql(f"ALTER TABLE {_q(name)} ADD IF NOT EXISTS {' '.join(specs)}")
             created += len(chunk)
-        except Exception as e:  # count and continue with the next chunk
-            log.warning("registering %d partitions of %s failed: %s", len(chunk), name, e)
-            failed += len(chunk)
+        except Exception:  # one bad partition must not keep the others out
+            for spec in specs:
+                try:
+                    spark.sql(f"ALTER TABLE {_q(name)} ADD IF NOT EXISTS {spec}")
+                    created += 1
+                except Exception as e:
+                    log.warning("registering %s of %s failed: %s", spec, name, e)
+                    failed += 1
         chunk.clear()
 
     for row in todo.select("values", "location").toLocalIterator():

@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import safe_batch_size
@@ -24,7 +25,7 @@ from ..functions.types import catalog_type
 # Column types per target dialect.
 _DERBY_TYPES = {"boolean": "BOOLEAN", "int": "INTEGER", "bigint": "BIGINT", "float": "REAL",
                 "double": "DOUBLE", "date": "DATE", "timestamp": "TIMESTAMP",
-                "string": "VARCHAR(4000)", "binary": "BLOB"}
+                "string": "VARCHAR(32672)", "binary": "BLOB"}
 _POSTGRES_TYPES = {"boolean": "BOOLEAN", "int": "INTEGER", "bigint": "BIGINT", "float": "REAL",
                    "double": "DOUBLE PRECISION", "date": "DATE", "timestamp": "TIMESTAMP",
                    "string": "TEXT", "binary": "BYTEA"}
@@ -126,14 +127,22 @@ class JdbcTarget:
         self.ensure_table(table, df.schema, pk)
         staging = f"{table}_STG_{uuid.uuid4().hex[:8]}".upper()
         batch = safe_batch_size(batch_size, len(df.columns))
-        types = ", ".join(f"{f.name} {column_ddl(f, self.url)}" for f in df.schema.fields)
-        (df.write.format("jdbc").option("url", self.url).option("dbtable", staging)
-           .option("batchsize", batch).option("numPartitions", max_connections)
-           .option("createTableColumnTypes", types).options(**self.properties)
-           .mode("errorifexists").save())
-        n = self.read(staging).count()
-        stmts = [merge_sql(table, staging, df.columns, pk, self.url)] if n else []
-        self.execute(*stmts, f"DROP TABLE {staging}")
+        rows = Observation(f"staged_{uuid.uuid4().hex[:8]}")
+        # the source is computed at full width; only the insert runs in a few sessions
+        staged = df.observe(rows, F.count(F.lit(1)).alias("n")).repartition(max_connections)
+        writer = (staged.write.format("jdbc").option("url", self.url).option("dbtable", staging)
+                  .option("batchsize", batch).options(**self.properties).mode("errorifexists"))
+        if _dialect(self.url) == "standard":     # other targets: the types of Spark's own dialect
+            writer = writer.option("createTableColumnTypes", ", ".join(
+                f"{f.name} {column_ddl(f, self.url)}" for f in df.schema.fields))
+        try:
+            writer.save()
+            n = rows.get.get("n", 0)
+            if n:
+                self.execute(merge_sql(table, staging, df.columns, pk, self.url))
+        finally:
+            if self.table_exists(staging):
+                self.execute(f"DROP TABLE {staging}")
         return n
 
 

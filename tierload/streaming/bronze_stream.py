@@ -6,7 +6,8 @@ one into the Silver table with the batch MERGE (``merge_latest``).
 ``trigger(availableNow=True)`` drains what is there and stops, which
 makes it a drop-in scheduled job.  Unlike the state-based batch load,
 late files (older batch ids) ARE processed here.  Re-running an epoch
-after a failure is harmless: the MERGE is idempotent.
+after a failure is harmless for keyed tables (the MERGE is idempotent);
+an append-only table gets the rows of a replayed epoch again.
 """
 
 from __future__ import annotations
