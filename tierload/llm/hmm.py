@@ -176,7 +176,7 @@ def encode(src: DataFrame, a: Alphabet) -> DataFrame:
             blob = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((first * 2).astype(np.int32)), pa.py_buffer(out)])
 
             def per_text(x: np.ndarray, w: Words = w) -> np.ndarray:
-                return np.bincount(w.row, weights=x, minlength=len(w.count))
+                return np.bincount(w.row, weights=x, minlength=len(w.count)).astype(float)
 
             missing = np.flatnonzero(~found[inverse])
             cut = np.searchsorted(missing, w.first)
