@@ -230,8 +230,8 @@ def _sql_gold() -> dict[str, str]:
         + upsert_select("store", "new", ["source_table", "last_watermark", "updated_at"],
                         ["source_table", "last_watermark", "updated_at"], ["source_table"]))
     q["reconcile_missing_keys"] = (
-        f"{TARGET_CTES},\n{SOURCE_CTE}\n SELECT target.*, NOT EXISTS (SELECT 1 FROM source s "
-        f"WHERE s.entity_id = target.entity_id AND s.event_type = target.event_type) AS is_deleted "
+        f"{TARGET_CTES}\n SELECT target.*, NOT EXISTS (SELECT 1 FROM bronze_events s WHERE s.entity_id % 17 <> 3 "
+        f"AND s.entity_id = target.entity_id AND s.event_type = target.event_type) AS is_deleted "
         f"FROM target")
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
     vals = ", ".join(f"coalesce('\"' || replace(CAST({c} AS VARCHAR), '\"', '\"\"') || '\"', "

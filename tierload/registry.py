@@ -232,9 +232,9 @@ def q_watermark_upsert(spark, sf_dir):
 
 @query("reconcile_missing_keys")
 def q_reconcile_missing_keys(spark, sf_dir):
+    # every source key, not a slice of them; the keys of one entity in seventeen have vanished upstream
     target = _split_target(spark, sf_dir)
-    src = sf.merge_source(_bronze(spark, sf_dir), EVENTS_DATASET, VALIDATION, read_state(target),
-                          fx.AS_OF)
+    src = _bronze(spark, sf_dir).where(F.col("entity_id") % 17 != 3)
     return reconcile_missing_keys(target, src, fx.EVENTS_PK)
 
 
