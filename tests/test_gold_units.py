@@ -228,3 +228,28 @@ def test_write_staging_files(spark, tmp_path):
     write_staging(df, out)
     lines = sorted(r.value for r in spark.read.text(out).collect())
     assert lines == ['"A1",\\N,"q""x"', '"A2","true",""']
+
+
+def test_gold_load_with_repeated_or_null_keys_publishes_nothing(spark):
+    import uuid
+
+    from tierload.config import GoldSettings, GoldTable
+    from tierload.plans.gold import load_gold
+    from tierload.plans.tables import SnapshotTable
+    tag = uuid.uuid4().hex[:8]
+    t = GoldTable("s", "t", ["id"], [ColumnMap("id", "id", "bigint"), ColumnMap("v", "v", "int")])
+
+    def load(data):
+        df = spark.createDataFrame(data, "id bigint, v int")
+        return load_gold(spark, lambda _: df, [t], GoldSettings(), table_prefix=f"g{tag}_",
+                         watermark_table=f"g{tag}_wm").first()
+
+    assert load([(1, 1), (2, 2)])["status"] == "OK"
+    versions = SnapshotTable(spark, f"g{tag}_t", key=["id"]).versions()
+    for bad in ([(1, 5), (1, 6)], [(None, 5), (3, 6)]):
+        row = load(bad)
+        assert row["status"].startswith("ERROR") and "primary keys" in row["status"]
+        assert rows(spark.table(f"g{tag}_t")) == [(1, 1), (2, 2)]
+    assert SnapshotTable(spark, f"g{tag}_t", key=["id"]).versions() == versions
+    assert load([(2, 7), (3, 8)])["rows_upserted"] == 2
+    assert rows(spark.table(f"g{tag}_t")) == [(1, 1), (2, 7), (3, 8)]

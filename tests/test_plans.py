@@ -68,3 +68,16 @@ def test_upsert_keeps_sorted_buckets_unsorted(spark):
     exchanges = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln]
     assert len(exchanges) == 1 and "t__" not in exchanges[0]
     assert p.count("Sort [") == 1                              # only the shuffled source
+
+
+def test_gold_key_check_rides_on_the_merge(spark):
+    from tierload.plans.gold import BAD_KEY, checked_source
+    for buckets in (None, 4):
+        t = SnapshotTable(spark, f"plan_{uuid.uuid4().hex[:8]}", key=["id"], buckets=buckets)
+        t.write(spark.range(1000).select("id", (F.col("id") * 2).alias("v")))
+        src = spark.range(990, 1010).select("id", F.lit(-1).cast("bigint").alias("v"))
+        checked = checked_source(src, ["id"], t.join_partitions())
+        p = plan(upsert_overwrite(t.read(), checked.where(~F.col(BAD_KEY)).drop(BAD_KEY), ["id"]))
+        assert "Window" in p
+        exchanges = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln]
+        assert len(exchanges) == 1 and "t__" not in exchanges[0]

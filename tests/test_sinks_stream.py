@@ -68,6 +68,28 @@ def test_stream_matches_batch_for_rising_cursors(spark, tmp_path):
     assert got == want
 
 
+def test_append_stream_takes_a_replayed_epoch_once(spark, tmp_path):
+    from tierload.config import DateValidation, SilverDataset
+    from tierload.streaming.bronze_stream import merge_batches
+    src = spark.range(0, 60).select("id", F.lit("2024-01-01").alias("ingestion_date"),
+                                    F.format_string("b'%d", (F.col("id") / 20).cast("int")).alias("batch_id"))
+    loc, cp = str(tmp_path / "bronze"), str(tmp_path / "cp")
+    src.repartition("batch_id").write.partitionBy("ingestion_date", "batch_id").parquet(loc)
+    ds = SilverDataset(name="s", pk=["id"], cursor="id", mode="append_only")
+    table = SnapshotTable(spark, f"stream_{uuid.uuid4().hex[:8]}")
+    args = (DateValidation(), "2026-01-01 00:00:00", "2026-01-01 00:00:00")
+    stream_silver(spark, loc, spark.read.parquet(loc).schema, ["ingestion_date", "batch_id"], table, ds, cp,
+                  *args, max_files_per_trigger=1).awaitTermination()
+    once = rows(spark.table(table.name).select("id"))
+    assert sorted(once) == [(i,) for i in range(60)]
+    replay = merge_batches(table, ds, *args, cp)
+    for epoch in (0, 1, 2):                                  # what a restart after a failure would do
+        replay(src.where(F.col("batch_id") == f"b'{epoch}"), epoch)
+    assert rows(spark.table(table.name).select("id")) == once
+    replay(src.limit(1), 3)                                   # the next epoch is taken
+    assert spark.table(table.name).count() == 61
+
+
 def test_partition_values_with_special_characters(spark, tmp_path):
     df = spark.createDataFrame([(1, "a+b c"), (2, "x%y")], "v int, p string")
     df.write.partitionBy("p").parquet(str(tmp_path / "DS"))

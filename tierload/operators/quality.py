@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.literals import now_lit, plus_years, ts_lit
@@ -109,6 +109,13 @@ def key_violations(df: DataFrame, pk: list[str]) -> DataFrame:
             .where(F.col("kind").isNotNull()))
 
 
+def key_is_bad(pk: list[str]) -> Column:
+    """The row's key has a NULL or occurs more than once.  A window over the
+    key: in front of a join on that key it shares the join's shuffle and sort."""
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in pk])
+    return any_null | (F.count(F.lit(1)).over(Window.partitionBy(*pk)) > 1)
+
+
 def assert_unique_keys(df: DataFrame, pk: list[str], what: str = "source") -> None:
     """Raise when ``df`` has NULL or duplicate keys (one action)."""
     bad = key_violations(df, pk).limit(5).collect()

@@ -6,7 +6,9 @@ relational table (staging + one MERGE) before the watermark moves.
 The watermark store is itself a small keyed table upserted after the
 data version is published, so a failure before that point re-reads
 the same slice next time (the upsert is idempotent).  The new
-high-water mark is observed while the data is written: no second scan.
+high-water mark and the number of NULL or repeated keys are observed while
+the data is written: no second scan.  A version with such keys is dropped
+before it is published, and the table's load fails.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from ..config import (ConfigError, GoldSettings, GoldTable, safe_batch_size,
                       validate_gold_config)
 from ..functions.types import catalog_type
 from ..operators.incremental import watermark_value
-from ..operators.quality import assert_unique_keys
+from ..operators.quality import assert_unique_keys, key_is_bad
 from ..operators.schema_ops import guard, schema_diff
 from .gold_frames import WATERMARK_SCHEMA, gold_source, gold_upsert, save_watermarks
 from .tables import SnapshotTable
@@ -34,6 +36,17 @@ SUMMARY_SCHEMA = ("source_table string, target_table string, status string, rows
                   "previous_watermark timestamp_ntz, new_watermark timestamp_ntz, batch_size int")
 
 
+BAD_KEY = "__bad_key"
+
+
+def checked_source(src: DataFrame, pk: list[str], partitions: int | None) -> DataFrame:
+    """``src`` dealt by key for the merge, each row marked when its key is
+    NULL or repeated: the check needs no scan or shuffle of its own."""
+    if partitions:
+        src = src.repartition(partitions, *[F.col(k) for k in pk])
+    return src.withColumn(BAD_KEY, key_is_bad(pk))
+
+
 def empty_frame(spark: SparkSession, table: GoldTable) -> DataFrame:
     schema = T.StructType([T.StructField(c.target, c.data_type) for c in table.columns])
     return spark.createDataFrame([], schema)
@@ -90,15 +103,19 @@ class GoldLoad:
         prev = self.previous_watermark(t)
         silver = self.silver(t.source_table)
         src = gold_source(silver, t, prev, self.settings.watermark_overlap_seconds)
-        assert_unique_keys(src, list(t.primary_keys), f"{t.source_table} slice")
+        pk = list(t.primary_keys)
         obs = Observation(f"gold_{t.target_table}")
-        metrics = [F.count(F.lit(1)).alias("rows")]
+        metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(BAD_KEY).alias("bad")]
         if t.watermark_enabled:
             metrics.append(F.max(watermark_value(src, t.watermark_target)).alias("wm"))
-        src = src.observe(obs, *metrics)
-        merged = gold_upsert(target.read(), src, t, duplicates="trust",
-                             partitions=target.join_partitions())
-        target.write(merged, aligned=True)
+        merged = gold_upsert(target.read(), checked_source(src, pk, target.join_partitions()).observe(obs, *metrics)
+                             .drop(BAD_KEY), t, duplicates="trust")
+
+        def check() -> None:
+            if obs.get["bad"]:                   # only then the slice is read again, for the message
+                assert_unique_keys(src, pk, f"{t.source_table} slice")
+
+        target.write(merged, aligned=True, check=check)
         m = obs.get
         if self.jdbc is not None:                # relational copy: staging + one MERGE
             self.jdbc.upsert(src, t.target_table, list(t.primary_keys),

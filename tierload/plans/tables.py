@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -73,7 +74,8 @@ class SnapshotTable:
         val = rows[0]["value"] if rows else None
         return val if val and "does not have property" not in val else None
 
-    def _version_prop(self, prop: str) -> str | None:
+    def stored_prop(self, prop: str) -> str | None:
+        """A property of the current version, ``None`` without it."""
         v = self.current_version()
         if v is None:
             return None
@@ -82,10 +84,10 @@ class SnapshotTable:
         return None if val is None or "does not have property" in val else val
 
     def stored_key(self) -> list[str]:
-        return [k for k in (self._version_prop(KEY_PROP) or "").split(",") if k]
+        return [k for k in (self.stored_prop(KEY_PROP) or "").split(",") if k]
 
     def stored_buckets(self) -> int | None:
-        val = self._version_prop(BUCKETS_PROP)
+        val = self.stored_prop(BUCKETS_PROP)
         return int(val) if val else None
 
     def effective_buckets(self) -> int | None:
@@ -106,10 +108,10 @@ class SnapshotTable:
         the table, or ``None`` when empty.  Read from the version's
         properties (observed during the write, so no scan); computed with
         one aggregate for versions written without it."""
-        date = self._version_prop(STATE_DATE_PROP)
+        date = self.stored_prop(STATE_DATE_PROP)
         # an append that did not finish may have committed its rows: ask the table itself
-        if date is not None and self._version_prop(PENDING_PROP) != "yes":
-            return (date[:10], self._version_prop(STATE_BATCH_PROP) or None) if date else None
+        if date is not None and self.stored_prop(PENDING_PROP) != "yes":
+            return (date[:10], self.stored_prop(STATE_BATCH_PROP) or None) if date else None
         current = self.read()
         if LINEAGE_DATE not in current.columns or LINEAGE_BATCH not in current.columns:
             return None
@@ -123,8 +125,11 @@ class SnapshotTable:
         obs = Observation(f"state_{uuid.uuid4().hex[:8]}")
         return df.observe(obs, state_metric(LINEAGE_DATE, LINEAGE_BATCH).alias("s")), obs
 
-    def _save_state(self, vt: str, obs, previous: tuple | None = None) -> None:
+    def _save_state(self, vt: str, obs, previous: tuple | None = None,
+                    props: dict[str, str] | None = None) -> None:
         if obs is None:
+            if props:
+                self._set_props(vt, props)
             return
         s = obs.get.get("s")
         new = (s["d"].strftime("%Y-%m-%d %H:%M:%S"), s["b"]) if s is not None else None
@@ -132,7 +137,8 @@ class SnapshotTable:
                                      > (new[0][:10], new[1] or "")):
             new = previous
         date, batch = new if new else ("", "")
-        self._set_props(vt, {STATE_DATE_PROP: date, STATE_BATCH_PROP: batch or "", PENDING_PROP: "no"})
+        self._set_props(vt, {STATE_DATE_PROP: date, STATE_BATCH_PROP: batch or "", PENDING_PROP: "no",
+                             **(props or {})})
 
     def _set_props(self, vt: str, props: dict[str, str]) -> None:
         def text(v: str) -> str:
@@ -157,10 +163,15 @@ class SnapshotTable:
         vid = f"{time.time_ns():x}{uuid.uuid4().hex[:6]}"
         return f"{self.name}__v{vid}", f"{self.root}/v{vid}"
 
-    def write(self, df: DataFrame, aligned: bool = False) -> str:
+    def write(self, df: DataFrame, aligned: bool = False, check: Callable[[], None] | None = None,
+              props: dict[str, str] | None = None) -> str:
         """Write ``df`` as a new version and publish it.  Returns the
         version table name.
 
+        ``check`` runs when the rows are written and before they are
+        published: when it raises, the new version is unregistered and
+        the current one stays.  ``props`` are stored with the version.
+
         A keyed table keeps the bucket count it was created with.  Rows
         are hash-partitioned by the key into that many partitions first
         (one file per bucket) unless ``aligned``: the caller's plan
@@ -175,7 +186,13 @@ class SnapshotTable:
         if self.key and buckets:
             w = w.bucketBy(buckets, *self.key).sortBy(*self.key)
         w.saveAsTable(vt)
-        self._save_state(vt, obs)
+        if check is not None:
+            try:
+                check()
+            except Exception:
+                self.spark.sql(f"DROP TABLE {_q(vt)}")
+                raise
+        self._save_state(vt, obs, props=props)
         if self.key:
             self.spark.sql(f"ALTER TABLE {_q(vt)} SET TBLPROPERTIES "
                            f"('{KEY_PROP}' = '{','.join(self.key)}', "
@@ -187,12 +204,13 @@ class SnapshotTable:
         self.spark.sql(f"CREATE OR REPLACE VIEW {_q(self.name)} "
                        f"TBLPROPERTIES ('{VERSION_PROP}' = '{vt}') AS SELECT * FROM {_q(vt)}")
 
-    def append(self, df: DataFrame) -> None:
+    def append(self, df: DataFrame, props: dict[str, str] | None = None) -> None:
         """Append rows to the current version, matching columns by name
-        (columns missing from ``df`` are written as NULL)."""
+        (columns missing from ``df`` are written as NULL).  ``props`` are
+        stored with the version in the statement that saves the state."""
         v = self.current_version()
         if v is None:
-            self.write(df)
+            self.write(df, props=props)
             return
         target = self.spark.table(v).schema
         previous = self.state()
@@ -208,7 +226,7 @@ class SnapshotTable:
         if self.key and buckets:
             w = w.bucketBy(buckets, *self.key).sortBy(*self.key)
         w.saveAsTable(v)
-        self._save_state(v, obs, previous)
+        self._save_state(v, obs, previous, props)
         self.spark.catalog.refreshTable(v)
 
     def add_columns(self, fields: list[T.StructField]) -> None:
