@@ -66,6 +66,16 @@ def test_chains_hubs_and_families(spark):
     assert len({c for _, _, c, _ in got}) < len(rows) / 2
 
 
+def test_hubs_are_confirmed_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(N, "PART", 3)
+    sets = spark.createDataFrame([(i, 4, [1, 2, 3, 4 if i % 2 else -i]) for i in range(1, 41)],
+                                 "node long, n int, shingles array<long>")
+    pairs = ([(1, i) for i in range(2, 31)] + [(i, 40) for i in range(2, 31)])   # a hub on either side
+    got = N.confirm(spark.createDataFrame(pairs, "a long, b long"), sets, 80).collect()
+    assert sorted((r.a, r.b, r.linked) for r in got) == sorted((a, b, a % 2 == 1 and b % 2 == 1) for a, b in pairs)
+    assert N.confirm(spark.createDataFrame([], "a long, b long"), sets, 80).count() == 0
+
+
 def test_guaranteed_distance():
     """All pairs up to the pigeonhole distance share an index key."""
     from itertools import combinations

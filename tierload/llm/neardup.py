@@ -52,6 +52,7 @@ from tierload.llm.text import Words, blocks, mix
 CHUNKS, CHUNK, ERRORS = 12, 5, 1
 SYMBOLS = CHUNKS * CHUNK
 STARS = 3
+PART = 256  # pairs of one hub that a task confirms together
 BITMAP = [f"w{i}" for i in range(16)]  # 64-bit words of a parity bitmap
 _SEEDS = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64))
 _ODD = mix(np.arange(101, 101 + SYMBOLS, dtype=np.uint64)) | np.uint64(1)
@@ -154,13 +155,24 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b) with ``linked``: 100 * intersection >= percent * union, on full sets.
 
     Shingles of one class only cannot lie in an intersection, so the shared ones and the full sizes suffice.
+    A class with many pairs (a hub) is dealt in parts of some ``PART`` pairs, each with a copy of its set.
     """
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("n").alias("na"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("n").alias("nb"))
+    pairs = save(pairs, "pairs")
+    ends = pairs.select(F.explode(F.array(*[F.struct(F.lit(e).alias("end"), F.col(e).alias("node")) for e in "ab"])).alias("e"))
+    many = save(ends.groupBy("e.end", "e.node").agg(F.ceil(F.count("*") / PART).alias("parts")).where("parts > 1"), "hubs")
+    dealt, side = pairs, {}
+    for end, other in ("ab", "ba"):
+        hubs = many.where(F.col("end") == end).select(F.col("node").alias(end), "parts")
+        parts, part = F.coalesce("parts", F.lit(1)), f"part_{end}"
+        dealt = dealt.join(hubs, end, "left").withColumn(part, F.pmod(F.xxhash64(other), parts)).drop("parts")
+        own = sets.select(F.col("node").alias(end), F.col("shingles").alias(f"s{end}"), F.col("n").alias(f"n{end}"))
+        side[end] = own.join(hubs, end, "left").withColumn(
+            part, F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
     both = F.size(F.array_intersect("sa", "sb"))
     linked = (100 + percent) * both >= percent * (F.col("na") + F.col("nb"))
-    rows = pairs.join(right, "b").join(left, "a").select("a", "b", linked.alias("linked"))
-    return rows.groupBy("a", "b").agg(F.max("linked").alias("linked"))
+    rows = dealt.join(side["b"], ["b", "part_b"]).join(side["a"], ["a", "part_a"]).select("a", "part_a", "b", linked.alias("linked"))
+    # the part follows from the pair; with it the groups stay where the join has put them
+    return rows.groupBy("a", "part_a", "b").agg(F.max("linked").alias("linked")).drop("part_a")
 
 
 def components(edges: DataFrame, label: str = "components", most: int = 60) -> DataFrame:
