@@ -3,7 +3,7 @@
 Keys are parsed with codegen'd string functions (no UDF, no lambdas).
 Per-dataset facts (layout, counts, sample file) are aggregates with
 map-side partial aggregation; only tiny per-dataset results are joined
-back, and AQE turns those joins into broadcasts after measuring them.
+back.
 No window partitions by dataset, so a dataset holding a third of all
 files is still spread over every task.
 """
@@ -85,8 +85,7 @@ def dataset_layouts(parsed: DataFrame, key_col: str = "key") -> DataFrame:
 
 def with_layout(parsed: DataFrame, key_col: str = "key") -> DataFrame:
     """Add ``layout`` and ``conforms`` (unpartitioned, or same names as
-    the layout) to every parsed key.  The per-dataset layout table is
-    tiny; AQE broadcasts it after measuring it."""
+    the layout) to every parsed key."""
     lay = dataset_layouts(parsed, key_col)
     j = parsed.join(lay, "dataset", "left")
     nk = F.col("names_key")
@@ -102,7 +101,7 @@ def dataset_summary(parsed: DataFrame, key_col: str = "key") -> DataFrame:
 
     One pass over the listing: a partial aggregate per ``(dataset,
     layout variant)``; everything after that works on a handful of rows
-    per dataset (the grouped result is reused, not recomputed)."""
+    per dataset."""
     g = (parsed.groupBy("dataset", F.col("names_key").alias("nk"))
                .agg(F.count(F.lit(1)).alias("n"),
                     F.min(key_col).alias("first_key"),
