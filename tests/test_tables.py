@@ -24,7 +24,7 @@ def test_versions_swap_and_old_version_stays_readable(spark):
     v2 = t.write(spark.createDataFrame([(1, "b"), (2, "c")], "id int, v string"))
     assert t.current_version() == v2 and v1 != v2
     assert rows(spark.table(t.name)) == [(1, "b"), (2, "c")]
-    assert rows(spark.table(v1)) == [(1, "a")]
+    assert rows(t.read(version=v1)) == [(1, "a")]
     assert t.stored_key() == ["id"]
     assert t.drop_old_versions(keep=1) == [v1]
 
@@ -219,3 +219,74 @@ def test_column_names_differing_in_case_are_the_same_column():
     from tierload.operators.schema_ops import find_missing_columns
     one, two = (T.StructType([T.StructField(n, T.IntegerType())]) for n in ("Value", "value"))
     assert find_missing_columns(one, two) == []
+
+
+def _buckets_of(spark, t):
+    return {b: sorted(f.rsplit("/", 1)[0] for f in spark.table(t.current_version()).inputFiles()
+                      if f"tierload_bucket={b}/" in f) for b in t.bucket_folders()}
+
+
+def test_merge_leaves_untouched_buckets_where_they_are(spark):
+    from tierload.operators import upsert_overwrite
+    t = SnapshotTable(spark, _name("touch"), key=["id"], buckets=8)
+    v1 = t.write(spark.range(1000).select("id", (F.col("id") * 2).alias("v")))
+    before = t.bucket_folders()
+    src = spark.createDataFrame([(7, -1)], "id long, v long")
+    done = t.merge(src, lambda cur: upsert_overwrite(cur, src, ["id"], t.join_partitions()))
+    after = t.bucket_folders()
+    assert len(done.touched) == 1 and len(done.carried) == 7
+    assert {b for b in after if after[b] != before[b]} == set(done.touched)
+    assert "tierload_bucket" not in t.read().columns + spark.table(t.name).columns
+    assert spark.table(t.name).count() == 1000
+    assert [r["id"] for r in spark.table(t.name).where("v = -1").collect()] == [7]
+    assert spark.table(v1).where("v = -1").count() == 0 and spark.table(v1).count() == 1000
+    assert _files(spark, done.version) == 8                       # still one file per bucket
+    # a further merge reads carried buckets too; new keys and NULL keys are inserted
+    more = spark.createDataFrame([(8, -2), (5000, -3), (None, -4)], "id long, v long")
+    t.merge(more, lambda cur: upsert_overwrite(cur, more, ["id"], t.join_partitions()))
+    assert spark.table(t.name).count() == 1002
+    assert sorted(r["v"] for r in spark.table(t.name).where("v < 0").collect()) == [-4, -3, -2, -1]
+
+
+def test_merge_reads_only_touched_buckets_and_keeps_the_join_in_place(spark):
+    from tierload.operators import upsert_overwrite
+    t = SnapshotTable(spark, _name("touchplan"), key=["id"])
+    t.write(spark.range(1000).select("id", (F.col("id") * 2).alias("v")))
+    src = spark.createDataFrame([(7, -1)], "id long, v long")
+    p = upsert_overwrite(t.read(t.touched_buckets(src)), src, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Exchange hashpartitioning") == 1 and "PartitionFilters: [isnotnull(tierload_bucket" in p
+
+
+def test_failed_merge_keeps_the_version(spark):
+    from tierload.operators import upsert_overwrite
+    t = SnapshotTable(spark, _name("fail"), key=["id"], buckets=4)
+    v1 = t.write(spark.range(100).select("id", (F.col("id") * 2).alias("v")))
+    src = spark.createDataFrame([(7, -1)], "id long, v long")
+
+    def check():
+        raise ValueError("bad key")
+    with pytest.raises(ValueError):
+        t.merge(src, lambda cur: upsert_overwrite(cur, src, ["id"], t.join_partitions()), check=check)
+    assert t.current_version() == v1 and t.versions() == [v1]
+    assert spark.table(t.name).count() == 100 and spark.table(t.name).where("v = -1").count() == 0
+
+
+def test_merge_keeps_the_state_and_evolved_columns_of_untouched_buckets(spark):
+    from tierload.operators import upsert_overwrite
+    t = SnapshotTable(spark, _name("touchstate"), key=["id"], buckets=8)
+    t.write(spark.range(100).select("id", F.lit("2024-01-05").alias("_source_ingestion_date"), F.lit("b5").alias("_source_batch_id")))
+    t.add_columns([T.StructField("extra", T.StringType())])
+    src = spark.createDataFrame([(7, "2024-01-02", "b2", "x")], "id long, _source_ingestion_date string, _source_batch_id string, extra string")
+    t.merge(src, lambda cur: upsert_overwrite(cur, src, ["id"], t.join_partitions()))
+    assert t.state() == ("2024-01-05", "b5")
+    assert spark.table(t.name).where("extra = 'x'").count() == 1 and spark.table(t.name).where("extra IS NULL").count() == 99
+
+
+def test_merge_with_another_key_type_rewrites_all(spark):
+    from tierload.operators import upsert_overwrite
+    t = SnapshotTable(spark, _name("keytype"), key=["id"], buckets=4)
+    t.write(spark.createDataFrame([(i, i) for i in range(50)], "id int, v int"))
+    src = spark.createDataFrame([(7, -1), (60, -2)], "id long, v int")
+    done = t.merge(src, lambda cur: upsert_overwrite(cur, src, ["id"], t.join_partitions()))
+    assert done.touched is None and done.carried == []
+    assert spark.table(t.name).count() == 51 and spark.table(t.name).where("v < 0").count() == 2

@@ -119,4 +119,5 @@ def _update_inventory(spark, inv: SnapshotTable, parsed: DataFrame, schemas: dic
                    INVENTORY_KEY, "left_anti"))
     upd = changed.unionByName(fresh).dropDuplicates(INVENTORY_KEY)
     # the upsert joins the bucketed inventory on its key: bucket-aligned output
-    inv.write(inventory_upsert(current, upd, run_ts, inv.join_partitions()), aligned=True)
+    inv.merge(upd.select(*INVENTORY_KEY),
+              lambda rows: inventory_upsert(rows, upd, run_ts, inv.join_partitions()))

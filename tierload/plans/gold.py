@@ -7,7 +7,8 @@ The watermark store is itself a small keyed table upserted after the
 data version is published, so a failure before that point re-reads
 the same slice next time (the upsert is idempotent).  The new
 high-water mark and the number of NULL or repeated keys are observed while
-the data is written: no second scan.  A version with such keys is dropped
+the data is written; only the slice's keys are read once more, to tell
+which buckets the upsert rewrites.  A version with such keys is dropped
 before it is published, and the table's load fails.
 """
 
@@ -108,14 +109,13 @@ class GoldLoad:
         metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(BAD_KEY).alias("bad")]
         if t.watermark_enabled:
             metrics.append(F.max(watermark_value(src, t.watermark_target)).alias("wm"))
-        merged = gold_upsert(target.read(), checked_source(src, pk, target.join_partitions()).observe(obs, *metrics)
-                             .drop(BAD_KEY), t, duplicates="trust")
+        checked = checked_source(src, pk, target.join_partitions()).observe(obs, *metrics).drop(BAD_KEY)
 
         def check() -> None:
             if obs.get["bad"]:                   # only then the slice is read again, for the message
                 assert_unique_keys(src, pk, f"{t.source_table} slice")
 
-        target.write(merged, aligned=True, check=check)
+        target.merge(src.select(*pk), lambda current: gold_upsert(current, checked, t, duplicates="trust"), check=check)
         m = obs.get
         if self.jdbc is not None:                # relational copy: staging + one MERGE
             self.jdbc.upsert(src, t.target_table, list(t.primary_keys),

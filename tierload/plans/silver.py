@@ -84,25 +84,30 @@ class SilverLoad:
             if ds.mode == "dedupe_latest":      # re-plan against the evolved table
                 op, frame, table, state, _ = self.plan(ds, rebuild)
         obs = Observation(f"silver_{ds.name}")
-        counted = frame.observe(obs, F.count(F.lit(1)).alias("rows"))
-        if op == "INCREMENTAL UPDATE" and ds.mode == "append_only":
-            table.append(counted)
+        metric = F.count(F.lit(1)).alias("rows")
+        kept = 0
+        if op == "INCREMENTAL UPDATE" and ds.mode == "dedupe_latest":
+            bronze = self.bronze(ds.name)
+            done = table.merge(
+                sf.merge_keys(bronze, ds, self.validation, state, self.as_of),
+                lambda current: sf.merge_load(current, bronze, ds, self.validation, state, self.as_of, self.run_ts,
+                                              partitions=table.join_partitions()).observe(obs, metric))
+            kept = table.count_rows(done.carried)
+        elif op == "INCREMENTAL UPDATE":
+            table.append(frame.observe(obs, metric))
         else:
-            table.write(counted, aligned=self._aligned(op, ds, table))
-        rows = obs.get.get("rows")
+            table.write(frame.observe(obs, metric), aligned=self._aligned(ds, table))
+        rows = obs.get.get("rows", 0) + kept
         return (ds.name, ds.mode, op, f"OK ({op})", rows, st[0], st[1])
 
-    def _aligned(self, op: str, ds: SilverDataset, table: SnapshotTable) -> bool:
-        """Does the load's plan already hold one bucket per task?
+    def _aligned(self, ds: SilverDataset, table: SnapshotTable) -> bool:
+        """Does the initial load's plan already hold one bucket per task?
 
-        A MERGE comes out of the join with the bucketed current version.
         A dedupe initial load comes out of the latest-row window, whose
         exchange hash-partitions by the key into
         ``spark.sql.shuffle.partitions`` -- the bucket layout itself when
         the counts are equal (AQE only merges whole partitions).  Only the
         number of files depends on this, never the result."""
-        if op == "INCREMENTAL UPDATE":
-            return True
         shuffle = int(self.spark.conf.get("spark.sql.shuffle.partitions", "200"))
         return ds.mode == "dedupe_latest" and table.effective_buckets() == shuffle
 

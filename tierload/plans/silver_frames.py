@@ -56,6 +56,14 @@ def merge_source(bronze: DataFrame, ds: SilverDataset, validation: DateValidatio
                          "ingestion_date", "batch_id")
 
 
+def merge_keys(bronze: DataFrame, ds: SilverDataset, validation: DateValidation = DateValidation(),
+               state=None, as_of=None) -> DataFrame:
+    """The keys of the MERGE source, not yet deduplicated: a narrow scan
+    that tells which buckets the MERGE touches."""
+    src = bronze if state is None else incremental_filter(bronze, state[0], state[1])
+    return clean(src, validation, as_of).select(*ds.pk)
+
+
 def merge_load(silver: DataFrame, bronze: DataFrame, ds: SilverDataset,
                validation: DateValidation = DateValidation(), state=None, as_of=None,
                run_ts=None, partitions: int | None = None) -> DataFrame:

@@ -12,15 +12,23 @@ incremental source on the key: the bucketed side already satisfies the
 join's distribution, so only the source is shuffled (into the same
 number of buckets), and because every task then holds exactly one
 bucket, the new version is written without another exchange and with
-one file per bucket.  The large table is scanned and rewritten, but
-never shuffled.
+one file per bucket.
+
+The bucket number is also the partition column (``tierload_bucket``, not
+shown to readers), so each bucket has a folder of its own and ``merge``
+reads and writes only the buckets that hold a key of the source.  The
+next version registers the others where they already are: bucket folders
+are never changed after they are written, and versions share them.
 """
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
 from collections.abc import Callable
+from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +36,9 @@ from pyspark.sql import types as T
 
 from ..session import work_dir
 
+log = logging.getLogger(__name__)
+
+BUCKET_COL = "tierload_bucket"            # partition column of keyed tables: the row's bucket
 VERSION_PROP = "tierload.version"
 KEY_PROP = "tierload.key"
 BUCKETS_PROP = "tierload.buckets"
@@ -43,6 +54,22 @@ def _q(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+def _text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _chunks(items: list, size: int = 100) -> list[list]:
+    return [items[i:i + size] for i in range(0, len(items), size)]
+
+
+class Merged(NamedTuple):
+    """What ``SnapshotTable.merge`` wrote: the version, its rewritten
+    buckets (``None``: all) and the buckets it took over unchanged."""
+    version: str
+    touched: list[int] | None
+    carried: list[int]
+
+
 class SnapshotTable:
     """A table written as immutable versions and published through a view.
 
@@ -141,18 +168,53 @@ class SnapshotTable:
                              **(props or {})})
 
     def _set_props(self, vt: str, props: dict[str, str]) -> None:
-        def text(v: str) -> str:
-            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
         self.spark.sql(f"ALTER TABLE {_q(vt)} SET TBLPROPERTIES ("
-                       + ", ".join(f"{text(k)} = {text(v)}" for k, v in props.items()) + ")")
+                       + ", ".join(f"{_text(k)} = {_text(v)}" for k, v in props.items()) + ")")
 
-    def read(self) -> DataFrame:
-        """The current version (the bucketed table itself, so joins on
-        the key can use its partitioning)."""
-        v = self.current_version()
+    def read(self, buckets: list[int] | None = None, version: str | None = None) -> DataFrame:
+        """The current (or a named) version: the bucketed table itself, so
+        joins on the key can use its partitioning; or only some of its
+        buckets.  Without the bucket column, which version tables carry."""
+        v = version or self.current_version()
         if v is None:
             raise ValueError(f"table {self.name} does not exist")
-        return self.spark.table(v)
+        df = self.spark.table(v)
+        return (df if buckets is None else df.where(F.col(BUCKET_COL).isin(buckets))).drop(BUCKET_COL)
+
+    # ------------------------------------------------------------ buckets
+    def _bucket(self, buckets: int):
+        """The bucket of a row: the hash Spark itself deals bucketed rows by."""
+        return F.pmod(F.hash(*[F.col(k) for k in self.key]), F.lit(buckets))
+
+    def touched_buckets(self, keys: DataFrame) -> list[int] | None:
+        """Buckets of the current version that hold, or would hold, a key
+        of ``keys`` (at most one number per bucket); ``None`` when they
+        cannot be told: the version has no bucket folders, or a key
+        column has another type."""
+        v, buckets = self.current_version(), self.stored_buckets()
+        if not buckets or BUCKET_COL not in self.spark.table(v).columns:
+            return None
+        stored = {f.name.lower(): f.dataType for f in self.schema.fields}
+        given = {f.name.lower(): f.dataType for f in keys.schema.fields}
+        if any(stored.get(k.lower()) != given.get(k.lower()) for k in self.key):
+            return None
+        return sorted(r["b"] for r in keys.select(self._bucket(buckets).alias("b")).distinct().collect())
+
+    def bucket_folders(self, version: str | None = None) -> dict[int, str]:
+        """The folder of every non-empty bucket of a version (default: the
+        current one).  A folder may only be removed when no registered
+        version lists it."""
+        out = {}
+        for f in self.spark.table(version or self.current_version()).inputFiles():
+            folder = unquote(f).rsplit("/", 1)[0]
+            name, _, bucket = folder.rsplit("/", 1)[-1].partition("=")
+            if name == BUCKET_COL:
+                out[int(bucket)] = folder
+        return out
+
+    def count_rows(self, buckets: list[int]) -> int:
+        """Rows of some buckets of the current version (no column is read)."""
+        return self.read(buckets).count() if buckets else 0
 
     @property
     def schema(self) -> T.StructType:
@@ -177,22 +239,57 @@ class SnapshotTable:
         (one file per bucket) unless ``aligned``: the caller's plan
         already holds one bucket per task, as the output of a join with
         the current (bucketed) version does."""
+        return self._write(df, aligned, check, props)
+
+    def merge(self, keys: DataFrame, merged: Callable[[DataFrame], DataFrame], aligned: bool = True,
+              check: Callable[[], None] | None = None, props: dict[str, str] | None = None) -> Merged:
+        """Write and publish the next version, rewriting only the buckets
+        touched by ``keys`` (a frame with the source's key columns).
+
+        ``merged`` gets the current rows of these buckets and returns
+        what replaces them: old and new rows whose keys lie in them.  It
+        must keep every row and must not change keys.  The other buckets
+        are taken over where they are, unread.  Keys spread over all
+        buckets rewrite the whole table; then, and when the buckets
+        cannot be told, ``merged`` gets all of it.
+
+        ``check`` and ``props`` as in ``write``."""
+        touched = self.touched_buckets(keys)
+        current = self.read(touched)
+        df = merged(current)
+        if touched is not None and any(df.schema[k].dataType != current.schema[k].dataType for k in self.key):
+            touched, df = None, merged(self.read())      # another key type: every bucket changes
+        carried = {} if touched is None else {
+            b: f for b, f in self.bucket_folders().items() if b not in set(touched)}
+        previous = self.state() if carried else None
+        log.info("%s: %s of %s buckets are rewritten", self.name,
+                 "all" if touched is None else len(touched), self.stored_buckets())
+        return Merged(self._write(df, aligned, check, props, carried, previous), touched, sorted(carried))
+
+    def _write(self, df: DataFrame, aligned: bool, check: Callable[[], None] | None,
+               props: dict[str, str] | None, carried: dict[int, str] | None = None,
+               previous: tuple | None = None) -> str:
         vt, path = self._new_version()
         buckets = self.stored_buckets() or self.buckets
         if self.key and buckets and not aligned:
             df = df.repartition(buckets, *[F.col(k) for k in self.key])
         df, obs = self._observe_state(df)
-        w = df.write.format("parquet").option("path", path).mode("errorifexists")
         if self.key and buckets:
-            w = w.bucketBy(buckets, *self.key).sortBy(*self.key)
-        w.saveAsTable(vt)
+            w = (df.withColumn(BUCKET_COL, self._bucket(buckets)).write.partitionBy(BUCKET_COL)
+                 .bucketBy(buckets, *self.key).sortBy(*self.key))
+        else:
+            w = df.write
+        w.format("parquet").option("path", path).mode("errorifexists").saveAsTable(vt)
         if check is not None:
             try:
                 check()
             except Exception:
                 self.spark.sql(f"DROP TABLE {_q(vt)}")
                 raise
-        self._save_state(vt, obs, props=props)
+        for part in _chunks(sorted((carried or {}).items())):
+            self.spark.sql(f"ALTER TABLE {_q(vt)} ADD " + " ".join(
+                f"PARTITION ({BUCKET_COL} = {b}) LOCATION {_text(folder)}" for b, folder in part))
+        self._save_state(vt, obs, previous, props)
         if self.key:
             self.spark.sql(f"ALTER TABLE {_q(vt)} SET TBLPROPERTIES "
                            f"('{KEY_PROP}' = '{','.join(self.key)}', "
@@ -202,29 +299,31 @@ class SnapshotTable:
 
     def _publish(self, vt: str) -> None:
         self.spark.sql(f"CREATE OR REPLACE VIEW {_q(self.name)} "
-                       f"TBLPROPERTIES ('{VERSION_PROP}' = '{vt}') AS SELECT * FROM {_q(vt)}")
+                       f"TBLPROPERTIES ('{VERSION_PROP}' = '{vt}') AS SELECT "
+                       + ", ".join(f"`{c}`" for c in self.spark.table(vt).columns if c != BUCKET_COL)
+                       + f" FROM {_q(vt)}")
 
     def append(self, df: DataFrame, props: dict[str, str] | None = None) -> None:
         """Append rows to the current version, matching columns by name
         (columns missing from ``df`` are written as NULL).  ``props`` are
-        stored with the version in the statement that saves the state."""
+        stored with the version in the statement that saves the state.
+        A keyed table gets a new version with the touched buckets
+        rewritten, as versions share bucket folders."""
         v = self.current_version()
         if v is None:
             self.write(df, props=props)
             return
-        target = self.spark.table(v).schema
-        previous = self.state()
+        target = self.schema
         from ..operators.schema_ops import align_to_schema
         aligned = align_to_schema(df, target).select(*target.fieldNames())
+        if self.key:
+            self.merge(aligned, lambda current: current.unionByName(aligned), aligned=False, props=props)
+            return
+        previous = self.state()
         aligned, obs = self._observe_state(aligned)
-        buckets = self.stored_buckets() or self.buckets
-        if self.key and buckets:
-            aligned = aligned.repartition(buckets, *[F.col(k) for k in self.key])
         if obs is not None:
             self._set_props(v, {PENDING_PROP: "yes"})
         w = aligned.write.format("parquet").mode("append")
-        if self.key and buckets:
-            w = w.bucketBy(buckets, *self.key).sortBy(*self.key)
         w.saveAsTable(v)
         self._save_state(v, obs, previous, props)
         self.spark.catalog.refreshTable(v)
@@ -250,8 +349,8 @@ class SnapshotTable:
 
     def drop_old_versions(self, keep: int = 2) -> list[str]:
         """Unregister all but the newest ``keep`` versions (the current one
-        is always kept).  Their folders stay until removed by storage
-        lifecycle rules."""
+        is always kept).  Their folders stay: newer versions may share them
+        (see ``bucket_folders``)."""
         cur = self.current_version()
         older = [v for v in self.versions() if v != cur]
         old = older[:max(len(older) - (keep - 1), 0)]

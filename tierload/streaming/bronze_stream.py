@@ -56,8 +56,9 @@ def merge_batches(table: SnapshotTable, ds: SilverDataset, validation: DateValid
         elif not table.exists():
             table.write(sf.initial_load(batch, ds, validation, as_of, run_ts))
         else:
-            table.write(sf.merge_load(table.read(), batch, ds, validation, None, as_of, run_ts,
-                                      partitions=table.join_partitions()), aligned=True)
+            table.merge(sf.merge_keys(batch, ds, validation, None, as_of),
+                        lambda current: sf.merge_load(current, batch, ds, validation, None, as_of, run_ts,
+                                                      partitions=table.join_partitions()))
 
     def append(batch: DataFrame, epoch_id: int) -> None:
         props = {}
