@@ -69,3 +69,24 @@ def test_redact(spark, edge):
     same = P.redact(edge)
     assert same.columns == edge.columns and same.count() == edge.count()
     assert P.redact(edge.limit(0)).count() == 0 and P.extract(edge.limit(0)).count() == 0
+
+
+def test_context_of_quoted_tokens(spark):
+    long = "w" * 300
+    rows = [(i, f'some text token = "{i:040x}"### more') for i in range(5)]
+    rows += [(10, f'token = "{10:040x}" more'), (11, 'so TOKEN = "not-a-hex-11", more'), (12, 'we set "not-a-hex-11" twice')]
+    rows += [(20 + i, f"Contact: <user{i}@example.org> thanks") for i in range(4)] + [(30, "Contact: <user30-at-example> thanks")]
+    rows += [(40 + i, f"{long} {long} {' ' * 90}user{i}@example.com") for i in range(4)] + [(50, f"{long} {long} user50-at-example")]
+    rows += [(51, f"x{long} {long} user51-at-example"), (52, f"mail:{10:04}-at-example")]
+    out = P.extract(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = {r.doc_id: [rows_text(rows, r.doc_id)[s[0]:s[2]] for s in r.spans if s[1] == P.CONTEXT] for r in out}
+    want = {i: [f"{i:040x}"] for i in (*range(5), 10)} | {11: ["not-a-hex-11"], 12: ["not-a-hex-11"], 30: ["user30-at-example"],
+                                                          50: ["user50-at-example"]}
+    assert {k: v for k, v in got.items() if v} == want
+
+
+def test_context_finds_all_planted_tokens(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    spans = {r.doc_id: {(s[0], s[2]) for s in r.spans if s[1] == P.CONTEXT} for r in P.extract(docs).collect()}
+    planted = [(r.doc_id, m.span(1)) for r in docs.collect() for m in re.finditer(r'token = "([0-9a-f]{40})"', r.text or "", re.I)]
+    assert len(planted) > 10 and all(span in spans[i] for i, span in planted)

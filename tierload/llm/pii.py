@@ -10,7 +10,8 @@ Java's matcher needs no backtracking over long runs (possessive, and
 anchored at the start of a run), with the same matches.
 
 Bootstrapping: base entities and long key-like secrets are seed instances;
-the two words before an instance (lower-cased) are its lexical pattern.
+the two words before an instance (lower-cased; one at a text's start) are
+its lexical pattern, with the quotes, brackets or signs directly before it.
 On the distinct (pattern, instance) graph, rounds of
 
 * pattern confidence = mean confidence of its instances, kept if at least
@@ -38,8 +39,8 @@ from tierload.llm.common import save
 KINDS = ("email", "ip", "card", "phone", "context")
 CONTEXT = 4
 MIN_SUPPORT, MIN_PATTERN, MIN_INSTANCE, ROUNDS = 3, 0.6, 0.6, 3
-#: characters before an instance that are looked at for its two context words
-REACH = 80
+#: characters before an instance that are read first for its context
+NEAR = 80
 
 _LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {
@@ -53,6 +54,8 @@ PATTERNS = {
 GATES = {"email": "@", "phone": "+"}
 TOKEN = r"(?<!\S)(?=[^\s0-9]*+[0-9])\S{6,}+"
 SECRET = r"^(?:[0-9a-fA-F]{32,}|AKIA[0-9A-Z]{16})$"
+#: on reversed text: what stands directly before an instance, and two words before that
+_LEAD, _TWO = r"[^A-Za-z0-9\s]*+", r"\s++\S++\s++\S++"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
 
@@ -107,10 +110,16 @@ def _kind_spans(text: Column, k: int, kind: str) -> Column:
 
 
 def _pattern_before(text: Column, start: Column) -> Column:
-    """The two words before a place, lower-cased; empty where there are none."""
-    begin = F.greatest(start - REACH, F.lit(0))
-    near = F.substring(text, begin + 1, start - begin)
-    words = F.regexp_extract(near, r"(\S+\s+\S+)\s+$", 1)
+    """The two words before an instance and what stands directly before it (quotes, brackets), lower-cased.
+
+    One word at a text's start; empty where there is none, or where a letter or digit stands directly before.
+    The last ``NEAR`` characters mostly tell; what they cut is read from the whole text before the instance.
+    """
+    begin = F.greatest(start - NEAR, F.lit(0))
+    near = F.reverse(F.substring(text, begin + 1, start - begin))
+    told = (begin == 0) | near.rlike(rf"^{_LEAD}(?:[A-Za-z0-9]|{_TWO}\s)")
+    back = F.when(told, near).otherwise(F.reverse(F.substring(text, F.lit(1), start)))
+    words = F.reverse(F.regexp_extract(back, rf"^{_LEAD}\s++\S++(?:\s++\S++)?+", 0))
     return F.lower(F.regexp_replace(words, r"\s+", " "))
 
 
