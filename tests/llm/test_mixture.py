@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -51,6 +52,19 @@ def test_overlapping_sources(spark):
     assert got[()] == 0 and got[("x",)] + got[("x", "y")] == 3500
 
 
+def test_long_documents_do_not_keep_a_source_from_its_target(spark):
+    r = random.Random(9)
+    rows = [(1000 * s + i, 100_000 if i == 0 else r.randint(60, 400), f"s{s}") for s in range(8) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, n int, source string").select("doc_id", F.expr("repeat('w ', n)").alias("text"), "source")
+    table = M.sized(docs, "doc_id", "text", F.array("source"), 17)
+    total = {f"s{s}": sum(n for _, n, x in rows if x == f"s{s}") for s in range(8)}
+    out = M.mix(table, {s: n // 2 for s, n in total.items()}).collect()
+    for s, n in total.items():
+        mine = [x for x in out if x["pattern"] == [s]]
+        # nearer than half of any document that could still be added
+        assert abs(sum(x.taken for x in mine) - n // 2) <= min(x["size"] for x in mine if not x.taken) / 2
+
+
 def test_edges(spark, edge):
     got = sorted((tuple(r) for r in M.mix_documents(edge).select("doc_id", "source", "size", "taken").collect()), key=repr)
     assert len(got) == edge.count()

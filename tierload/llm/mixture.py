@@ -7,18 +7,19 @@ every further repetition of a pattern costs more than the one before
 (convex costs), so nothing is repeated while unrepeated words could
 serve.  Documents are then chosen by a seeded hash: a pattern that must
 give ``q * size + r`` words repeats every document ``q`` times and gives
-one more copy of documents taken in hash order up to ``r`` words, plus
-up to ``FILLS`` other documents whose sizes are closest to what is still
-missing.
+one more copy of documents taken in hash order up to ``r`` words: a
+document that no longer fits is passed over, and the order is followed
+further with documents of at most the words still missing until none
+fits.  Then the smallest one left is added if that comes nearer.
 
 Only one row per pattern ever reaches the driver (``max_patterns`` bounds
 them); documents are never sorted or gathered.  The cut in hash order is
-found by descending a histogram 4096-fold per step.
+found by descending a histogram 4096-fold per step, all patterns at once.
 
 Defined cases: a null text has size 0 and is taken 0 times; a null
 source is a source of its own, last in order; a document in no source
-(empty array) is never taken; rows repeating an id share its hash and
-are taken alike; an empty table gives an empty result.
+(empty array) is never taken; rows repeating an id share its hash,
+and equal ones are taken alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ from pyspark.sql.window import Window
 
 from tierload.llm.common import save
 
-STEP_BITS, STEPS, FILLS = 12, 4, 4
+STEP_BITS, BITS = 12, 48
+RUNS = "array<struct<low:long,high:long,cap:long>>"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -144,54 +146,79 @@ def mix(rows: DataFrame, quotas: dict, repeats: int = 2, max_patterns: int = 100
     plan_df = spark.createDataFrame(plan, f"k int, pattern {kind}, times int, missing long")
     # one row per pattern: bounded by max_patterns; array equality treats null members as equal
     keyed = rows.join(F.broadcast(plan_df), "pattern", "left").drop("pattern")
-    chosen = spark.createDataFrame(
-        [(k, cut, extra) for k, (cut, extra) in _choose(keyed, plan).items()], "k int, cut long, extra array<long>")
-    key48 = F.shiftrightunsigned("h", 64 - STEP_BITS * STEPS)
-    more = (key48 < F.col("cut")) | F.array_contains("extra", F.col("h"))
+    chosen = spark.createDataFrame([(k, *x) for k, x in _choose(keyed, plan).items()],
+                                   f"k int, runs {RUNS}, extra struct<h:long,size:long>")
+    more = _within(_place()) | ((F.col("extra.h") == F.col("h")) & (F.col("extra.size") == F.col("size")))
     return (rows.join(F.broadcast(plan_df.join(chosen, "k")), "pattern", "left")
             .select(*rows.columns, (F.col("size") * (F.coalesce("times", F.lit(0))
                                     + F.coalesce(more, F.lit(False)).cast("int"))).cast("long").alias("taken")))
 
 
-def _choose(keyed: DataFrame, plan: list[tuple]) -> dict[int, tuple[int, list[int]]]:
-    """Per pattern: take one more copy of hashes below ``cut`` and of the hashes ``extra``."""
+def _choose(keyed: DataFrame, plan: list[tuple]) -> dict[int, tuple[list[tuple], tuple]]:
+    """Per pattern: take one more copy of what its ``runs`` (from, to, largest size) and ``extra`` (hash, size) hold.
+
+    A run takes what fits in hash order up to a document that does not; the next one goes on behind it with
+    documents of at most the words still missing, until none fits.
+    """
     spark = keyed.sparkSession
-    state = {k: (0, missing) for k, _, _, missing in plan if missing > 0}  # prefix so far, words still missing
-    live = keyed.where((F.col("size") > 0) & F.col("k").isNotNull())
-    for step in range(STEPS):
-        if not state:
-            break
-        at = spark.createDataFrame([(k, p, m) for k, (p, m) in state.items()], "k int, prefix long, left long")
-        bits = STEP_BITS * (step + 1)
-        inside = (live.join(F.broadcast(at), "k")
-                  .withColumn("bin", F.shiftrightunsigned("h", 64 - bits))
-                  .where(F.shiftrightunsigned("bin", STEP_BITS) == F.col("prefix") if step else F.lit(True))
-                  .groupBy("k", "left", "bin").agg(F.sum("size").alias("n")))
-        before = Window.partitionBy("k").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-        cut = (inside.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
-               .where((F.col("below") <= F.col("left")) & (F.col("left") < F.col("below") + F.col("n")))
-               .select("k", "bin", (F.col("left") - F.col("below")).alias("left")))
-        found = {r["k"]: (r["bin"], r["left"]) for r in cut.collect()}
-        # a pattern without a boundary bin gives all it has (possible only by rounding)
-        state = {k: found.get(k, ((1 << bits), 0)) for k in state}
-    extra: dict[int, list[int]] = {k: [] for k, *_ in plan}
-    left = {k: m for k, (_, m) in state.items() if m > 0}
-    for last in (False,) * (FILLS - 1) + (True,):
-        if not left:
-            break
-        at = spark.createDataFrame([(k, state[k][0], m, extra[k]) for k, m in left.items()],
-                                   "k int, cut long, left long, taken array<long>")
-        gap = F.abs(F.col("size") - F.col("left"))
-        best = (live.join(F.broadcast(at), "k")
-                .where((F.shiftrightunsigned("h", 64 - STEP_BITS * STEPS) >= F.col("cut")) & (gap < F.col("left"))
-                       & ~F.array_contains("taken", F.col("h")))
-                .where(F.lit(True) if last else F.col("size") <= F.col("left"))
-                .groupBy("k").agg(F.min(F.struct(gap.alias("gap"), F.col("h").alias("h"))).alias("b")))
-        for r in best.collect():
-            extra[r["k"]].append(r["b"]["h"])
-            left[r["k"]] = r["b"]["gap"]
-        left = {k: m for k, m in left.items() if m > 0}
-    return {k: (state[k][0] if k in state else 0, extra[k]) for k, *_ in plan}
+    live = keyed.where((F.col("size") > 0) & F.col("k").isNotNull()).select("k", "size", "h", _place().alias("key"))
+    runs: dict[int, list[tuple]] = {k: [] for k, *_ in plan}
+    missing = {k: m for k, _, _, m in plan if m > 0}
+    # where each pattern's run stands: its start and largest size, the prefix found so far, words missing below it
+    state = {k: (0, m, 0, 0, m) for k, m in missing.items()}
+    before = Window.partitionBy("k").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    while state:
+        at = spark.createDataFrame([(k, *x) for k, x in state.items()], "k int, low long, cap long, prefix long, bits int, left long")
+        bins = (live.where(F.col("size") <= max(cap for _, cap, *_ in state.values())).join(F.broadcast(at), "k")
+                .where((F.col("key") >= F.col("low")) & (F.col("size") <= F.col("cap"))
+                       & (F.expr(f"shiftrightunsigned(key, {BITS} - bits)") == F.col("prefix")))
+                .groupBy("k", "left", F.expr(f"shiftrightunsigned(key, {BITS - STEP_BITS} - bits)").alias("bin"))
+                .agg(F.sum("size").alias("n"), F.min("key").alias("first"), F.max("key").alias("last")))
+        # the bin in which the words run out, or the last one
+        cut = (bins.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
+               .withColumn("total", F.sum("n").over(Window.partitionBy("k")))
+               .where(F.when(F.col("total") <= F.col("left"), F.col("below") + F.col("n") == F.col("total")).otherwise(
+                   (F.col("below") <= F.col("left")) & (F.col("left") < F.col("below") + F.col("n")))))
+        found = {r["k"]: r for r in cut.collect()}
+        then = {}
+        for k, (low, cap, _, bits, left) in state.items():
+            r = found.get(k)
+            if r is None:  # nothing fits
+                continue
+            if r["total"] <= left:  # all of it
+                runs[k].append((low, 1 << BITS, cap))
+                missing[k] = left - r["total"]
+                continue
+            left -= r["below"]
+            if left and r["first"] < r["last"]:
+                then[k] = (low, cap, r["bin"], bits + STEP_BITS, left)
+                continue
+            runs[k].append((low, r["first"], cap))
+            missing[k] = left
+            if left:
+                then[k] = (r["first"] + 1, left, 0, 0, left)
+        state = then
+    extra: dict[int, tuple] = {}
+    missing = {k: m for k, m in missing.items() if m}
+    if missing:
+        # every document left is larger than what is missing: the smallest one, where that comes nearer
+        at = spark.createDataFrame([(k, m, runs[k]) for k, m in missing.items()], f"k int, left long, runs {RUNS}")
+        gap = F.col("size") * F.col("rows") - F.col("left")
+        best = (live.join(F.broadcast(at), "k").where((F.col("size") < 2 * F.col("left")) & ~_within(F.col("key")))
+                .groupBy("k", "left", "h", "size").agg(F.count("*").alias("rows"))
+                .where(F.abs(gap) < F.col("left"))
+                .groupBy("k").agg(F.min(F.struct(F.abs(gap).alias("gap"), "h", "size")).alias("b")))
+        extra = {r["k"]: (r["b"]["h"], r["b"]["size"]) for r in best.collect()}
+    return {k: (runs[k], extra.get(k)) for k in runs}
+
+
+def _place() -> Column:
+    """Place in hash order."""
+    return F.shiftrightunsigned("h", 64 - BITS)
+
+
+def _within(key: Column) -> Column:
+    return F.exists("runs", lambda r: (key >= r["low"]) & (key < r["high"]) & (F.col("size") <= r["cap"]))
 
 
 def weighted_quotas(rows: DataFrame, weights: Iterable[int], share: float = 1.5, most: float = 2.0) -> DataFrame:
