@@ -24,6 +24,27 @@ CASES = {
     "<h2>T</h3>x": "T\n\nx",
     "": "", "   ": "",
 }
+KEPT = {
+    "<table><tr><form><td>x</td></form></tr></table>": "x",
+    "<table><form><tr><td>x<td>y</tr>w</form></table>": "w\n\nx  y",
+    "<table>in table<tr>in row<td>x</td></tr><tbody>in body<tr><td>y</table>z": "in tablein rowin body\n\nx\ny\n\nz",
+    "a<table><tr><td>x</td><b>c</b> <i>d</i></tr><div>e</div></table>": "ac d\ne\n\nx",
+    "<table><tr><td>x<table><tr>s<td>y</table></table>": "xs\n\ny",
+    "<table><tr><table><tr><td>y</table>z": "y\n\nz",
+    "<table hidden>shown<tr><td>x</table>": "shown",
+    "<svg><title>t</title><defs/><g><text x=1>one</text><text>two</text></g></svg>three": "one two three",
+    "<svg><title/><desc>d</desc></svg>x <math><mi>y</mi><mo>=</mo><mn>1</mn></math>": "x y=1",
+    "<p title=it's>Hello it's me</p>": "Hello it's me",
+    '<a href="x"">one</a> two <a href="y"">three</a>': "one two three",
+    "<a 'b>one</a> it's": "one it's",
+    "<a href = 'x>y' title=a=\"b>one</a> \"two": 'one "two',
+    '<p title="x>one': "one",
+}
+
+
+@pytest.mark.parametrize("page", KEPT)
+def test_no_visible_text_is_dropped(page):
+    assert R.render_page(page) == KEPT[page]
 
 
 @pytest.mark.parametrize("page", CASES)

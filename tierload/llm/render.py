@@ -12,6 +12,8 @@ table parts) and a renderer that emits the text a reader would see:
 * block elements start on lines of their own, and paragraphs, headings,
   lists, tables and quotations are set off by one blank line;
 * list items carry ``-`` or their number and indent what they contain;
+* text and elements that a table cannot hold stand before it, cells inside
+  a row's other elements in the row; text of svg and math is kept;
 * table cells stand in aligned columns (row and column spans kept), right
   aligned where the page says so; a table of one column is plain blocks;
 * white space is collapsed except in ``pre`` and ``textarea``.
@@ -45,7 +47,7 @@ DEPTH = 120
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset("head script style template title meta link iframe noembed noframes object audio video canvas datalist "
-                   "svg math map area param source track colgroup col".split())
+                   "map area param source track colgroup col".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre "
                   "search section summary table tbody td textarea tfoot th thead tr ul caption xmp".split())
@@ -63,10 +65,18 @@ ENDS = {
     "tfoot": ({"td", "th", "tr", "tbody", "thead", "tfoot", "caption"}, {"table"}),
     "body": ({"head"}, set()),
 }
+#: what a table, its sections and rows keep; all else in them stands before the table
+PARTS = frozenset("caption colgroup col tbody thead tfoot tr td th script style template".split())
+SECTIONS = frozenset("tbody thead tfoot tr".split())
+#: never drawn inside svg and math
+UNDRAWN = frozenset("title desc metadata defs symbol clippath mask marker pattern lineargradient radialgradient filter "
+                    "annotation annotation-xml".split())
 HEAD_ONLY = frozenset("head title meta link style script base template noscript".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
-_ATTR = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
+# a quote opens a value only directly after "="
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+_TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+{_VALUE}?+)*+)>""", re.S)
+_ATTR = re.compile(r"""([^\s=/>]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+)))?""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 
@@ -127,21 +137,71 @@ def parse(page: str) -> Node:
             close({"p"}, {"td", "th", "button", "caption", "table"})
         if name in ENDS:
             close(*ENDS[name])
+        if name == "table":  # directly in another one: ends that
+            close({"table"}, {"td", "th", "caption"})
         node = Node(name, attributes(m[3]) if m[3] else {})
         stack[-1].children.append(node)
-        if name in RAW:
+        if m[3].endswith("/") and any(n.tag in ("svg", "math") for n in stack):
+            pass
+        elif name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             raw = page[at:end.start()] if end else page[at:]
             at = end.end() if end else len(page)
             node.children.append(html.unescape(raw) if name in ("textarea", "title") else raw)
-        elif name not in VOID and not (m[3].endswith("/") and name in ("path", "rect", "circle")) and len(stack) < DEPTH:
+        elif name not in VOID and len(stack) < DEPTH:
             stack.append(node)
         if at >= len(page):
             break
     text(page[at:])
+    _settle(root, False)
     return root
 
 
+def _settle(n: Node, drawing: bool) -> None:
+    """Move what a table cannot hold before it, and drop what svg and math do not draw."""
+    out = []
+    for c in n.children:
+        if isinstance(c, Node):
+            if drawing and c.tag in UNDRAWN:
+                continue
+            if c.tag == "table":
+                strays = Node("#strays", {})
+                c.children = _parts(c, strays.children)
+                _settle(strays, drawing)
+                out += strays.children
+            elif drawing and c.tag == "text":  # placed on its own
+                c.children = [" ", *c.children, " "]
+            _settle(c, c.tag in ("svg", "math") or (drawing and c.tag != "foreignobject"))
+        out.append(c)
+    n.children = out
+
+
+def _parts(n: Node, strays: list) -> list[Node]:
+    """The table parts in ``n``, also those inside other elements; the rest goes to ``strays``."""
+    parts = []
+    for c in n.children:
+        if isinstance(c, str):
+            if strays or c.strip():
+                strays.append(c)
+        elif c.tag in PARTS:
+            if c.tag in SECTIONS:
+                c.children = _parts(c, strays)
+            parts.append(c)
+        elif c.tag == "table" or not _holds_parts(c):
+            strays.append(c)
+        else:
+            inner: list = []
+            parts += _parts(c, inner)
+            c.children = inner
+            strays.append(c)
+    return parts
+
+
+def _holds_parts(n: Node) -> bool:
+    return any(isinstance(c, Node) and c.tag != "table" and (c.tag in SECTIONS or c.tag in ("td", "th", "caption") or _holds_parts(c))
+               for c in n.children)
+
+
 def _end(stack: list[Node], name: str) -> None:
     """Close the matching open element; a cell's content never closes what is around its table."""
     if name == "br":
@@ -363,8 +423,6 @@ class Renderer:
                 if not rows or rows[-1].attrs.get("#") != "implied":
                     rows.append(Node("tr", {"#": "implied"}))
                 rows[-1].children.append(part)
-            else:
-                caption += self.render(part, seen) if part.tag in BLOCK else [" ".join(self.render(part, seen))]
         grid: list[dict[int, tuple[list[str], int, str]]] = []
         taken: dict[tuple[int, int], bool] = {}
         for r, row in enumerate(rows):
