@@ -109,3 +109,28 @@ r AS (SELECT a, b, n_common,
       FROM m GROUP BY a, b, n_common)
 SELECT a AS chosen_id, b AS rejected_id, n_common::BIGINT AS n_common, prompt, chosen, rejected, chosen_mask, rejected_mask,
        chosen_mask <> '' AND rejected_mask <> '' AND chosen <> rejected AS usable FROM r"""
+
+ORACLE_SQL["op11_target_resample"] = f"""
+WITH t AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc
+           FROM range(256) x(i)),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce({_LOWER.format('text')}, ''), {_ALNUM}) AS w FROM documents),
+b AS (SELECT regexp_extract_all(coalesce({_LOWER.format('text')}, ''), {_ALNUM}) AS w FROM benchmark),
+u AS (SELECT r, unnest(w) AS a, unnest(list_append(w[2:], NULL)) AS b FROM d),
+v AS (SELECT unnest(w) AS a, unnest(list_append(w[2:], NULL)) AS b FROM b),
+df AS (SELECT r, a AS f FROM u UNION ALL SELECT r, a || ' ' || b FROM u WHERE b IS NOT NULL),
+bf AS (SELECT a AS f FROM v UNION ALL SELECT a || ' ' || b FROM v WHERE b IS NOT NULL),
+x AS (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+k AS (SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h), 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT)),
+        lambda c, y: xor(crc[(xor(c, y) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket FROM x, t),
+s AS (SELECT bucket, count(*) AS n FROM df JOIN k USING (f) GROUP BY 1),
+q AS (SELECT bucket, count(*) AS n FROM bf JOIN k USING (f) GROUP BY 1),
+z AS (SELECT (SELECT count(*) FROM df) + 10000 AS s_all, (SELECT count(*) FROM bf) + 10000 AS t_all),
+g AS (SELECT x.bucket, floor(1000 * ln(((coalesce(q.n, 0) + 1)::DOUBLE * s_all) / ((coalesce(s.n, 0) + 1)::DOUBLE * t_all)))::BIGINT AS gain
+      FROM range(10000) x(bucket) LEFT JOIN s USING (bucket) LEFT JOIN q USING (bucket), z),
+m AS (SELECT r, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM df JOIN k USING (f) JOIN g USING (bucket) GROUP BY r),
+o AS (SELECT d.r, doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+      FROM d LEFT JOIN m USING (r)),
+e AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS rank, count(*) OVER () AS n FROM o WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score::BIGINT AS score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
+FROM o LEFT JOIN e USING (r)"""

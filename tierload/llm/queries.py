@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierload.llm import decontam, hmm, mixture, neardup, pii, preferences, quality, render, substrings, tokens
+from tierload.llm import decontam, hmm, mixture, neardup, pii, preferences, quality, render, resample, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOKEN_LIMIT = 1024
@@ -95,3 +95,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@_query
+def op11_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=25, seed=7)
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
