@@ -134,3 +134,23 @@ o AS (SELECT d.r, doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_feature
 e AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS rank, count(*) OVER () AS n FROM o WHERE n_words >= 20)
 SELECT doc_id, n_features, weight, score::BIGINT AS score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
 FROM o LEFT JOIN e USING (r)"""
+
+ORACLE_SQL["op12_phrase_tiles"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, {_LOWER.format('text')} AS t FROM documents),
+p AS (SELECT r, lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d WHERE t IS NOT NULL),
+q AS (SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+w AS (SELECT p, lang, unnest(w) AS a, unnest(list_append(w[2:], NULL)) AS b, unnest(list_concat(w[3:], [NULL, NULL])[1:len(w)]) AS c FROM q WHERE len(w) > 0),
+f1 AS (SELECT lang, a, count(*) AS n FROM w GROUP BY ALL),
+f2 AS (SELECT lang, a, b, count(*) AS n FROM w WHERE b IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, a, b, c, count(*) AS n FROM w WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+s2 AS (SELECT x.lang, x.a || ' ' || x.b AS phrase, x.n AS a, u.n AS l, v.n AS r, 1000000 * x.n::HUGEINT * x.n // (u.n::HUGEINT * v.n) AS score
+       FROM f2 x JOIN f1 u ON u.lang = x.lang AND u.a = x.a JOIN f1 v ON v.lang = x.lang AND v.a = x.b
+       WHERE x.n >= 10 AND NOT EXISTS (SELECT 1 FROM f3 y WHERE y.lang = x.lang AND y.a = x.a AND y.b = x.b AND 100 * y.n >= 50 * x.n)
+         AND NOT EXISTS (SELECT 1 FROM f3 y WHERE y.lang = x.lang AND y.b = x.a AND y.c = x.b AND 100 * y.n >= 50 * x.n)),
+k3 AS (SELECT x.*, 1 AS k, u.n AS l, v.n AS r FROM f3 x JOIN f1 u ON u.lang = x.lang AND u.a = x.a JOIN f2 v ON v.lang = x.lang AND v.a = x.b AND v.b = x.c
+       UNION ALL SELECT x.*, 2, u.n, v.n FROM f3 x JOIN f2 u ON u.lang = x.lang AND u.a = x.a AND u.b = x.b JOIN f1 v ON v.lang = x.lang AND v.a = x.c),
+s3 AS (SELECT lang, a || ' ' || b || ' ' || c AS phrase, n AS a, l, r, 1000000 * n::HUGEINT * n // (l::HUGEINT * r) AS score FROM k3
+       QUALIFY row_number() OVER (PARTITION BY lang, a, b, c ORDER BY score, k) = 1),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM (SELECT * FROM s2 UNION ALL SELECT * FROM s3))
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM z JOIN (SELECT lang, sum(n) AS n FROM f1 GROUP BY 1) USING (lang) WHERE rank <= 2000"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierload.llm import decontam, hmm, mixture, neardup, pii, preferences, quality, render, resample, substrings, tokens
+from tierload.llm import collocations, decontam, hmm, mixture, neardup, pii, preferences, quality, render, resample, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOKEN_LIMIT = 1024
@@ -101,3 +101,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=25, seed=7)
     return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query
+def op12_phrase_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), longest=3, min_count=10, percent=50, top=2000)
