@@ -50,10 +50,10 @@ from tierload.llm.text import Words, blocks, hash_spans, mix, utf8_buffers
 LONGEST, MIN_COUNT, CONTAINED, TOP = 3, 10, 50, 2000
 RANKED, HEAD = 1 << 20, 1 << 16
 SIDE = 1 << 10            # a tile has SIDE x SIDE counters
-FULL = SIDE * SIDE // 32  # pairs of one block that make a tile dense
-TILES = 12                # dense tiles of a task: 8 MB each
-COO = 3_000_000           # entries held before they are merged
-BLOCK_BYTES = 4 << 20
+FULL = SIDE * SIDE // 64  # pairs of one block that make a tile dense
+TILES = 6                 # dense tiles of a task: 8 MB each
+COO = 1_000_000           # entries held before they are merged
+BLOCK_BYTES = 1 << 20
 SALTS = 64
 
 BREAK = np.zeros(256, dtype=bool)
