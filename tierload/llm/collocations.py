@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tierload.llm.common import IdFilter, arrow_map, save
-from tierload.llm.text import Words, blocks, hash_spans, mix, utf8_buffers
+from tierload.llm.text import Words, blocks, hash_spans, mix, take_spans, utf8_buffers
 
 LONGEST, MIN_COUNT, CONTAINED, TOP = 3, 10, 50, 2000
 RANKED, HEAD = 1 << 20, 1 << 16
@@ -87,10 +87,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             p = PieceWords(b)
             w = p.words
             _, first, n = np.unique(p.id, return_index=True, return_counts=True)
-            start, size = w.start[first], w.end[first] - w.start[first]
-            off = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-            data = w.data[np.repeat(start - off[:-1], size) + np.arange(off[-1])]
-            text = pa.Array.from_buffers(pa.string(), len(first), [None, pa.py_buffer(off), pa.py_buffer(data)])
+            text = take_spans(w.data, w.start[first], w.end[first], pa.string())
             yield pa.RecordBatch.from_arrays([b.column("lang").take(pa.array(w.row[first])), text, pa.array(n)], ["lang", "phrase", "n"])
 
     return arrow_map(docs, fn, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierload.llm import collocations, decontam, hmm, mixture, neardup, pii, preferences, quality, render, resample, substrings, tokens
+from tierload.llm import collocations, decontam, hmm, langid, mixture, neardup, pii, preferences, quality, render, resample, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOKEN_LIMIT = 1024
@@ -106,3 +106,10 @@ def op11_target_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op12_phrase_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"), longest=3, min_count=10, percent=50, top=2000)
+
+
+@_query
+def op13_segment_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    return langid.identify(_table(spark, sf_dir, "documents"), held_out, public_tokenizers.path("piece_bpe_32k.model"))

@@ -106,6 +106,14 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return h
 
 
+def take_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """The byte spans as an Arrow string or binary column."""
+    size = end - start
+    off = np.concatenate([[0], np.cumsum(size)])
+    out = data[np.repeat(start - off[:-1], size) + np.arange(off[-1])]
+    return pa.Array.from_buffers(kind, len(start), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(out)])
+
+
 def windows_of(h: np.ndarray, row: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(h) - q + 1
     if n <= 0:
