@@ -54,7 +54,7 @@ FULL = SIDE * SIDE // 64  # pairs of one block that make a tile dense
 TILES = 6                 # dense tiles of a task: 8 MB each
 COO = 1_000_000           # entries held before they are merged
 BLOCK_BYTES = 1 << 20
-SALTS = 64
+SALTS = 16
 
 BREAK = np.zeros(256, dtype=bool)
 BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -259,7 +259,8 @@ def pair_counts(docs: DataFrame, shorter: list[Ranks], min_count: int) -> DataFr
                 yield from counter.add(gram[at], p.id[at + size], rank[at], word_rank[at + size])
         yield from counter.rest()
 
-    rows = docs.mapInArrow(run, "left long, right long, n long")
+    # counted per task already: shuffled as they are, not combined once more before
+    rows = docs.mapInArrow(run, "left long, right long, n long").repartition("left", "right")
     return rows.groupBy("left", "right").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 
 
