@@ -126,8 +126,8 @@ class GoldLoad:
             store = self.store()
             entry = self.spark.createDataFrame([(t.source_table, new_wm)],
                                                "source_table string, last_watermark timestamp_ntz")
-            store.write(save_watermarks(store.read(), entry, self.run_ts,
-                                        partitions=store.join_partitions()), aligned=True)
+            store.merge(entry.select("source_table"), lambda current: save_watermarks(
+                current, entry, self.run_ts, partitions=store.join_partitions()))
         return (t.source_table, t.target_table, "OK", m.get("rows"), prev, new_wm, batch)
 
     def run(self, tables: list[GoldTable]) -> DataFrame:

@@ -20,7 +20,7 @@ from ..config import ConfigError, DateValidation, SilverDataset
 from ..operators.columns import BRONZE_PARTITIONS, plan_exclusion
 from ..operators.schema_ops import find_missing_columns
 from . import silver_frames as sf
-from .tables import SnapshotTable
+from .tables import COMMIT_ATTEMPTS, ConcurrentCommit, SnapshotTable
 
 log = logging.getLogger(__name__)
 
@@ -83,23 +83,36 @@ class SilverLoad:
             table.add_columns(missing)
             if ds.mode == "dedupe_latest":      # re-plan against the evolved table
                 op, frame, table, state, _ = self.plan(ds, rebuild)
-        obs = Observation(f"silver_{ds.name}")
-        metric = F.count(F.lit(1)).alias("rows")
-        kept = 0
         if op == "INCREMENTAL UPDATE" and ds.mode == "dedupe_latest":
             bronze = self.bronze(ds.name)
-            done = table.merge(
+            rows = table.merge(
                 sf.merge_keys(bronze, ds, self.validation, state, self.as_of),
                 lambda current: sf.merge_load(current, bronze, ds, self.validation, state, self.as_of, self.run_ts,
-                                              partitions=table.join_partitions()).observe(obs, metric))
-            kept = table.count_rows(done.carried)
+                                              partitions=table.join_partitions())).rows
         elif op == "INCREMENTAL UPDATE":
-            table.append(frame.observe(obs, metric))
+            rows = self._append(ds, table)
         else:
-            table.write(frame.observe(obs, metric), aligned=self._aligned(ds, table))
-        rows = obs.get.get("rows", 0) + kept
+            obs = Observation(f"silver_{ds.name}")
+            table.write(frame.observe(obs, F.count(F.lit(1)).alias("rows")), aligned=self._aligned(ds, table))
+            rows = obs.get.get("rows", 0)
         return (ds.name, ds.mode, op, f"OK ({op})", rows, st[0], st[1])
 
+    def _append(self, ds: SilverDataset, table: SnapshotTable) -> int:
+        """Append the batches after the table's state; computed again when
+        another run committed meanwhile, as it may have loaded the same."""
+        for attempt in range(1, COMMIT_ATTEMPTS + 1):
+            base = table.current_version()
+            frame = sf.append_load(self.bronze(ds.name), ds, self.validation, table.state(base), self.as_of, self.run_ts)
+            obs = Observation(f"silver_{ds.name}")
+            try:
+                table.append(frame.observe(obs, F.count(F.lit(1)).alias("rows")), base=base)
+                return obs.get.get("rows", 0)
+            except ConcurrentCommit as e:
+                if attempt == COMMIT_ATTEMPTS:
+                    raise
+                log.warning("%s; loading again", e)
+        raise AssertionError
+
     def _aligned(self, ds: SilverDataset, table: SnapshotTable) -> bool:
         """Does the initial load's plan already hold one bucket per task?
 

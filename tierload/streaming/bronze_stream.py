@@ -7,9 +7,9 @@ one into the Silver table with the batch MERGE (``merge_latest``).
 makes it a drop-in scheduled job.  Unlike the state-based batch load,
 late files (older batch ids) ARE processed here.  Re-running an epoch
 after a failure is harmless for keyed tables (the MERGE is idempotent).
-An append-only table keeps the last epoch of each stream with its
-version, saved right after the rows, and skips a replayed one; only a
-crash between these two statements lets the epoch's rows in twice.
+An append-only table takes each epoch as a segment; the epoch's number is
+committed in the same statement as its rows, so a replayed epoch is
+either skipped or was never there.
 """
 
 from __future__ import annotations
