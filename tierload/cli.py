@@ -6,7 +6,7 @@
     python -m tierload.cli gold   --config mappings.json [--silver-prefix silver_] [--table NAME]
                                   [--jdbc-url URL]
 
-Prints the summary; exits with status 1 when any dataset/table failed.
+Prints the summary; exits with status 1 when any dataset, table or partition failed.
 """
 
 from __future__ import annotations
@@ -54,7 +54,10 @@ def run(spark, argv) -> int:
         summary = crawl(spark, a.root, a.prefix, a.database, plan_only=a.dry_run,
                         inventory=a.inventory)
         summary.show(truncate=False)
-        return 0
+        failed = summary.agg(F.sum("partitions_failed")).first()[0] or 0
+        if failed:
+            print(f"{failed} partitions could not be registered", file=sys.stderr)
+        return 1 if failed else 0
     with open(a.config) as fh:
         doc = json.load(fh)
     if a.job == "silver":

@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.identifiers import normalize_prefix_str
-from ..sources.catalog import add_partitions, register_table, split_columns
+from ..session import new_run_dir
+from ..sources.catalog import register_partitions, register_table, settle, settled, split_columns
 from ..sources.inventory import INVENTORY_KEY, changed_files, inventory_upsert
+from ..sources.ledger import LEDGER_KEY, LEDGER_SCHEMA, PartitionLedger
 from ..sources.listing import list_files
 from ..sources.paths import dataset_summary, distinct_partitions, parse_keys
 from .tables import SnapshotTable
@@ -28,6 +30,7 @@ log = logging.getLogger(__name__)
 SUMMARY_SCHEMA = ("dataset string, table_name string, n_files bigint, sample_file string, "
                   "n_columns int, partition_columns string, n_partitions bigint, action string, "
                   "partitions_created bigint, partitions_failed bigint, schema_source string")
+LEDGER_TABLE = "partition_ledger"         # default name, in the tables' database
 INVENTORY_SCHEMA = ("dataset string, key string, length bigint, modification_time timestamp_ntz, "
                     "schema_json string, processed_at timestamp_ntz")
 
@@ -38,23 +41,25 @@ class NameCollision(ValueError):
 
 def crawl(spark: SparkSession, root: str, prefix: str = "", database: str | None = None,
           plan_only: bool = False, inventory: str | None = None, run_ts=None,
-          inventory_buckets: int | None = None) -> DataFrame:
+          inventory_buckets: int | None = None, ledger: str | None = None) -> DataFrame:
     """Discover and register every dataset below ``root/prefix``; the file
     inventory (if named) is a keyed table on ``(dataset, key)`` with
-    ``inventory_buckets`` buckets (default: the shuffle parallelism)."""
+    ``inventory_buckets`` buckets (default: the shuffle parallelism).
+    ``ledger`` names the partition ledger (default: ``partition_ledger``
+    in ``database``)."""
     base = root.rstrip("/")
     p = normalize_prefix_str(prefix)
     listing = list_files(spark, base, p)
     parsed = parse_keys(listing, "key", p).cache()   # reused by summary and partitions
     try:
-        return _crawl(spark, base, parsed, database, plan_only, inventory, run_ts,
-                      inventory_buckets)
+        return _crawl(spark, base, parsed, database, plan_only, inventory, run_ts, inventory_buckets,
+                      PartitionLedger(spark, ledger or (f"{database}.{LEDGER_TABLE}" if database else LEDGER_TABLE)))
     finally:
         parsed.unpersist()
 
 
 def _crawl(spark, base, parsed, database, plan_only, inventory, run_ts,
-           inventory_buckets) -> DataFrame:
+           inventory_buckets, ledger: PartitionLedger) -> DataFrame:
     summary = dataset_summary(parsed).collect()       # one row per dataset
     names: dict[str, str] = {}
     for r in summary:
@@ -67,7 +72,8 @@ def _crawl(spark, base, parsed, database, plan_only, inventory, run_ts,
     cache = _schema_cache(inv, parsed) if inv is not None and inv.exists() else {}
     partitions = distinct_partitions(parsed).withColumn(
         "location", F.concat(F.lit(base + "/"), F.col("location")))
-    out, schemas = [], {}
+    known = ledger.read()
+    out, schemas, tables = [], {}, {}
     for r in summary:
         dataset, table = r["dataset"], r["table_name"]
         qualified = f"{database}.{table}" if database else table
@@ -86,16 +92,51 @@ def _crawl(spark, base, parsed, database, plan_only, inventory, run_ts,
             row["action"] = "PLAN"
         else:
             location = f"{base}/{dataset}/"
-            row["action"] = register_table(spark, qualified, location, columns, layout)
+            row["action"] = register_table(spark, qualified, location, columns, layout,
+                                           known.where(F.col("dataset") == dataset))
             if layout:
-                created, failed = add_partitions(spark, qualified, layout, partitions, dataset)
-                row["partitions_created"], row["partitions_failed"] = created, failed
-        out.append(tuple(row[k.split()[0]] for k in SUMMARY_SCHEMA.split(", ")))
+                tables[dataset] = qualified, layout
+        out.append(row)
+    if tables:
+        created, failed = _register_partitions(spark, ledger, partitions, tables)
+        for row in out:
+            if row["dataset"] in tables:
+                row["partitions_created"] = created.get(row["dataset"], 0)
+                row["partitions_failed"] = sum(d == row["dataset"] for d, _ in failed)
+    out = [tuple(row[k.split()[0]] for k in SUMMARY_SCHEMA.split(", ")) for row in out]
     if inv is not None and not plan_only:
         _update_inventory(spark, inv, parsed, schemas, run_ts)
     return spark.createDataFrame(out, SUMMARY_SCHEMA)
 
 
+def _register_partitions(spark, ledger: PartitionLedger, partitions: DataFrame,
+                         tables: dict[str, tuple[str, list[str]]]) -> tuple[dict, list]:
+    """Register what the ledger does not have, of all datasets at once.
+
+    A table that was just created, or whose registration was cut off,
+    gets the ledger's partitions as well."""
+    fresh = [d for d, (table, _) in tables.items() if not settled(spark, table)]
+    path = new_run_dir(spark, "partitions")
+    # written, so that what is registered is what the ledger gets
+    ledger.missing(partitions).write.parquet(path)
+    todo = new = spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    restored = bool(fresh) and ledger.table.exists()
+    if restored:
+        todo = new.unionByName(ledger.of(fresh))
+    created, failed = register_partitions(spark, todo, tables)
+    if not new.isEmpty():
+        if failed:
+            bad = spark.createDataFrame([(d, "/".join(v)) for d, v in failed], "dataset string, values_key string")
+            new = new.join(bad, LEDGER_KEY, "left_anti")
+        ledger.add(new)
+    # a new partition that failed is missing from the ledger and tried again anyway
+    bad = {d for d, _ in failed} if restored else set()
+    for d in fresh:
+        if d not in bad:
+            settle(spark, tables[d][0])
+    return created, failed
+
+
 def _schema_cache(inv: SnapshotTable, parsed: DataFrame) -> dict:
     """Cached schemas of unchanged sample files (same length and mtime)."""
     current = parsed.select("dataset", "key", "length", "modification_time")
