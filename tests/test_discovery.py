@@ -205,3 +205,44 @@ def test_new_partitions_pass_no_partition_list(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(type(spark), "sql", lambda s, q, *a, **k: asked.append(q) or sql(s, q, *a, **k))
     assert crawl(spark, str(tmp_path), "", db).first()["partitions_created"] == 1
     assert asked and not any(q.startswith("SHOW PARTITIONS") for q in asked)
+
+
+def test_folder_digests_see_every_change(spark):
+    from tierload.sources.inventory import changed_folders, folder_digests
+    base = [("DS", f"DS/d={d}/{f}.parquet", 10 * f, f"2024-01-0{f + 1} 00:00:00") for d in range(6) for f in range(3)]
+
+    def digests(files):
+        df = spark.createDataFrame(files, "dataset string, key string, length long, t string")
+        return folder_digests(df.select("dataset", "key", "length", F.col("t").cast("timestamp_ntz").alias("modification_time")))
+    now = [r for r in base if r[1] != "DS/d=1/0.parquet"]                                        # one vanished
+    now = [(d, k, n + 1 if k == "DS/d=2/2.parquet" else n, t) for d, k, n, t in now]              # one grew
+    now = [(d, k, n, "2025-01-01 00:00:00" if k == "DS/d=3/0.parquet" else t) for d, k, n, t in now]
+    now += [("DS", "DS/d=4/9.parquet", 1, "2024-01-01 00:00:00"), ("DS", "DS/d=7/0.parquet", 1, "2024-01-01 00:00:00")]
+    got = changed_folders(digests(now[::-1]), digests(base))
+    assert [r[1] for r in rows(got)] == ["DS/d=1/", "DS/d=2/", "DS/d=3/", "DS/d=4/", "DS/d=7/"]
+    assert changed_folders(digests(base[::-1]), digests(base)).count() == 0
+
+
+def test_an_unchanged_tree_compares_no_file(spark, tmp_path, monkeypatch):
+    db = _db(spark, "digest")
+    for d in (1, 2, 3):
+        _day(tmp_path, d, pa.int32())
+    inventory = SnapshotTable(spark, f"{db}.files", key=["dataset", "key"], buckets=4)
+
+    def again():
+        return crawl(spark, str(tmp_path), "", db, inventory=f"{db}.files", inventory_buckets=4).first()
+    assert again()["schema_source"] == "file" and inventory.read().count() == 3
+    v = inventory.current_version()
+    compared, files = [], crawl_module.changed_files
+    monkeypatch.setattr(crawl_module, "changed_files", lambda listing, inv: compared.append(
+        sorted(r["key"] for r in listing.collect())) or files(listing, inv))
+    assert again()["schema_source"] == "cache" and compared == [] and inventory.current_version() == v
+    _day(tmp_path, 2, pa.int32(), 50)
+    _day(tmp_path, 4, pa.int32())
+    again()
+    assert compared == [["DS/Day=2/part-0.parquet", "DS/Day=4/part-0.parquet"]]
+    sizes = {r["key"]: r["length"] for r in inventory.read().collect()}
+    assert len(sizes) == 4 and sizes["DS/Day=2/part-0.parquet"] == (tmp_path / "DS/Day=2/part-0.parquet").stat().st_size
+    _day(tmp_path, 1, pa.int64())                       # the sample file itself
+    assert again()["schema_source"] == "file" and len(compared) == 2
+    assert again()["schema_source"] == "cache" and len(compared) == 2

@@ -353,6 +353,13 @@ def _sql_paths() -> dict[str, str]:
                "i.dataset = l.dataset AND i.key = l.key AND i.length = l.length AND "
                "i.modification_time = l.modification_time))")
     q["changed_files"] = f"{PARSED_CTES},\n{listing},\n{inv},\n{changed} SELECT * FROM changed"
+    gone = ("gone AS (SELECT * FROM inv i WHERE NOT EXISTS (SELECT 1 FROM listing l WHERE i.dataset = l.dataset AND i.key = l.key "
+            "AND i.length = l.length AND i.modification_time = l.modification_time))")
+    folder = "regexp_replace(key, '[^/]*$', '') AS folder"
+    q["changed_folders"] = (
+        f"{PARSED_CTES},\n{listing},\n{inv},\n{changed},\n{gone} "
+        f"SELECT DISTINCT dataset, folder FROM (SELECT dataset, {folder} FROM changed UNION ALL SELECT dataset, {folder} FROM gone) "
+        f"WHERE (dataset, folder) IN (SELECT (dataset, {folder.removesuffix(' AS folder')}) FROM listing)")
     cols = ["dataset", "key", "length", "modification_time", "processed_at"]
     q["file_inventory_upsert"] = (
         f"{PARSED_CTES},\n{listing},\n{inv},\n{changed},\n"

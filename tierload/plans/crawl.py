@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 from ..functions.identifiers import normalize_prefix_str
 from ..session import new_run_dir
 from ..sources.catalog import register_partitions, register_table, settle, settled, split_columns
-from ..sources.inventory import INVENTORY_KEY, changed_files, inventory_upsert
+from ..sources.inventory import (FOLDER_KEY, INVENTORY_KEY, changed_files, changed_folders, folder_digests, folder_of,
+                                 inventory_upsert, stamped)
 from ..sources.ledger import LEDGER_KEY, LEDGER_SCHEMA, PartitionLedger
 from ..sources.listing import list_files
 from ..sources.paths import dataset_summary, distinct_partitions, parse_keys
@@ -31,8 +32,6 @@ SUMMARY_SCHEMA = ("dataset string, table_name string, n_files bigint, sample_fil
                   "n_columns int, partition_columns string, n_partitions bigint, action string, "
                   "partitions_created bigint, partitions_failed bigint, schema_source string")
 LEDGER_TABLE = "partition_ledger"         # default name, in the tables' database
-INVENTORY_SCHEMA = ("dataset string, key string, length bigint, modification_time timestamp_ntz, "
-                    "schema_json string, processed_at timestamp_ntz")
 
 
 class NameCollision(ValueError):
@@ -105,7 +104,7 @@ def _crawl(spark, base, parsed, database, plan_only, inventory, run_ts,
                 row["partitions_failed"] = sum(d == row["dataset"] for d, _ in failed)
     out = [tuple(row[k.split()[0]] for k in SUMMARY_SCHEMA.split(", ")) for row in out]
     if inv is not None and not plan_only:
-        _update_inventory(spark, inv, parsed, schemas, run_ts)
+        _update_inventory(spark, inv, parsed, schemas, set(cache), run_ts)
     return spark.createDataFrame(out, SUMMARY_SCHEMA)
 
 
@@ -146,19 +145,36 @@ def _schema_cache(inv: SnapshotTable, parsed: DataFrame) -> dict:
     return {(r["dataset"], r["key"]): r["schema_json"] for r in hits.toLocalIterator()}
 
 
-def _update_inventory(spark, inv: SnapshotTable, parsed: DataFrame, schemas: dict, run_ts) -> None:
+def _update_inventory(spark, inv: SnapshotTable, parsed: DataFrame, schemas: dict, known: set, run_ts) -> None:
+    """Upsert the files of changed folders, and sample schemas that were
+    read from a file; nothing is written when there are none."""
     entries = parsed.select("dataset", "key", "length", "modification_time")
     samples = spark.createDataFrame([(d, k, s) for (d, k), s in schemas.items()],
                                     "dataset string, key string, schema_json string")
+    marks = SnapshotTable(spark, f"{inv.name}_folders")
     if not inv.exists():
-        inv.write(spark.createDataFrame([], INVENTORY_SCHEMA))
-    current = inv.read()
-    changed = changed_files(entries, current).join(samples, ["dataset", "key"], "left")
-    # unchanged sample files whose schema was just read also get it recorded
-    fresh = (entries.join(samples, ["dataset", "key"], "inner")
-             .join(current.where(F.col("schema_json").isNotNull()).select(*INVENTORY_KEY),
-                   INVENTORY_KEY, "left_anti"))
+        inv.write(stamped(entries.join(samples, INVENTORY_KEY, "left"), run_ts))
+        marks.write(folder_digests(entries))
+        return
+    digests = folder_digests(entries)
+    if marks.exists():
+        path = new_run_dir(spark, "folders")
+        changed_folders(digests, marks.read()).write.parquet(path)
+        moved = spark.read.schema("dataset string, folder string").parquet(path)
+    else:
+        moved = digests.select(*FOLDER_KEY)
+    same = moved.isEmpty()
+    read = [(d, k) for d, k in schemas if (d, k) not in known]
+    if same and not read:
+        return
+    suspects = entries.withColumn("folder", folder_of()).join(moved, FOLDER_KEY, "left_semi").drop("folder")
+    current = inv.read(inv.touched_buckets(suspects.select(*INVENTORY_KEY)))
+    changed = changed_files(suspects, current).join(samples, INVENTORY_KEY, "left")
+    # sample files whose schema was read from the file get it recorded, changed or not
+    fresh = entries.join(samples.join(spark.createDataFrame(read, "dataset string, key string"), INVENTORY_KEY), INVENTORY_KEY)
     upd = changed.unionByName(fresh).dropDuplicates(INVENTORY_KEY)
     # the upsert joins the bucketed inventory on its key: bucket-aligned output
     inv.merge(upd.select(*INVENTORY_KEY),
               lambda rows: inventory_upsert(rows, upd, run_ts, inv.join_partitions()))
+    if not same:
+        marks.write(digests)

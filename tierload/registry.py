@@ -26,7 +26,7 @@ from .plans.silver import load_silver
 from .plans.tables import SnapshotTable
 from .session import new_run_dir
 from .sources.catalog import show_partitions
-from .sources.inventory import changed_files, inventory_upsert
+from .sources.inventory import changed_files, changed_folders, folder_digests, inventory_upsert
 from .sources.listing import bronze_scan, list_files
 from .sources.paths import (dataset_summary, distinct_partitions, flatten, new_partitions,
                             parse_keys, partition_layout_check)
@@ -392,6 +392,11 @@ def q_changed_files(spark, sf_dir):
     return changed_files(_listing_now(spark, sf_dir), _inventory_before(spark, sf_dir))
 
 
+@query("changed_folders")
+def q_changed_folders(spark, sf_dir):
+    return changed_folders(folder_digests(_listing_now(spark, sf_dir)), folder_digests(_inventory_before(spark, sf_dir)))
+
+
 @query("file_inventory_upsert")
 def q_file_inventory_upsert(spark, sf_dir):
     inv = _inventory_before(spark, sf_dir)

@@ -1,9 +1,10 @@
 """Object listing and the Bronze scan.
 
 The listing walks the tree inside tasks.  A frontier of prefixes is dealt
-over the tasks; each task lists its prefixes and the folders below them,
-and hands back what lies beyond its share (``FOLDERS`` folders per prefix)
-as the next frontier.  Every round is written, so a lost executor repeats
+over the tasks; each task lists its prefixes and the folders below them
+for some ``SECONDS`` per prefix (and at most ``FOLDERS`` of them), and hands
+back the folders that are left as the next frontier: a small or quick tree
+takes one round, a slow store spreads early.  Every round is written, so a lost executor repeats
 its prefixes only, and the driver sees one number per round: how many
 prefixes are left.  All objects are listed, whatever their names begin
 with.
@@ -14,6 +15,7 @@ from __future__ import annotations
 import logging
 import os
 import re
+import time
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,7 +30,8 @@ from .paths import PARQUET_SUFFIX
 
 log = logging.getLogger(__name__)
 
-FOLDERS = 256        # folders a task lists below one prefix of the frontier
+FOLDERS = 10_000     # folders a task lists below one prefix of the frontier, at most
+SECONDS = 0.5        # and for how long it goes on (one folder at least)
 ROWS = 10_000        # entries per batch
 STEP = "folder boolean, key string, length long, modified long"
 
@@ -79,9 +82,10 @@ def children(fs: pafs.FileSystem, path: str, missing_ok: bool) -> Iterator[tuple
 
 
 def expand(fs: pafs.FileSystem, base: str, prefix: str, folders: int, missing_ok: bool) -> Iterator[tuple[bool, str, int, int]]:
-    """Files below ``prefix``, and the folders left when ``folders`` of them were listed."""
+    """Files below ``prefix``, and the folders left when ``folders`` of them were listed or time is up."""
     left, seen = [prefix], 0
-    while left and seen < folders:
+    until = time.monotonic() + SECONDS
+    while left and seen < folders and (not seen or time.monotonic() < until):
         here, seen = left.pop(), seen + 1
         for folder, name, length, modified in children(fs, f"{base}/{here}".rstrip("/") or "/", missing_ok or here != prefix):
             if folder:
@@ -120,8 +124,8 @@ def walk(spark: SparkSession, root: str, prefix: str = "", folders: int = FOLDER
         path = f"{out}/step={step}"
         todo.repartition(min(n, most)).mapInArrow(run, STEP).write.parquet(path)
         todo = spark.read.schema(STEP).parquet(path).where("folder").select("key")
-        n, step = todo.count(), step + 1
-    return spark.read.schema(STEP).option("basePath", out).parquet(*[f"{out}/step={i}" for i in range(step)]).where("NOT folder")
+        n, step = todo.count(), step + 1         # one number per round
+    return spark.read.schema(STEP).parquet(*[f"{out}/step={i}" for i in range(step)]).where("NOT folder")
 
 
 def _batch(rows: list) -> pa.RecordBatch:
