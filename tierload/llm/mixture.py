@@ -121,12 +121,13 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def sized(docs: DataFrame, id_col: str, text_col: str, sources: Column, seed: int) -> DataFrame:
-    """(id, pattern, size, h): the compact table all steps work on, written once."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), sources.alias("member"))
+def sized(docs: DataFrame, id_col: str, text_col: str, sources: Column, seed: int, keep: bool = False) -> DataFrame:
+    """(id, pattern, size, h): the table all steps work on, written once; with ``keep`` also the input ``row``."""
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), sources.alias("member"),
+                      *[F.struct(*docs.columns).alias("row")] * keep)
     pattern = F.array_sort(F.array_distinct("member"))
     return save(src.select("id", pattern.alias("pattern"), word_count(F.col("text")).alias("size"),
-                           F.xxhash64(F.lit(seed), F.col("id")).alias("h")), "mixture")
+                           F.xxhash64(F.lit(seed), F.col("id")).alias("h"), *["row"] * keep), "mixture")
 
 
 def mix(rows: DataFrame, quotas: dict, repeats: int = 2, max_patterns: int = 100_000) -> DataFrame:
@@ -234,13 +235,25 @@ def weighted_quotas(rows: DataFrame, weights: Iterable[int], share: float = 1.5,
 
 
 def mix_documents(docs: DataFrame, weights: Iterable[int] = (3, 1, 2), share: float = 1.5, repeats: int = 2,
-                  seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(id, source, size, source_size, target, taken) of every document with one source each."""
-    rows = sized(docs, id_col, text_col, F.array(F.col(source_col).cast("string")), seed)
+                  seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                  keep: bool = False) -> DataFrame:
+    """(id, source, size, source_size, target, taken[, row]) of every document with one source each."""
+    rows = sized(docs, id_col, text_col, F.array(F.col(source_col).cast("string")), seed, keep)
     table = weighted_quotas(rows, weights, share, repeats)
     quotas = {r["source"]: r["target"] for r in table.collect()}
     out = mix(rows, quotas, repeats).withColumn("source", F.element_at("pattern", 1))
     # one row per source, as many as collected above
     table = table.withColumnRenamed("source", "s")
     return (out.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("s")), "left")
-            .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "taken"))
+            .select(F.col("id").alias(id_col), "source", "size", "source_size", "target", "taken", *["row"] * keep))
+
+
+def take(docs: DataFrame, weights: Iterable[int] = (3, 1, 2), share: float = 1.5, **kw) -> DataFrame:
+    """The input rows that the mix takes, with all their columns, how many times (``copies``) and words (``taken``).
+
+    Every row is judged and returned as itself, whatever its id; input
+    columns named ``copies`` or ``taken`` are replaced.
+    """
+    rows = mix_documents(docs, weights, share, keep=True, **kw).where(F.col("taken") > 0)
+    new = {"copies": F.expr("CAST(taken div size AS int)"), "taken": F.col("taken")}
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in new], *[x.alias(c) for c, x in new.items()])

@@ -308,6 +308,19 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, q: int, ids: IdFil
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: int = 5, percent: int = 80) -> DataFrame:
-    """The input rows of which one per group stays (the smallest id; of rows repeating it, all), with all columns."""
-    gone = near_duplicates(docs, id_col, text_col, q, percent).where(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """The input rows of which one per group stays, with all columns.
+
+    Every row is a node of its own, whatever its id, so rows that repeat an
+    id are judged by their texts.  The row with the smallest id stays (null
+    ids last; of rows repeating it, one).  Rows without words all stay.
+    """
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    # written, so that a row keeps its number in every later step
+    rows = save(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows, row, text_col, q, percent).select(row, "component_id")
+    named = found.join(rows.select(row, F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row).alias("row")).alias("rank")), row)
+    best = named.groupBy("component_id").agg(F.min("rank").alias("first"), F.count("*").alias("n")).where("n > 1")
+    gone = named.join(best, "component_id").where(F.col(row) != F.col("first.row")).select(row)
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
