@@ -3,6 +3,14 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that
 is written as Parquet and reread as the next stage's documents.  All but
 the last return the columns of ``documents``.
+
+Defined cases, for every stage: each row is judged by itself, so null ids
+and rows that repeat an id (with the same or another text) are neither
+lost nor mixed up; a null or empty text is a text without words, which
+``quality_rules`` rejects, no other stage drops but ``mixing`` (size 0 is
+taken 0 times); texts are read whole; further columns pass through (the
+last stage sets ``copies`` and ``taken``); an empty table gives an empty
+one.
 """
 
 from __future__ import annotations
@@ -37,9 +45,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with how many times (``copies``) and words (``taken``)."""
-    taken = mixture.mix_documents(docs, (3, 1, 2), 1.5).where(F.col("taken") > 0).groupBy("doc_id").agg(
-        F.max((F.col("taken") / F.col("size")).cast("int")).alias("copies"), F.max("taken").alias("taken"))
-    return docs.join(taken, "doc_id")
+    return mixture.take(docs, (3, 1, 2), 1.5)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("decontamination", decontamination),
