@@ -42,6 +42,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -318,9 +319,31 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     while row in docs.columns:
         row += "_"
     # written, so that a row keeps its number in every later step
-    rows = save(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    rows = save(docs.withColumn(row, row_number(docs, id_col)), "rows")
     found = near_duplicates(rows, row, text_col, q, percent).select(row, "component_id")
     named = found.join(rows.select(row, F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row).alias("row")).alias("rank")), row)
     best = named.groupBy("component_id").agg(F.min("rank").alias("first"), F.count("*").alias("n")).where("n > 1")
     gone = named.join(best, "component_id").where(F.col(row) != F.col("first.row")).select(row)
     return rows.join(gone, row, "left_anti").select(*docs.columns)
+
+
+def row_number(docs: DataFrame, id_col: str) -> Column:
+    """A number of its own for every row: its id where that occurs once, else one below all ids.
+
+    Ids that may repeat are told by a filter of fixed size; one that is
+    taken for a repeated id only gets another number.
+    """
+    ids = docs.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL")
+    least = ids.agg(F.min("id")).first()[0] or 0
+    own = F.lit(min(least, 0) - 1) - F.monotonically_increasing_id()
+    number = F.col(id_col).cast("long")
+    again = save(ids.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "repeated")
+    if again.isEmpty():
+        return F.coalesce(number, own)
+    known = IdFilter(again, "id")
+
+    @F.pandas_udf("boolean")
+    def repeats(series: pd.Series) -> pd.Series:
+        return pd.Series(known.contains(pa.Array.from_pandas(series, type=pa.int64())))
+
+    return F.when(repeats(number) | number.isNull(), own).otherwise(number)
