@@ -233,6 +233,7 @@ def _sql_gold() -> dict[str, str]:
         f"{TARGET_CTES}\n SELECT target.*, NOT EXISTS (SELECT 1 FROM bronze_events s WHERE s.entity_id % 17 <> 3 "
         f"AND s.entity_id = target.entity_id AND s.event_type = target.event_type) AS is_deleted "
         f"FROM target")
+    q["reconcile_by_digest"] = q["reconcile_table"] = q["reconcile_missing_keys"]
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
     vals = ", ".join(f"coalesce('\"' || replace(CAST({c} AS VARCHAR), '\"', '\"\"') || '\"', "
                      f"'\\N')" for c in cols)

@@ -15,13 +15,15 @@ from .functions import (catalog_type, normalize_prefix, sanitize_identifier, str
 from .operators import (ColumnMap, add_missing_columns, batch_state, date_anomaly_filter,
                         date_columns_frame, exclude_columns, incremental_filter, key_violations,
                         latest_per_key, lineage_columns, map_columns, merge_outcome, null_profile,
-                        prune_null_columns, read_state, reconcile_missing_keys, schema_diff,
+                        prune_null_columns, read_state, reconcile_by_digest,
+                        reconcile_missing_keys, schema_diff,
                         schema_diff_frame, schema_pairs, upsert, watermark_filter, watermark_max)
 from .plans import silver_frames as sf
 from .plans.crawl import crawl
 from .plans.flagship import flagship
 from .plans.gold import GoldLoad
 from .plans.gold_frames import gold_source, gold_upsert, save_watermarks, watermark_rows
+from .plans.reconcile import reconcile_table
 from .plans.silver import load_silver
 from .plans.tables import SnapshotTable
 from .session import new_run_dir
@@ -238,6 +240,25 @@ def q_reconcile_missing_keys(spark, sf_dir):
     return reconcile_missing_keys(target, src, fx.EVENTS_PK)
 
 
+@query("reconcile_by_digest")
+def q_reconcile_by_digest(spark, sf_dir):
+    target = _split_target(spark, sf_dir)
+    src = _bronze(spark, sf_dir).where(F.col("entity_id") % 17 != 3)
+    return reconcile_by_digest(target, src, fx.EVENTS_PK)
+
+
+@query("reconcile_table")
+def q_reconcile_table(spark, sf_dir):
+    """A Silver table that is flagged in place: all keys first vanish for one
+    entity in five, then those come back and one in seventeen vanishes."""
+    table = SnapshotTable(spark, f"reconcile_{_run_tag(spark)}", key=fx.EVENTS_PK, buckets=FIXTURE_BUCKETS)
+    table.write(_split_target(spark, sf_dir))
+    src = _bronze(spark, sf_dir).select(*fx.EVENTS_PK).distinct()
+    reconcile_table(table, src.where(F.col("entity_id") % 5 != 2))
+    reconcile_table(table, src.where(F.col("entity_id") % 17 != 3))
+    return table.read()
+
+
 @query("staging_csv")
 def q_staging_csv(spark, sf_dir):
     d = fx.table(spark, sf_dir, "documents").withColumn("lang", F.expr("nullif(lang, 'de')"))
