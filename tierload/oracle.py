@@ -141,6 +141,7 @@ def _sql() -> dict[str, str]:
                          + ", ".join(f"count({c}) AS {c}__nonnull"
                                      for c in EVENT_COLS + ["ingestion_date", "batch_id"])
                          + " FROM bronze_events")
+    q["footer_null_profile"] = q["null_profile"]
 
     q["prune_null_columns"] = (f"{bronze} SELECT event_id, entity_id, event_type, value, valid_ts, "
                                f"cursor_ts, ingestion_date, batch_id FROM bronze_events")

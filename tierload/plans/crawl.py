@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions.identifiers import normalize_prefix_str
 from ..session import new_run_dir
 from ..sources.catalog import register_partitions, register_table, settle, settled, split_columns
+from ..sources.footers import file_schemas
 from ..sources.inventory import (FOLDER_KEY, INVENTORY_KEY, changed_files, changed_folders, folder_digests, folder_of,
                                  inventory_upsert, stamped)
 from ..sources.ledger import LEDGER_KEY, LEDGER_SCHEMA, PartitionLedger
@@ -72,6 +73,9 @@ def _crawl(spark, base, parsed, database, plan_only, inventory, run_ts,
     partitions = distinct_partitions(parsed).withColumn(
         "location", F.concat(F.lit(base + "/"), F.col("location")))
     known = ledger.read()
+    # the sample footers that are not cached, in one job
+    read = file_schemas(spark, {r["dataset"]: f"{base}/{r['sample_file']}" for r in summary
+                                if (r["dataset"], r["sample_file"]) not in cache})
     out, schemas, tables = [], {}, {}
     for r in summary:
         dataset, table = r["dataset"], r["table_name"]
@@ -79,8 +83,7 @@ def _crawl(spark, base, parsed, database, plan_only, inventory, run_ts,
         layout = r["layout"].split(",") if r["layout"] else []
         sample = r["sample_file"]
         cached = cache.get((dataset, sample))
-        schema = (T.StructType.fromJson(json.loads(cached)) if cached
-                  else spark.read.parquet(f"{base}/{sample}").schema)   # footer only
+        schema = T.StructType.fromJson(json.loads(cached)) if cached else read[dataset]
         schemas[(dataset, sample)] = schema.json()
         columns = split_columns(schema, layout)
         row = dict(dataset=dataset, table_name=qualified, n_files=r["n_files"], sample_file=sample,

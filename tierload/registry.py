@@ -28,6 +28,7 @@ from .plans.silver import load_silver
 from .plans.tables import SnapshotTable
 from .session import new_run_dir
 from .sources.catalog import show_partitions
+from .sources.footers import footer_null_profile
 from .sources.inventory import changed_files, changed_folders, folder_digests, inventory_upsert
 from .sources.listing import bronze_scan, list_files
 from .sources.paths import (dataset_summary, distinct_partitions, flatten, new_partitions,
@@ -509,6 +510,12 @@ def q_file_listing(spark, sf_dir):
                          (F.col("length") > 0).alias("non_empty"))
 
 
+@query("footer_null_profile")
+def q_footer_null_profile(spark, sf_dir):
+    root = fx.write_bronze_files(spark, sf_dir)
+    return footer_null_profile(spark, root, _bronze(spark, sf_dir).schema, ["ingestion_date", "batch_id"], "EVENTS/")
+
+
 @query("bronze_scan")
 def q_bronze_scan(spark, sf_dir):
     root = fx.write_bronze_files(spark, sf_dir)

@@ -1,6 +1,6 @@
 """Schema discovery: one sample file per dataset, catalog type names.
 
-Reading a schema is a footer read, not a scan.  The per-dataset
+Reading a schema is a footer read in a task, not a scan.  The per-dataset
 results are small metadata rows gathered into one DataFrame.
 """
 
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.identifiers import sanitize_name
 from ..functions.types import catalog_type
+from .footers import file_schemas
 
 SCHEMA_ROWS = "dataset string, table_name string, ordinal int, column_name string, column_type string"
 
@@ -20,17 +21,12 @@ def schema_rows(dataset: str, schema: T.StructType) -> list[tuple]:
             for i, f in enumerate(schema.fields)]
 
 
-def read_file_schema(spark: SparkSession, path: str) -> T.StructType:
-    """Schema of one Parquet file (footer only)."""
-    return spark.read.parquet(path).schema
-
-
 def infer_schema(spark: SparkSession, samples: dict[str, str]) -> DataFrame:
     """``dataset -> sample file`` into rows ``(dataset, table_name,
-    ordinal, column_name, column_type)``."""
+    ordinal, column_name, column_type)``; the footers are read by one job."""
     rows = []
-    for dataset, path in samples.items():
-        rows += schema_rows(dataset, read_file_schema(spark, path))
+    for dataset, schema in file_schemas(spark, samples).items():
+        rows += schema_rows(dataset, schema)
     return spark.createDataFrame(rows, SCHEMA_ROWS)
 
 
