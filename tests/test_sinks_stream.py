@@ -2,6 +2,7 @@
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
@@ -9,7 +10,8 @@ from tierload import fixtures as fx
 from tierload import registry as R
 from tierload.plans.tables import SnapshotTable
 from tierload.sources.catalog import add_partitions, register_table, show_partitions
-from tierload.sources.jdbc import JdbcTarget, derby_memory_url, merge_sql
+from tierload.operators import SchemaGuardError
+from tierload.sources.jdbc import JdbcTarget, merge_sql
 from tierload.sources.paths import distinct_partitions, parse_keys
 from tierload.streaming.bronze_stream import stream_silver
 
@@ -18,30 +20,135 @@ def test_merge_sql_dialects():
     pg = merge_sql("t", "s", ["id", "v"], ["id"], "jdbc:postgresql://h/db")
     assert 'ON CONFLICT ("id") DO UPDATE SET "v" = EXCLUDED."v"' in pg
     assert "DO NOTHING" in merge_sql("t", "s", ["a", "b"], ["a", "b"], "jdbc:postgresql://h/db")
-    std = merge_sql("t", "s", ["id", "v"], ["id"], "jdbc:derby:memory:x")
+    std = merge_sql("t", "s", ["id", "v"], ["id"], "jdbc:other:x")
     assert std.startswith("MERGE INTO t t USING s s ON t.\"id\" = s.\"id\"")
-    assert "WHEN MATCHED" not in merge_sql("t", "s", ["a"], ["a"], "jdbc:derby:memory:x")
-
-
-def test_jdbc_upsert_overwrites_and_keeps_falsy(spark):
-    target = JdbcTarget(spark, derby_memory_url())
-    first = spark.createDataFrame([("A1", False, 0.0, ""), ("A2", True, 5.0, "hello")],
-                                  "id string, flag boolean, quantity double, note string")
-    assert target.upsert(first, "DIM_TEST", ["id"]) == 2
-    second = spark.createDataFrame([("A1", None, None, "x")],
-                                   "id string, flag boolean, quantity double, note string")
-    target.upsert(second, "DIM_TEST", ["id"])
-    assert target.upsert(second.limit(0), "DIM_TEST", ["id"]) == 0    # empty load: no merge
-    assert rows(target.read("DIM_TEST")) == [("A1", None, None, "x"), ("A2", True, 5.0, "hello")]
-
-
-def test_jdbc_all_key_table_does_nothing(spark):
-    target = JdbcTarget(spark, derby_memory_url())
-    df = spark.createDataFrame([("a", "b")], "a string, b string")
-    target.upsert(df, "LINK", ["a", "b"])
-    target.upsert(spark.createDataFrame([("a", "b"), ("a", "c")], "a string, b string"), "LINK",
-                  ["a", "b"])
-    assert rows(target.read("LINK")) == [("a", "b"), ("a", "c")]
+    assert "WHEN MATCHED" not in merge_sql("t", "s", ["a"], ["a"], "jdbc:other:x")
+
+
+class Recorder(JdbcTarget):
+    """A target that keeps the statements it would send: no database is started."""
+
+    def __init__(self, spark, url="jdbc:postgresql://h/db", columns=(), key=(), runs=None, fail=""):
+        super().__init__(spark, url)
+        self.sent, self.staged, self.columns, self.key = [], [], list(columns), list(key)
+        self.tables = {"T"} if columns else set()
+        self.runs, self.fail = dict(runs or {}), fail
+        if runs is not None:
+            self.tables.add("T_runs")
+
+    def execute(self, *statements):
+        self.sent.append(statements)
+        if self.fail and any(self.fail in s for s in statements):
+            raise RuntimeError("rolled back")
+        for s in statements:
+            if s.startswith("CREATE TABLE "):
+                self.tables.add(s.split()[2])
+            elif s.startswith("DROP TABLE "):
+                self.tables.discard(s.split()[2])
+            elif s.startswith("INSERT INTO T_runs "):
+                run, n = s[s.index("VALUES (") + 8:-1].rsplit(", ", 1)
+                assert run not in self.runs, "primary key"
+                self.runs[run] = n
+
+    def query(self, statement):
+        self.sent.append((statement,))
+        run = statement.split(" = ", 1)[1]
+        return [(self.runs[run],)] if run in self.runs else []
+
+    def table_exists(self, table):
+        return table in self.tables
+
+    def existing_columns(self, table):
+        return self.columns
+
+    def primary_key(self, table):
+        return self.key
+
+    def stage(self, df, staging, batch, max_connections):
+        self.tables.add(staging)
+        self.staged.append(df)
+        return df.count()
+
+    def statements(self):
+        return [s for group in self.sent for s in group]
+
+
+def _pair(spark, n=2):
+    return spark.createDataFrame([(f"A{i}", 0.0) for i in range(n)], "id string, v double")
+
+
+def test_upsert_creates_stages_merges_and_drops(spark):
+    t = Recorder(spark)
+    assert t.upsert(_pair(spark), "T", ["id"]) == 2
+    create, merge, drop = t.statements()
+    assert create == 'CREATE TABLE T ("id" TEXT NOT NULL, "v" DOUBLE PRECISION, PRIMARY KEY ("id"))'
+    assert merge.startswith("INSERT INTO T ") and 'DO UPDATE SET "v" = EXCLUDED."v"' in merge
+    assert drop.startswith("DROP TABLE T_STG_") and t.tables == {"T"}
+    assert Recorder(spark).upsert(_pair(spark, 0).limit(0), "T", ["id"]) == 0
+
+
+def test_empty_load_merges_nothing(spark):
+    t = Recorder(spark)
+    t.upsert(_pair(spark).limit(0), "T", ["id"])
+    assert not [s for s in t.statements() if s.startswith(("INSERT", "MERGE"))]
+
+
+def test_a_run_is_recorded_by_the_transaction_of_its_merge_and_not_repeated(spark):
+    t = Recorder(spark)
+    assert t.upsert(_pair(spark), "T", ["id"], run_id="r'1") == 2
+    both = [g for g in t.sent if len(g) == 2]
+    assert len(both) == 1
+    assert both[0][0] == "INSERT INTO T_runs (\"run_id\", \"n_rows\") VALUES ('r''1', 2)"
+    assert both[0][1].startswith("INSERT INTO T (")
+    before, staged = len(t.sent), len(t.staged)
+    t.columns, t.key = [("id", "string"), ("v", "double")], ["id"]
+    assert t.upsert(_pair(spark, 5), "T", ["id"], run_id="r'1") == 2          # the recorded number
+    assert len(t.staged) == staged
+    assert [s.split()[0] for g in t.sent[before:] for s in g] == ["SELECT"]
+    assert t.upsert(_pair(spark, 5), "T", ["id"], run_id="r2") == 5
+
+
+def test_an_empty_run_is_recorded(spark):
+    t = Recorder(spark)
+    t.upsert(_pair(spark).limit(0), "T", ["id"], run_id="r")
+    assert t.runs == {"'r'": "0"} and not [s for s in t.statements() if s.startswith("INSERT INTO T (")]
+
+
+def test_a_merge_that_fails_takes_its_record_along_and_drops_staging(spark):
+    t = Recorder(spark, fail="ON CONFLICT")
+    with pytest.raises(RuntimeError):
+        t.upsert(_pair(spark), "T", ["id"], run_id="r")
+    assert t.runs == {} and t.tables == {"T", "T_runs"}
+    t.fail, t.columns, t.key = "", [("id", "string"), ("v", "double")], ["id"]
+    assert t.upsert(_pair(spark), "T", ["id"], run_id="r") == 2 and t.runs == {"'r'": "2"}
+
+
+def test_an_existing_target_gets_new_columns(spark):
+    t = Recorder(spark, columns=[("id", "string"), ("old", "int")], key=["id"])
+    t.upsert(_pair(spark), "T", ["id"])
+    assert t.statements()[0] == 'ALTER TABLE T ADD COLUMN "v" DOUBLE PRECISION'
+    assert '"old"' not in t.statements()[1]
+
+
+@pytest.mark.parametrize("columns, key", [
+    ([("id", "string"), ("v", "string")], ["id"]),         # another type
+    ([("id", "string"), ("v", "double")], ["id", "v"]),    # another key
+    ([("id", "string"), ("v", "double")], []),             # no key at all
+    ([("id", "string")], ["v"]),                           # refused before the column is added
+])
+def test_a_changed_key_or_type_is_refused_before_anything_is_sent(spark, columns, key):
+    t = Recorder(spark, columns=columns, key=key)
+    with pytest.raises(SchemaGuardError):
+        t.upsert(_pair(spark), "T", ["id"])
+    assert t.sent == [] and t.staged == []
+
+
+def test_names_are_searched_without_wildcards():
+    class Meta:
+        def getSearchStringEscape(self):
+            return "!"
+    assert JdbcTarget._names(Meta(), "a_b.T_1") == [("a!_b", "T!_1"), ("A!_B", "T!_1"), ("a!_b", "t!_1")]
+    assert JdbcTarget._names(Meta(), "T")[0] == (None, "T")
 
 
 def test_stream_matches_batch_for_rising_cursors(spark, tmp_path):
@@ -109,16 +216,13 @@ def test_gold_loader_with_jdbc_copy(spark):
     from tierload.config import GoldSettings
     from tierload.plans.gold import load_gold
     tag = uuid.uuid4().hex[:8]
-    target = JdbcTarget(spark, derby_memory_url())
+    target = Recorder(spark)
     silver = fx.silver_orders(spark, SF_SMALL)
     summary = load_gold(spark, lambda _: silver, [R.ORDERS_GOLD], GoldSettings(),
-                        table_prefix=f"g{tag}_", watermark_table=f"g{tag}_wm", jdbc=target).first()
+                        table_prefix=f"g{tag}_", watermark_table=f"g{tag}_wm", jdbc=target, run_id="day1").first()
     assert summary["status"] == "OK"
     gold = spark.table(f"g{tag}_{R.ORDERS_GOLD.target_table}")
-    assert rows(target.read(R.ORDERS_GOLD.target_table).select(*gold.columns)) == rows(gold)
-    # second run: nothing new beyond the 60 s overlap, tables still equal
-    load_gold(spark, lambda _: silver, [R.ORDERS_GOLD], GoldSettings(), table_prefix=f"g{tag}_",
-              watermark_table=f"g{tag}_wm", jdbc=target).collect()
-    assert target.read(R.ORDERS_GOLD.target_table).count() == gold.count()
+    assert rows(target.staged[0].select(*gold.columns)) == rows(gold)
+    assert f"'day1:{R.ORDERS_GOLD.target_table}'" in "".join(target.statements())
     wm = spark.table(f"g{tag}_wm").first()
     assert wm["last_watermark"] == silver.agg(F.max("o_orderdate")).first()[0]

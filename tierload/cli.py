@@ -4,7 +4,7 @@
     python -m tierload.cli silver --config silver.json [--bronze-database DB] [--dataset=NAME]
                                   [--dry-run] [--rebuild] [--confirm-append-only]
     python -m tierload.cli gold   --config mappings.json [--silver-prefix silver_] [--table NAME]
-                                  [--jdbc-url URL]
+                                  [--jdbc-url URL [--run-id ID]]
 
 Prints the summary; exits with status 1 when any dataset, table or partition failed.
 """
@@ -42,6 +42,7 @@ def _args(argv):
     g.add_argument("--gold-prefix", default="gold_")
     g.add_argument("--table")
     g.add_argument("--jdbc-url")
+    g.add_argument("--run-id")
     g.add_argument("--buckets", type=int)
     return p.parse_args(argv)
 
@@ -78,7 +79,7 @@ def run(spark, argv) -> int:
         from .sources.jdbc import JdbcTarget
         jdbc = JdbcTarget(spark, a.jdbc_url)
     summary = load_gold(spark, lambda name: spark.table(f"{a.silver_prefix}{name}"), tables,
-                        settings, table_prefix=a.gold_prefix, buckets=a.buckets, jdbc=jdbc,
+                        settings, table_prefix=a.gold_prefix, buckets=a.buckets, jdbc=jdbc, run_id=a.run_id,
                         only=a.table)
     summary.show(truncate=False)
     return 1 if summary.where(F.col("status") != "OK").limit(1).count() else 0

@@ -63,6 +63,7 @@ class GoldLoad:
     buckets: int | None = None
     run_ts: object = None
     jdbc: object = None                          # optional sources.jdbc.JdbcTarget
+    run_id: str | None = None                    # names this run there: a retry is skipped
 
     def target(self, t: GoldTable) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.table_prefix}{t.target_table}",
@@ -119,7 +120,8 @@ class GoldLoad:
         m = obs.get
         if self.jdbc is not None:                # relational copy: staging + one MERGE
             self.jdbc.upsert(src, t.target_table, list(t.primary_keys),
-                             batch_size=self.settings.batch_size)
+                             batch_size=self.settings.batch_size,
+                             run_id=self.run_id and f"{self.run_id}:{t.target_table}")
         new_wm = prev
         if t.watermark_enabled and m.get("wm") is not None:
             new_wm = m["wm"] if prev is None or m["wm"] > prev else prev
@@ -146,7 +148,7 @@ class GoldLoad:
 def load_gold(spark: SparkSession, silver: Callable[[str], DataFrame], tables: list[GoldTable],
               settings: GoldSettings = GoldSettings(), table_prefix: str = "gold_",
               watermark_table: str = "gold_watermarks", buckets: int | None = None,
-              run_ts=None, jdbc=None, only: str | None = None) -> DataFrame:
+              run_ts=None, jdbc=None, only: str | None = None, run_id: str | None = None) -> DataFrame:
     """Run the Silver -> Gold load; ``only`` selects one configured table
     by source or target name (an unknown name is an error)."""
     if only is not None:
@@ -154,4 +156,4 @@ def load_gold(spark: SparkSession, silver: Callable[[str], DataFrame], tables: l
         if not tables:
             raise ConfigError(f"no table named {only!r} is configured")
     return GoldLoad(spark, silver, settings, table_prefix, watermark_table, buckets,
-                    run_ts, jdbc).run(tables)
+                    run_ts, jdbc, run_id).run(tables)

@@ -7,6 +7,14 @@ statement merges staging into the keyed target inside one transaction
 (all or nothing) and the staging table is dropped.  A zero-row load
 skips the merge.
 
+With a ``run_id`` the same transaction first records the run in
+``<table>_runs``, whose primary key is the run: a retry finds its record
+and is skipped, and of two runs at the same time the second one's insert
+fails, which rolls its merge back.
+
+An existing target is guarded: new columns are added, a changed key or
+an incompatible type is refused.
+
 Statements that Spark's JDBC source cannot issue (DDL, MERGE) run over
 one driver-side JDBC connection.
 """
@@ -21,6 +29,7 @@ from pyspark.sql import types as T
 
 from ..config import safe_batch_size
 from ..functions.types import catalog_type
+from ..operators.schema_ops import guard, schema_diff, schema_pairs
 
 # Column types per target dialect.
 _DERBY_TYPES = {"boolean": "BOOLEAN", "int": "INTEGER", "bigint": "BIGINT", "float": "REAL",
@@ -54,6 +63,32 @@ def create_table_sql(table: str, schema: T.StructType, pk: list[str], url: str)
     return f"CREATE TABLE {table} ({', '.join(cols)})"
 
 
+def runs_table(table: str) -> str:
+    return f"{table}_runs"
+
+
+def create_runs_sql(table: str, url: str) -> str:
+    text = column_ddl(T.StructField("run_id", T.StringType()), url)
+    # a key column: the widest type may be too long for an index
+    text = text if _dialect(url) == "postgres" else "VARCHAR(200)"
+    return (f"CREATE TABLE {runs_table(table)} ({_qi('run_id')} {text} NOT NULL, "
+            f"{_qi('n_rows')} BIGINT NOT NULL, PRIMARY KEY ({_qi('run_id')}))")
+
+
+def record_run_sql(table: str, run_id: str, n_rows: int) -> str:
+    value = run_id.replace("'", "''")
+    return f"INSERT INTO {runs_table(table)} ({_qi('run_id')}, {_qi('n_rows')}) VALUES ('{value}', {n_rows:d})"
+
+
+def find_run_sql(table: str, run_id: str) -> str:
+    value = run_id.replace("'", "''")
+    return f"SELECT {_qi('n_rows')} FROM {runs_table(table)} WHERE {_qi('run_id')} = '{value}'"
+
+
+def add_column_sql(table: str, field: T.StructField, url: str) -> str:
+    return f"ALTER TABLE {table} ADD COLUMN {_qi(field.name)} {column_ddl(field, url)}"
+
+
 def merge_sql(table: str, staging: str, columns: list[str], pk: list[str], url: str) -> str:
     """Insert-or-overwrite from staging; DO NOTHING when all columns are key."""
     non_key = [c for c in columns if c not in pk]
@@ -98,35 +133,112 @@ class JdbcTarget:
         finally:
             conn.close()
 
+    def query(self, statement: str) -> list[tuple]:
+        """The rows of a small result, as strings."""
+        conn = self._connection()
+        try:
+            rs = conn.createStatement().executeQuery(statement)
+            n = rs.getMetaData().getColumnCount()
+            out = []
+            while rs.next():
+                out.append(tuple(rs.getString(i + 1) for i in range(n)))
+            return out
+        finally:
+            conn.close()
+
+    @staticmethod
+    def _names(md, table: str) -> list[tuple[str | None, str]]:
+        """``(schema, table)`` spellings a name may be stored in, with the
+        wildcards of the metadata calls escaped."""
+        schema, _, name = table.rpartition(".")
+        escape = md.getSearchStringEscape() or ""
+
+        def plain(x: str) -> str:
+            return "".join(escape + c if c in "_%" else c for c in x)
+
+        return [(plain(f(schema)) if schema else None, plain(f(name))) for f in (str, str.upper, str.lower)]
+
     def table_exists(self, table: str) -> bool:
         conn = self._connection()
         try:
             md = conn.getMetaData()
-            for name in (table, table.upper(), table.lower()):
-                rs = md.getTables(None, None, name, None)
-                if rs.next():
-                    return True
-            return False
+            return any(md.getTables(None, s, t, None).next() for s, t in self._names(md, table))
         finally:
             conn.close()
 
+    def primary_key(self, table: str) -> list[str]:
+        """Key columns of an existing table (no order)."""
+        conn = self._connection()
+        try:
+            md = conn.getMetaData()
+            schema, _, name = table.rpartition(".")
+            for f in (str, str.upper, str.lower):      # this call takes no patterns
+                rs, out = md.getPrimaryKeys(None, f(schema) if schema else None, f(name)), []
+                while rs.next():
+                    out.append(rs.getString("COLUMN_NAME"))
+                if out:
+                    return out
+            return []
+        finally:
+            conn.close()
+
+    def existing_columns(self, table: str) -> list[tuple[str, str]]:
+        """``(column, catalog type)`` of an existing table (no row is read)."""
+        return schema_pairs(self.read(f"(SELECT * FROM {table} WHERE 1 = 0) t").schema)
+
     def read(self, table: str) -> DataFrame:
         return (self.spark.read.format("jdbc").option("url", self.url).option("dbtable", table)
                 .option("preferTimestampNTZ", "true").options(**self.properties).load())
 
     def ensure_table(self, table: str, schema: T.StructType, pk: list[str]) -> bool:
-        if self.table_exists(table):
-            return False
-        self.execute(create_table_sql(table, schema, pk, self.url))
-        return True
+        """Create the table (``True``), or check it and add new columns.
+
+        A changed key or an incompatible type raises ``SchemaGuardError``
+        before anything is changed; columns that the frame has not got
+        are left alone."""
+        if not self.table_exists(table):
+            self.execute(create_table_sql(table, schema, pk, self.url))
+            return True
+        key = self.primary_key(table)
+        to_add = guard(schema_diff(schema_pairs(schema), pk, self.existing_columns(table), key), table, pk, key)
+        if to_add:
+            self.execute(*[add_column_sql(table, schema[n], self.url) for n, _ in to_add])
+        return False
+
+    def finished(self, table: str, run_id: str) -> int | None:
+        """Rows of a recorded run, ``None`` when it is not recorded."""
+        if not self.table_exists(runs_table(table)):
+            return None
+        got = self.query(find_run_sql(table, run_id))
+        return int(got[0][0]) if got else None
 
     def upsert(self, df: DataFrame, table: str, pk: list[str], batch_size: int = 2500,
-               max_connections: int = DEFAULT_MAX_CONNECTIONS) -> int:
+               max_connections: int = DEFAULT_MAX_CONNECTIONS, run_id: str | None = None) -> int:
         """Stage ``df`` and merge it into ``table`` by ``pk``; returns the
-        number of staged rows."""
+        number of staged rows.  A ``run_id`` that is recorded already is
+        not staged again (its recorded number is returned)."""
         self.ensure_table(table, df.schema, pk)
+        if run_id is not None:
+            done = self.finished(table, run_id)
+            if done is not None:
+                return done
+            if not self.table_exists(runs_table(table)):
+                self.execute(create_runs_sql(table, self.url))
         staging = f"{table}_STG_{uuid.uuid4().hex[:8]}".upper()
         batch = safe_batch_size(batch_size, len(df.columns))
+        try:
+            n = self.stage(df, staging, batch, max_connections)
+            merge = [merge_sql(table, staging, df.columns, pk, self.url)] if n else []
+            record = [] if run_id is None else [record_run_sql(table, run_id, n)]
+            if merge or record:
+                self.execute(*record, *merge)        # one transaction: both or neither
+        finally:
+            if self.table_exists(staging):
+                self.execute(f"DROP TABLE {staging}")
+        return n
+
+    def stage(self, df: DataFrame, staging: str, batch: int, max_connections: int) -> int:
+        """Write ``df`` into a new table; the number of its rows."""
         rows = Observation(f"staged_{uuid.uuid4().hex[:8]}")
         # the source is computed at full width; only the insert runs in a few sessions
         staged = df.observe(rows, F.count(F.lit(1)).alias("n")).repartition(max_connections)
@@ -135,17 +247,5 @@ class JdbcTarget:
         if _dialect(self.url) == "standard":     # other targets: the types of Spark's own dialect
             writer = writer.option("createTableColumnTypes", ", ".join(
                 f"{f.name} {column_ddl(f, self.url)}" for f in df.schema.fields))
-        try:
-            writer.save()
-            n = rows.get.get("n", 0)
-            if n:
-                self.execute(merge_sql(table, staging, df.columns, pk, self.url))
-        finally:
-            if self.table_exists(staging):
-                self.execute(f"DROP TABLE {staging}")
-        return n
-
-
-def derby_memory_url(name: str | None = None) -> str:
-    """An in-process, in-memory Derby database (no server, no port)."""
-    return f"jdbc:derby:memory:{name or 'tl_' + uuid.uuid4().hex[:10]};create=true"
+        writer.save()
+        return rows.get.get("n", 0)
