@@ -59,6 +59,41 @@ def test_deep_nesting_and_long_pages_keep_their_text():
     assert R.render_page("<table><tr><td colspan=999999999>a<td>b</table>").split() == ["a", "b"]
 
 
+@pytest.mark.parametrize("depth", [5, 118, 119, 120, 121, 600, 20_000])
+def test_hidden_text_stays_hidden_at_any_depth(depth):
+    inside = ("<div style='display:none'>secret<p>s</div>a<div hidden>no</div><script>var x</script>"
+              "<span style='visibility:hidden'>v<b style='visibility:visible'>w</b>u</span><ul><li>c</ul>d")
+    for sheet, more in (("", ""), ("<style>.off{display:none} i{visibility:hidden}</style>", "<q class=off>no</q><i>no</i>")):
+        page = sheet + "<div>" * depth + inside + more + "</div>" * depth + "z"
+        assert [x for x in R.render_page(page).split() if x != "-"] == ["aw", "c", "d", "z"]
+
+
+def test_end_tags_match_at_any_depth():
+    for depth in (3, 119, 500):
+        deep = R.render_page("<b>" * depth + "<div>x</div>y<p>z</p>" + "</b>" * depth + "<div>e</div>").split("\n")
+        assert deep == ["x", "y", "", "z", "", "e"]
+
+
+def test_spans_up_to_a_thousand_columns():
+    row = "<tr>" + "".join(f"<td>{i % 10}" for i in range(300))
+    got = R.render_page(f"<table>{row}<tr><td colspan=299>a<td>b</table>").split("\n")
+    assert got[0].rindex("9") == got[1].index("b")
+
+
+def test_hostile_pages_end_soon():
+    import time
+    pages = {"row spans": "<table>" + "<tr><td rowspan=3000 colspan=1000>a<td>b" * 3000 + "</table>",
+             "unclosed tags": "<a " * 350_000, "deep": "<div>" * 100_000 + "x",
+             "scope far up": "<p><button>" + "<span>" * 50_000 + "<div>" * 50_000 + "x",
+             "stray ends": "<span>" * 50_000 + "</b>" * 100_000, "comments": "<!-- " * 200_000}
+    for name, page in pages.items():
+        start = time.monotonic()
+        text = R.render_page(page)
+        assert time.monotonic() - start < 20, name
+        assert {"row spans": text.count("a") == text.count("b") == 3000, "deep": text == "x", "scope far up": text == "x",
+                "unclosed tags": text.count("<a") == 350_000}.get(name, text == ""), name
+
+
 def test_pages_table_keeps_all_visible_words(spark):
     import html
     import re

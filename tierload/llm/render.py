@@ -23,7 +23,7 @@ memory follows one batch.  Scripts never run, so ``noscript`` is shown.
 
 Defined cases: null or empty HTML renders as the empty text; unclosed and
 stray tags are repaired as above; nesting beyond ``DEPTH`` levels is
-flattened (its text stays); repeated rows are rendered each; an empty table
+flattened (its visible text stays, hidden text stays hidden); repeated rows are rendered each; an empty table
 gives an empty result; only id and HTML are read, so names cannot clash.
 """
 
@@ -32,7 +32,9 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +44,8 @@ from tierload.llm.common import arrow_map
 from tierload.llm.text import blocks
 
 DEPTH = 120
+#: fixed value: the most columns a cell may span
+COLSPAN = 1000
 
 # Fixed names of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,6 +72,9 @@ ENDS = {
 #: what a table, its sections and rows keep; all else in them stands before the table
 PARTS = frozenset("caption colgroup col tbody thead tfoot tr td th script style template".split())
 SECTIONS = frozenset("tbody thead tfoot tr".split())
+#: an end tag of a heading ends any of them; these end tags reach out of a cell
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+CELLS_END = ("tr", "table", "tbody", "thead", "tfoot")
 #: never drawn inside svg and math
 UNDRAWN = frozenset("title desc metadata defs symbol clippath mask marker pattern lineargradient radialgradient filter "
                     "annotation annotation-xml".split())
@@ -95,43 +102,68 @@ def attributes(raw: str) -> dict[str, str]:
     return out
 
 
+class Open:
+    """The open elements, and where each tag stands among them: looking for
+    one costs the same however deep a page is."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack, self.at = [root], {}
+        self.deepest = 1
+
+    def push(self, n: Node) -> None:
+        self.at.setdefault(n.tag, []).append(len(self.stack))
+        self.stack.append(n)
+        self.deepest = max(self.deepest, len(self.stack))
+
+    def cut(self, i: int) -> None:
+        """Close everything from the ``i``-th on."""
+        for n in reversed(self.stack[i:]):
+            self.at[n.tag].pop()
+        del self.stack[i:]
+
+    def last(self, tags) -> int:
+        """The innermost element of some tags, 0 when there is none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+
 def parse(page: str) -> Node:
     """The element tree of a page."""
     root = Node("#root", {})
-    stack, at = [root], 0
+    opened, at = Open(root), 0
+    stack = opened.stack
 
     def text(s: str) -> None:
         if s:
             if stack[-1].tag == "head" and s.strip():
-                stack.pop()
+                opened.cut(len(stack) - 1)
             stack[-1].children.append(html.unescape(s))
 
     def close(tags: set, scope: set) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in scope:
-                break
-            if stack[i].tag in tags:
-                low = i
-                while low > 1 and stack[low - 1].tag in tags and stack[low - 1].tag not in scope:
-                    low -= 1
-                del stack[low:]
-                break
-
-    for m in iter(lambda: _TAG.search(page, at), None):
+        i = opened.last(tags)
+        if i <= opened.last(scope):
+            return
+        while i > 1 and stack[i - 1].tag in tags and stack[i - 1].tag not in scope:
+            i -= 1
+        opened.cut(i)
+
+    last = page.rfind(">") + 1      # no tag ends after this: what is unclosed there is searched once
+    for m in iter(lambda: _TAG.search(page, at, last), None):
         if m.start() < at:
             break
         text(page[at:m.start()])
         at = m.end()
         name = m[2]
         if not name:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = len(page)              # a comment that never ends
             continue
         name = name.lower()
         if m[1]:
-            _end(stack, name)
+            _end(opened, name)
             continue
         if stack[-1].tag == "head" and name not in HEAD_ONLY:
-            stack.pop()
-        if name in ("html", "body") and any(n.tag == name for n in stack):
+            opened.cut(len(stack) - 1)
+        if name in ("html", "body") and opened.last((name,)):
             continue
         if name in CLOSES_P:
             close({"p"}, {"td", "th", "button", "caption", "table"})
@@ -141,22 +173,55 @@ def parse(page: str) -> Node:
             close({"table"}, {"td", "th", "caption"})
         node = Node(name, attributes(m[3]) if m[3] else {})
         stack[-1].children.append(node)
-        if m[3].endswith("/") and any(n.tag in ("svg", "math") for n in stack):
+        if m[3].endswith("/") and opened.last(("svg", "math")):
             pass
         elif name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             raw = page[at:end.start()] if end else page[at:]
             at = end.end() if end else len(page)
             node.children.append(html.unescape(raw) if name in ("textarea", "title") else raw)
-        elif name not in VOID and len(stack) < DEPTH:
-            stack.append(node)
+        elif name not in VOID:
+            opened.push(node)
         if at >= len(page):
             break
-    text(page[at:])
+    text(re.split("<[!?]", page[at:], maxsplit=1)[0])
+    if opened.deepest > DEPTH:
+        _flatten(root, Renderer(Styles(root)))
     _settle(root, False)
     return root
 
 
+def _flatten(root: Node, r: Renderer) -> None:
+    """Give the deepest elements that are kept all visible text below them.
+
+    What is hidden there is left out; a visibility that was set there stays
+    with the text as a style of its own; block elements still end lines."""
+    level = [root]
+    for _ in range(DEPTH - 1):
+        level = [c for n in level for c in n.children if isinstance(c, Node)]
+    for n in level:
+        out: list = []
+        todo: list = [(c, "") for c in reversed(n.children)]
+        while todo:
+            c, seen = todo.pop()
+            if isinstance(c, Node) and c.children:
+                if not r.shown(c):
+                    continue
+                own = r.styles.of(c).get("visibility", "")
+                seen = own if own in ("hidden", "collapse", "visible") else seen
+                inner = c.children
+                if c.tag == "details" and "open" not in c.attrs:
+                    inner = [x for x in inner if isinstance(x, Node) and x.tag == "summary"][:1]
+                edge = [(Node("p" if c.tag in SET_OFF else "div", {}), "")] if c.tag in BLOCK else []
+                todo += [*edge, *((x, seen) for x in reversed(inner)), *edge]
+            elif seen:
+                out.append(Node("span", {"style": f"visibility:{seen}"}))
+                out[-1].children.append(c)
+            else:
+                out.append(c)
+        n.children = out
+
+
 def _settle(n: Node, drawing: bool) -> None:
     """Move what a table cannot hold before it, and drop what svg and math do not draw."""
     out = []
@@ -202,22 +267,18 @@ def _holds_parts(n: Node) -> bool:
                for c in n.children)
 
 
-def _end(stack: list[Node], name: str) -> None:
+def _end(opened: Open, name: str) -> None:
     """Close the matching open element; a cell's content never closes what is around its table."""
     if name == "br":
-        stack[-1].children.append(Node("br", {}))
+        opened.stack[-1].children.append(Node("br", {}))
         return
     if name in ("body", "html"):
         return
-    for i in range(len(stack) - 1, 0, -1):
-        tag = stack[i].tag
-        if tag == name or (len(name) == 2 and name[0] == tag[0] == "h" and len(tag) == 2 and name[1] in "123456" and tag[1] in "123456"):
-            del stack[i:]
-            return
-        if tag == "table" or (tag in ("td", "th") and name not in ("tr", "table", "tbody", "thead", "tfoot")):
-            break
-    if name == "p":
-        stack[-1].children.append(Node("p", {}))
+    i = opened.last(HEADINGS if name in HEADINGS else (name,))
+    if i and i >= opened.last(("table",) if name in CELLS_END else ("table", "td", "th")):
+        opened.cut(i)
+    elif name == "p":
+        opened.stack[-1].children.append(Node("p", {}))
 
 
 class Styles:
@@ -424,23 +485,30 @@ class Renderer:
                     rows.append(Node("tr", {"#": "implied"}))
                 rows[-1].children.append(part)
         grid: list[dict[int, tuple[list[str], int, str]]] = []
-        taken: dict[tuple[int, int], bool] = {}
+        down: list[tuple[int, int, int]] = []      # (first column, end, row in which it is free again), by column
         for r, row in enumerate(rows):
-            cells, col = {}, 0
+            down = sorted(d for d in down if d[2] > r)
+            cells, col, k, more = {}, 0, 0, []
             for c in row.children:
                 if not isinstance(c, Node) or c.tag not in ("td", "th") or not self.shown(c):
                     continue
-                while taken.get((r, col)):
-                    col += 1
-                span = min(max(_integer(c.attrs.get("colspan"), 1), 1), 100)
-                down = min(max(_integer(c.attrs.get("rowspan"), 1), 1), len(rows) - r)
-                for i in range(down):
-                    for j in range(span):
-                        taken[r + i, col + j] = True
+                while k < len(down) and down[k][0] <= col:
+                    col = max(col, down[k][1])
+                    k += 1
+                span = min(max(_integer(c.attrs.get("colspan"), 1), 1), COLSPAN)
+                until = r + min(max(_integer(c.attrs.get("rowspan"), 1), 1), len(rows) - r)
+                if until > r + 1:
+                    more.append((col, col + span, until))
                 align = c.attrs.get("align", "").lower() or self.styles.of(c).get("text-align", "")
                 cells[col] = (self.render(c, self.visible(c, self.visible(row, seen))), span, align)
                 col += span
+            down += more
             grid.append(cells)
+        # columns in which no cell starts have no width of their own
+        starts = sorted({col for cells in grid for col in cells})
+        place = {col: i for i, col in enumerate(starts)}
+        grid = [{place[col]: (lines, bisect_left(starts, col + span) - place[col], align)
+                 for col, (lines, span, align) in cells.items()} for cells in grid]
         columns = max((col + span for cells in grid for col, (_, span, _) in cells.items()), default=0)
         if columns <= 1:
             return [*caption, *(x for cells in grid for _, (lines, _, _) in sorted(cells.items()) for x in lines)]
@@ -454,18 +522,20 @@ class Renderer:
                 lack = max([0, *map(width, lines)]) - sum(wide[col:col + span]) - 2 * (span - 1)
                 if span > 1 and lack > 0:
                     wide[col + span - 1] += lack
+        begin = [0, *accumulate(w + 2 for w in wide)]        # where a column starts in a line
         out = list(caption)
         for cells in grid:
+            placed = sorted(cells.items())
             for i in range(max((len(lines) for lines, _, _ in cells.values()), default=0)):
-                line, col = [], 0
-                while col < columns:
-                    lines, span, align = cells.get(col, ([], 1, ""))
-                    room = sum(wide[col:col + span]) + 2 * (span - 1)
+                line, at = [], 0
+                for col, (lines, span, align) in placed:
                     s = lines[i] if i < len(lines) else ""
-                    pad = " " * (room - width(s))
-                    line.append(pad + s if align in ("right", "end") else s + pad)
-                    col += span
-                out.append("  ".join(line).rstrip())
+                    lead = begin[col]
+                    if align in ("right", "end"):
+                        lead = begin[col + span] - 2 - width(s)
+                    line += [" " * (lead - at), s]
+                    at = lead + width(s)
+                out.append("".join(line).rstrip())
         return out
 
 
