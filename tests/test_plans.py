@@ -81,3 +81,29 @@ def test_gold_key_check_rides_on_the_merge(spark):
         assert "Window" in p
         exchanges = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln]
         assert len(exchanges) == 1 and "t__" not in exchanges[0]
+
+
+def test_discovery_reads_a_listing_once_and_shuffles_no_files_by_dataset(spark):
+    from tierload.sources.paths import (dataset_summary, distinct_partitions, parse_folders,
+                                        partition_layout_check)
+    listing = fx.bronze_paths(spark, SF_SMALL)
+    folders = parse_folders(listing)
+    for df, by in ((dataset_summary(folders), "_groupingexpression"), (distinct_partitions(folders), "_groupingexpression"),
+                   (partition_layout_check(listing), "folder")):
+        df.collect()                                          # reuse is decided while it runs
+        final = plan(df).split("== Initial Plan ==")[0].splitlines()
+        scans = [i for i, ln in enumerate(final) if "FileScan" in ln]
+        assert len(scans) == 1
+        exchange = next(ln for ln in reversed(final[:scans[0]]) if "Exchange" in ln)
+        assert f"hashpartitioning({by}" in exchange and "dataset" not in exchange
+
+
+def test_layout_check_packs_folders_of_many_files(spark, monkeypatch):
+    from tierload.sources import paths
+    monkeypatch.setattr(paths, "FILES_PER_ROW", 7)
+    keys = [f"raw/DS/{f}/p{i:03d}.parquet" for f in ("a=1", "a=2/b=3", "c=4", "plain") for i in range(50)]
+    df = spark.createDataFrame([(k,) for k in [*keys, "raw/DS/c=5/x.txt", "raw/top.parquet", None]], "key string")
+    got = sorted(tuple(r) for r in paths.partition_layout_check(df.repartition(3), "key", "raw").collect())
+    want = sorted(("DS", k, {"a=2/b=3": "a,b", "c=4": "c"}[k[7:].rsplit("/", 1)[0]], "a")
+                  for k in keys if "/b=3/" in k or "/c=4/" in k)
+    assert got == want

@@ -12,7 +12,7 @@ from tierload.plans.tables import SnapshotTable
 from tierload.sources.catalog import add_partitions, register_table, show_partitions
 from tierload.operators import SchemaGuardError
 from tierload.sources.jdbc import JdbcTarget, merge_sql
-from tierload.sources.paths import distinct_partitions, parse_keys
+from tierload.sources.paths import distinct_partitions, parse_folders
 from tierload.streaming.bronze_stream import stream_silver
 
 
@@ -202,7 +202,7 @@ def test_partition_values_with_special_characters(spark, tmp_path):
     df.write.partitionBy("p").parquet(str(tmp_path / "DS"))
     keys = spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
         .load(str(tmp_path)).select(F.regexp_extract("path", r"(DS/.*)$", 1).alias("key"))
-    parts = distinct_partitions(parse_keys(keys.where(F.col("key").endswith(".parquet")), "key"))
+    parts = distinct_partitions(parse_folders(keys.where(F.col("key").endswith(".parquet")), "key"))
     parts = parts.withColumn("location", F.concat(F.lit(str(tmp_path) + "/"), "location"))
     name = f"special_{uuid.uuid4().hex[:8]}"
     register_table(spark, name, str(tmp_path / "DS"), spark.createDataFrame([], "v int").schema, ["p"])

@@ -11,7 +11,7 @@ from tierload import fixtures as fx
 from tierload.plans.crawl import NameCollision, crawl
 from tierload.plans.tables import SnapshotTable
 from tierload.sources.listing import list_files
-from tierload.sources.paths import dataset_summary, parse_keys
+from tierload.sources.paths import dataset_summary, parse_folders, parse_keys
 
 
 def _name(label):
@@ -98,7 +98,7 @@ def test_listing_and_parse_cases(spark):
     assert r["location"] == "raw/DS/a=1/plain/b=q=r/"
     assert p["raw/DS/a=1/b=/x.parquet"]["values"] == ["1", ""]
     assert p["raw/DS/=v/z.parquet"]["raw_names"] == []
-    s = dataset_summary(parse_keys(keys, "key", "raw")).first()
+    s = dataset_summary(parse_folders(keys, "key", "raw")).first()
     assert (s["n_files"], s["layout"], s["n_partitions"], s["n_incompatible"]) == (4, "a,b", 2, 0)
 
 

@@ -93,6 +93,21 @@ BRONZE_EVENTS_SQL = """bronze_events AS (
   FROM events)"""
 
 
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze events whose cursors are distinct and never NULL but do not
+    rise with the batches, so merging them in any order of files gives one
+    result."""
+    micros = F.col("event_id").bitwiseXOR(F.lit(1023)).cast("decimal(18,6)") / F.lit(1000000)
+    cursor = ts_lit("2024-01-01 00:00:00") + F.make_dt_interval(secs=micros.cast("decimal(18,6)"))
+    return bronze_events(spark, sf_dir).withColumn("cursor_ts", cursor)
+
+
+STREAM_EVENTS_SQL = BRONZE_EVENTS_SQL.replace("bronze_events AS", "all_events AS") + """,
+bronze_events AS (
+  SELECT * REPLACE (TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(xor(CAST(event_id AS BIGINT), 1023)) AS cursor_ts)
+  FROM all_events)"""
+
+
 # ------------------------------------------------------------- bronze_paths
 
 def bronze_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,3 +203,15 @@ def write_bronze_files(spark: SparkSession, sf_dir: str) -> str:
         .write.partitionBy("o_orderpriority").parquet(f"{root}/Orders.v1"))
     _WRITTEN[key] = root
     return root
+
+
+def write_stream_files(spark: SparkSession, sf_dir: str) -> str:
+    """Write ``stream_events`` as Hive-partitioned Parquet (once per
+    session and scale); return the folder."""
+    from .session import new_run_dir
+    key = (spark.sparkContext.applicationId, sf_dir, "stream")
+    if key not in _WRITTEN:
+        root, parts = new_run_dir(spark, "bronze-stream"), ["ingestion_date", "batch_id"]
+        stream_events(spark, sf_dir).repartition(*parts).write.partitionBy(*parts).parquet(f"{root}/EVENTS")
+        _WRITTEN[key] = f"{root}/EVENTS"
+    return _WRITTEN[key]

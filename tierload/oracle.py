@@ -98,6 +98,9 @@ def _sql() -> dict[str, str]:
     q["silver_initial_load"] = (f"{bronze}, {clean_cte()}, {latest_cte('l', 'clean')} "
                                 f"{lineage_select('l')}")
     q["silver_rebuild"] = q["silver_initial_load"]
+    # micro-batches merged in any order: the latest row of each key over all of them
+    q["stream_merge"] = (f"WITH {fx.STREAM_EVENTS_SQL}, {clean_cte()}, {latest_cte('l', 'clean')} "
+                         f"{lineage_select('l')}")
 
     q["lineage_columns"] = (f"{bronze} SELECT {', '.join(EVENT_COLS)}, "
                             f"ingestion_date AS _source_ingestion_date, batch_id AS _source_batch_id, "

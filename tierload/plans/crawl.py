@@ -24,7 +24,7 @@ from ..sources.inventory import (FOLDER_KEY, INVENTORY_KEY, changed_files, chang
                                  inventory_upsert, stamped)
 from ..sources.ledger import LEDGER_KEY, LEDGER_SCHEMA, PartitionLedger
 from ..sources.listing import list_files
-from ..sources.paths import dataset_summary, distinct_partitions, parse_keys
+from ..sources.paths import dataset_summary, distinct_partitions, parse_folders, parse_keys
 from .tables import SnapshotTable
 
 log = logging.getLogger(__name__)
@@ -49,18 +49,19 @@ def crawl(spark: SparkSession, root: str, prefix: str = "", database: str | None
     in ``database``)."""
     base = root.rstrip("/")
     p = normalize_prefix_str(prefix)
-    listing = list_files(spark, base, p)
-    parsed = parse_keys(listing, "key", p).cache()   # reused by summary and partitions
+    listing = list_files(spark, base, p).cache()
+    folders = parse_folders(listing, "key", p).cache()   # reused by summary and partitions
     try:
-        return _crawl(spark, base, parsed, database, plan_only, inventory, run_ts, inventory_buckets,
+        return _crawl(spark, base, folders, parse_keys(listing, "key", p), database, plan_only, inventory, run_ts, inventory_buckets,
                       PartitionLedger(spark, ledger or (f"{database}.{LEDGER_TABLE}" if database else LEDGER_TABLE)))
     finally:
-        parsed.unpersist()
+        folders.unpersist()
+        listing.unpersist()
 
 
-def _crawl(spark, base, parsed, database, plan_only, inventory, run_ts,
+def _crawl(spark, base, folders, parsed, database, plan_only, inventory, run_ts,
            inventory_buckets, ledger: PartitionLedger) -> DataFrame:
-    summary = dataset_summary(parsed).collect()       # one row per dataset
+    summary = dataset_summary(folders).collect()       # one row per dataset
     names: dict[str, str] = {}
     for r in summary:
         other = names.setdefault(r["table_name"], r["dataset"])
@@ -70,7 +71,7 @@ def _crawl(spark, base, parsed, database, plan_only, inventory, run_ts,
     inv = (SnapshotTable(spark, inventory, key=INVENTORY_KEY, buckets=inventory_buckets)
            if inventory else None)
     cache = _schema_cache(inv, parsed) if inv is not None and inv.exists() else {}
-    partitions = distinct_partitions(parsed).withColumn(
+    partitions = distinct_partitions(folders).withColumn(
         "location", F.concat(F.lit(base + "/"), F.col("location")))
     known = ledger.read()
     # the sample footers that are not cached, in one job

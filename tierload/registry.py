@@ -32,7 +32,7 @@ from .sources.footers import footer_null_profile
 from .sources.inventory import changed_files, changed_folders, folder_digests, inventory_upsert
 from .sources.listing import bronze_scan, list_files
 from .sources.paths import (dataset_summary, distinct_partitions, flatten, new_partitions,
-                            parse_keys, partition_layout_check)
+                            parse_folders, parse_keys, partition_layout_check)
 from .sources.schema import infer_schema, table_columns
 from .sources.staging import staging_csv
 from .streaming.bronze_stream import stream_silver
@@ -369,24 +369,25 @@ def q_parse_partition_path(spark, sf_dir):
 
 @query("dataset_summary")
 def q_dataset_summary(spark, sf_dir):
-    return dataset_summary(_parsed(spark, sf_dir))
+    return dataset_summary(parse_folders(fx.bronze_paths(spark, sf_dir)))
 
 
 @query("partition_layout_check")
 def q_partition_layout_check(spark, sf_dir):
-    return partition_layout_check(_parsed(spark, sf_dir))
+    return partition_layout_check(fx.bronze_paths(spark, sf_dir))
 
 
 @query("distinct_partitions")
 def q_distinct_partitions(spark, sf_dir):
-    return flatten(distinct_partitions(_parsed(spark, sf_dir)))
+    return flatten(distinct_partitions(parse_folders(fx.bronze_paths(spark, sf_dir))))
 
 
 @query("new_partitions")
 def q_new_partitions(spark, sf_dir):
-    parsed = _parsed(spark, sf_dir)
-    registered = distinct_partitions(parsed.where(F.col("last_modified") < ts_lit(fx.CRAWL_CUTOFF)))
-    return flatten(new_partitions(distinct_partitions(parsed), registered))
+    listing = fx.bronze_paths(spark, sf_dir)
+    before = listing.where(F.col("last_modified") < ts_lit(fx.CRAWL_CUTOFF))
+    return flatten(new_partitions(distinct_partitions(parse_folders(listing)),
+                                  distinct_partitions(parse_folders(before))))
 
 
 @query("list_partitions")
@@ -595,9 +596,9 @@ def q_bronze_table_scan(spark, sf_dir):
 @query("stream_merge")
 def q_stream_merge(spark, sf_dir):
     """Bronze files drained by an availableNow stream, several files per
-    micro-batch, each batch merged into Silver."""
-    root = fx.write_bronze_files(spark, sf_dir)
-    loc = f"{root}/EVENTS"
+    micro-batch, each batch merged into Silver (distinct cursors: the
+    order of files does not matter)."""
+    loc = fx.write_stream_files(spark, sf_dir)
     data_schema = spark.read.parquet(loc).schema
     tag = _run_tag(spark)
     table = SnapshotTable(spark, f"silver_stream_{tag}", key=fx.EVENTS_PK, buckets=FIXTURE_BUCKETS)

@@ -1,17 +1,18 @@
 """Object keys -> datasets, Hive partitions and table layouts.
 
-Keys are parsed with codegen'd string functions (no UDF, no lambdas).
-Per-dataset facts (layout, counts, sample file) are aggregates with
-map-side partial aggregation; only tiny per-dataset results are joined
-back.
-No window partitions by dataset, so a dataset holding a third of all
-files is still spread over every task.
+Folder first: what a key says about its dataset and partition is said by
+its folder alone, so a listing is reduced to one row per folder (a partial
+aggregate, by folder) before anything is parsed.  Layouts, counts, sample
+files and partitions come from these rows; a dataset holding a third of
+all files is spread over its folders.  Parsing uses codegen'd string
+functions (no UDF, no lambdas).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.identifiers import normalize_prefix_str, sanitize_identifier
 
@@ -20,6 +21,8 @@ from ..functions.identifiers import normalize_prefix_str, sanitize_identifier
 PARQUET_SUFFIX = ".parquet"
 NAME_SEP = ","
 VALUE_SEP = "/"
+#: file names packed into one row by the layout check
+FILES_PER_ROW = 10_000
 
 
 # One ``name=value`` directory -- name is everything up to
@@ -27,37 +30,36 @@ VALUE_SEP = "/"
 PARTITION_SEGMENT = r"(?:^|/)([^/=]+)=([^/]*)"
 
 
-def parse_keys(df: DataFrame, key_col: str = "key", prefix: str = "") -> DataFrame:
-    """Add ``dataset``, ``raw_names``, ``names`` (sanitised), ``values``
-    and ``location`` to every key that is a Parquet file inside a
-    dataset directory; other keys are dropped.
+def _relative(key_col: str, p: str) -> tuple[Column, Column, Column]:
+    """(folder below the prefix with its ``/``, file name, is it a
+    Parquet file inside a dataset directory) of a key."""
+    key = F.col(key_col)
+    rel = key.substr(F.lit(len(p) + 1), F.length(key))
+    name = F.substring_index(rel, "/", -1)
+    folder = rel.substr(F.lit(1), F.length(rel) - F.length(name))
+    return folder, name, (F.instr(rel, "/") > 0) & F.lower(rel).endswith(PARQUET_SUFFIX)
+
+
+def _parse_folder(df: DataFrame, folder: Column, p: str) -> DataFrame:
+    """Add what a folder says: ``dataset``, ``raw_names``, ``names``
+    (sanitised), ``values``, their joined keys and ``location``.
 
     Dataset = first segment after the prefix; each later directory whose
     text has ``=`` after a non-empty name is a partition ``name=value``
     (the value keeps any further ``=``, may be empty); other directories
-    are skipped but stay part of the location.  Only codegen'd string
-    functions are used (no per-element lambdas), so the parse stays in
-    whole-stage code and the pushed-down key filter stays cheap.
+    are skipped but stay part of the location.
     """
-    p = normalize_prefix_str(prefix)
-    key = F.col(key_col)
-    rel = key.substr(F.lit(len(p) + 1), F.length(key))
-    keep = (F.instr(rel, "/") > 0) & F.lower(rel).endswith(PARQUET_SUFFIX)
-    dataset = F.substring_index(rel, "/", 1)
-    # directories between the dataset and the file name, "/"-joined
-    dirs = F.regexp_extract(rel, r"^[^/]*/(.*)/[^/]*$", 1)
-    n_slash = F.length(rel) - F.length(F.replace(rel, F.lit("/"), F.lit("")))
-    head = F.regexp_extract(rel, r"^(.*/)[^/]*$", 1)
-    location = F.concat(F.lit(p), F.when(n_slash == 1, F.concat(dataset, F.lit("//")))
-                        .otherwise(head))
+    dataset = F.substring_index(folder, "/", 1)
+    dirs = F.regexp_extract(folder, r"^[^/]*/(.*)/$", 1)
+    location = F.concat(F.lit(p), F.when(F.instr(folder, "/") == F.length(folder), F.concat(folder, F.lit("/")))
+                        .otherwise(folder))
     raw_names = F.regexp_extract_all(dirs, F.lit(PARTITION_SEGMENT), 1)
     values = F.regexp_extract_all(dirs, F.lit(PARTITION_SEGMENT), 2)
     # "/" never occurs inside a segment, so the joined forms are exact keys
     names_key = F.regexp_replace(F.lower(F.array_join(raw_names, VALUE_SEP)), "[^a-z0-9_/]", "_")
     names = F.when(names_key == "", F.array().cast("array<string>")) \
              .otherwise(F.split(names_key, VALUE_SEP, -1))
-    return (df.where(keep)
-              .withColumn("dataset", dataset)
+    return (df.withColumn("dataset", dataset)
               .withColumn("raw_names", raw_names)
               .withColumn("names_key", names_key)
               .withColumn("names", names)
@@ -66,47 +68,44 @@ def parse_keys(df: DataFrame, key_col: str = "key", prefix: str = "") -> DataFra
               .withColumn("location", location))
 
 
-def _pick_layout(grouped: DataFrame) -> DataFrame:
-    """Per dataset, the layout (``nk``) of the group holding the first
-    listed key that has partitions; ``grouped`` has one row per
-    ``(dataset, nk)`` or finer, with its ``first_key``."""
-    first = F.min(F.when(F.col("nk") != "", F.struct(F.col("first_key"), F.col("nk"))))
-    return grouped.groupBy("dataset").agg(first["nk"].alias("layout_key"))
+def parse_keys(df: DataFrame, key_col: str = "key", prefix: str = "") -> DataFrame:
+    """Every key that is a Parquet file inside a dataset directory, with
+    what its folder says; other keys are dropped."""
+    p = normalize_prefix_str(prefix)
+    folder, _, keep = _relative(key_col, p)
+    return _parse_folder(df.where(keep), folder, p)
 
 
-def dataset_layouts(parsed: DataFrame, key_col: str = "key") -> DataFrame:
-    """``(dataset, layout_key)``: the ``/``-joined sanitised partition
-    names of the first listed key (``min(key)``) that has partitions.
-    One partial aggregate over the listing, then a tiny one."""
-    g = (parsed.groupBy("dataset", F.col("names_key").alias("nk"))
-               .agg(F.min(key_col).alias("first_key")))
-    return _pick_layout(g)
+def parse_folders(df: DataFrame, key_col: str = "key", prefix: str = "") -> DataFrame:
+    """One row per folder with Parquet files: ``n`` files, ``first_key``
+    and what the folder says.  The aggregate by folder comes first, so a
+    folder is parsed once, not once per file."""
+    p = normalize_prefix_str(prefix)
+    folder, _, keep = _relative(key_col, p)
+    rows = (df.where(keep).groupBy(folder.alias("folder"))
+              .agg(F.count(F.lit(1)).alias("n"), F.min(key_col).alias("first_key")))
+    return _parse_folder(rows, F.col("folder"), p)
 
 
-def with_layout(parsed: DataFrame, key_col: str = "key") -> DataFrame:
-    """Add ``layout`` and ``conforms`` (unpartitioned, or same names as
-    the layout) to every parsed key."""
-    lay = dataset_layouts(parsed, key_col)
-    j = parsed.join(lay, "dataset", "left")
-    nk = F.col("names_key")
-    return (j.withColumn("conforms", (nk == "") | (nk == F.col("layout_key")))
-             .withColumn("layout", F.split("layout_key", VALUE_SEP, -1))
-             .drop("layout_key"))
+def dataset_layouts(folders: DataFrame) -> DataFrame:
+    """``(dataset, layout_key)``: the ``/``-joined sanitised partition
+    names of the first listed key (``min(key)``) that has partitions."""
+    first = F.min(F.when(F.col("names_key") != "", F.struct("first_key", "names_key")))
+    return folders.groupBy("dataset").agg(first["names_key"].alias("layout_key"))
 
 
-def dataset_summary(parsed: DataFrame, key_col: str = "key") -> DataFrame:
+def dataset_summary(folders: DataFrame) -> DataFrame:
     """One row per dataset: table name, file count, layout, distinct
     conforming partitions, sample file (first compatible key) and the
     number of keys whose layout differs.
 
-    One pass over the listing: a partial aggregate per ``(dataset,
-    layout variant)``; everything after that works on a handful of rows
-    per dataset."""
-    g = (parsed.groupBy("dataset", F.col("names_key").alias("nk"))
-               .agg(F.count(F.lit(1)).alias("n"),
-                    F.min(key_col).alias("first_key"),
-                    F.count_distinct("values_key").alias("n_parts")))
-    j = g.join(_pick_layout(g), "dataset", "left")
+    One pass: folders are aggregated per ``(dataset, layout variant)``;
+    the window that finds a dataset's layout sees one row per variant."""
+    g = (folders.groupBy("dataset", F.col("names_key").alias("nk"))
+                .agg(F.sum("n").alias("n"), F.min("first_key").alias("first_key"),
+                     F.count_distinct("values_key").alias("n_parts")))
+    first = F.min(F.when(F.col("nk") != "", F.struct("first_key", "nk"))).over(Window.partitionBy("dataset"))
+    j = g.withColumn("layout_key", first["nk"])
     conf = (F.col("nk") == "") | (F.col("nk") == F.col("layout_key"))
     return (j.groupBy("dataset")
              .agg(F.sum("n").alias("n_files"),
@@ -120,31 +119,41 @@ def dataset_summary(parsed: DataFrame, key_col: str = "key") -> DataFrame:
              .withColumn("table_name", sanitize_identifier("dataset")))
 
 
-def partition_layout_check(parsed: DataFrame, key_col: str = "key") -> DataFrame:
+def partition_layout_check(listing: DataFrame, key_col: str = "key", prefix: str = "") -> DataFrame:
     """Keys with partitions whose names differ from their dataset's layout
-    (these are skipped when partitions are registered)."""
-    j = with_layout(parsed, key_col)
-    return (j.where((F.col("names_key") != "") & ~F.col("conforms"))
-             .select("dataset", key_col,
+    (these are skipped when partitions are registered).
+
+    The listing is read once (it may be a walk of the store): names are
+    packed by folder, at most ``FILES_PER_ROW`` of one input split a row,
+    layouts come from these rows, and only rows that differ are unpacked."""
+    p = normalize_prefix_str(prefix)
+    folder, name, keep = _relative(key_col, p)
+    part = F.floor(F.monotonically_increasing_id() / FILES_PER_ROW)
+    packed = (listing.where(keep).select(folder.alias("folder"), name.alias("name"), part.alias("part"))
+                     .groupBy("folder", "part").agg(F.collect_list("name").alias("files")))
+    rows = _parse_folder(packed, F.col("folder"), p).where(F.col("names_key") != "")
+    first = F.concat(F.lit(p), F.col("folder"), F.array_min("files"))
+    j = rows.join(dataset_layouts(rows.withColumn("first_key", first)), "dataset")
+    return (j.where(F.col("names_key") != F.col("layout_key"))
+             .select("dataset", F.explode("files").alias("name"), "folder", "names", "layout_key")
+             .select("dataset", F.concat(F.lit(p), "folder", "name").alias(key_col),
                      F.array_join("names", NAME_SEP).alias("names"),
-                     F.array_join("layout", NAME_SEP).alias("layout")))
+                     F.replace("layout_key", F.lit(VALUE_SEP), F.lit(NAME_SEP)).alias("layout")))
 
 
-def distinct_partitions(parsed: DataFrame, key_col: str = "key") -> DataFrame:
+def distinct_partitions(folders: DataFrame) -> DataFrame:
     """``(dataset, values, location, names)`` per distinct conforming
     partition; the location is the one of the first key listed with
-    those values.  Aggregated per partition first (map-side partial),
-    so the layout join only sees one row per partition."""
-    first = F.min(F.struct(F.col(key_col).alias("first_key"), F.col("location"),
-                           F.col("values")))
-    parts = (parsed.where(F.col("names_key") != "")
-                   .groupBy("dataset", F.col("names_key").alias("nk"), "values_key")
-                   .agg(first.alias("m"))
-                   .select("dataset", "nk", "m.first_key", "m.location", "m.values"))
-    j = parts.join(_pick_layout(parts), "dataset", "left")
-    return (j.where(F.col("nk") == F.col("layout_key"))
+    those values.  Folders are aggregated per partition before the layout
+    join; both of its sides read the same folder rows."""
+    parts = (folders.where(F.col("names_key") != "")
+                    .groupBy("dataset", "names_key", "values_key")
+                    .agg(F.min(F.struct("first_key", "location", "values")).alias("m"))
+                    .select("dataset", "names_key", "m.first_key", "m.location", "m.values"))
+    j = parts.join(dataset_layouts(parts), "dataset")
+    return (j.where(F.col("names_key") == F.col("layout_key"))
              .select("dataset", "values", "location",
-                     F.split("nk", VALUE_SEP, -1).alias("names")))
+                     F.split("names_key", VALUE_SEP, -1).alias("names")))
 
 
 def new_partitions(discovered: DataFrame, registered: DataFrame) -> DataFrame:
