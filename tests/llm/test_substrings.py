@@ -73,3 +73,18 @@ def test_sketch_loses_no_repeated_window(spark, documents):
         for k in range(len(w) - 12):
             seen.setdefault(tuple(w[k:k + 13]), set()).add(r.doc_id)
     assert len({r.window for r in rows}) >= sum(len(d) > 1 for d in seen.values()) > 0
+
+
+def test_settled_ids_are_not_shuffled_by_window(spark):
+    """3,000 equal texts: only one row per batch and window meets the others."""
+    text = " ".join(f"w{i}" for i in range(20))
+    docs = spark.range(3000).repartition(4).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    src = docs.select(F.col("doc_id").alias("id"), "text")
+    shape = S.Shape(3000 * 8, 2, 1 << 31)
+    rows = S.save(S.suspects(src, shape, S.sketch(src, shape, 13), 13), "suspects")
+    assert rows.count() <= 4 * 8 and rows.select(F.sum(F.size("rest"))).first()[0] >= 8 * 2996
+    gone = S.removals(rows)
+    assert gone.count() == 8 * 2999 and gone.distinct().count() == 8 * 2999 and gone.where("id = 0").count() == 0
+    plan = gone._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("hashpartitioning(window"):]
+    assert below.index("ReadSchema: struct<window:bigint,least:bigint>") < below.index("Generate")

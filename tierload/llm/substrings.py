@@ -12,7 +12,8 @@ when a window over it also starts in a document with a smaller id.
 2. *Exact pass*: only windows whose counters are all 2 or more are
    grouped.  A task first settles its own batch (the smallest document of
    each window in the batch is the only one still in doubt), so a window
-   held by a third of all documents sends one row per batch.
+   held by a third of all documents sends one row per batch; the ids that
+   a batch has settled are never shuffled by window.
 3. Windows to remove come back per document and meet the whole texts of
    those documents only (others pass by a Bloom filter of fixed size);
    every window is judged on the input text.
@@ -185,20 +186,26 @@ def suspects(src: DataFrame, shape: Shape, merged: dict[int, bytes], window: int
     return src.mapInArrow(run, "window long, least long, rest array<long>")
 
 
+def removals(rows: DataFrame) -> DataFrame:
+    """(id, window) of every window that goes, from the written suspects.
+
+    The other ids of a batch are decided already and go straight on; only
+    (window, smallest id of a batch) is shuffled by window.
+    """
+    decided = rows.where(F.size("rest") > 0).select(F.explode("rest").alias("id"), "window")
+    # one row per batch and window: the smallest id of all batches keeps it
+    first = rows.select("window", "least").withColumn("all", F.min("least").over(Window.partitionBy("window")))
+    return first.where(F.col("least") > F.col("all")).select(F.col("least").alias("id"), "window").unionAll(decided)
+
+
 def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                      depth: int = DEPTH, max_bits: int = 1 << 31) -> DataFrame:
     """(id, windows): per document, the packed hashes of its windows that a smaller id holds too."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     src = src.where(F.col("id").isNotNull() & F.col("text").isNotNull())
     shape = Shape(text_bytes(src, "text") / BYTES_PER_WINDOW, depth, max_bits)
-    rows = suspects(src, shape, sketch(src, shape, window), window)
-    # one row per batch and window: the smallest id of all batches keeps it
-    least = F.min("least").over(Window.partitionBy("window"))
-    gone = (rows.withColumn("all", least)
-            .where((F.col("least") > F.col("all")) | (F.size("rest") > 0))
-            .select("window", F.when(F.col("least") > F.col("all"), F.concat(F.array("least"), F.col("rest")))
-                    .otherwise(F.col("rest")).alias("ids"))
-            .select(F.explode("ids").alias("id"), "window").repartition("id"))
+    rows = save(suspects(src, shape, sketch(src, shape, window), window), "suspects")
+    gone = removals(rows).repartition("id")
 
     def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
