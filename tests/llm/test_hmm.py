@@ -116,3 +116,31 @@ def test_sequence_blocks_cover_all_rows():
     batch = pa.RecordBatch.from_arrays([pa.array(seqs, pa.binary())], ["symbols"]).slice(1)
     rows = [(r.tolist(), s.tolist()) for r, s, _, _ in H.sequence_blocks(batch, 4)]
     assert sorted(x for r, _ in rows for x in r) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("known", [0, 1, 7, 40, 299, 300, 1000])
+def test_the_frequent_words_are_cut_by_histograms(spark, known):
+    r = np.random.default_rng(known)
+    c = np.concatenate([r.integers(1, 5, 200), r.integers(1, 4000, 60), r.integers(1, 1 << 40, 38), [2048, 2047]])
+    word = r.integers(-(1 << 63), 1 << 63, len(c))
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(word, c, strict=True)], "word long, c long")
+    got = {(x.word, x.c) for x in H.frequent(df, known).collect()}
+
+    def level(n):
+        return n >> max(n.bit_length() - 11, 0) << max(n.bit_length() - 11, 0)
+    want = sorted(((int(a), int(b)) for a, b in zip(word, c, strict=True)), key=lambda x: (-level(x[1]), x[0]))[:known]
+    assert got == set(want)
+    assert H.frequent(df.limit(0), known).count() == 0
+
+
+def test_ties_of_the_cut_stay_within_the_bound(spark):
+    df = spark.range(5000).select(F.xxhash64("id").alias("word"), F.lit(1).cast("long").alias("c"))
+    n = H.frequent(df, 1000).count()
+    assert 990 <= n <= 1000
+
+
+def test_a_word_of_held_out_texts_alone_is_looked_up_once_a_text(spark):
+    a = H.alphabet(spark.createDataFrame([(int(H.END.view(np.int64)), 2), (5, 3)], "word long, c long"), 4, 3, 10)
+    src = spark.createDataFrame([(1, True, "new new other NEW"), (2, True, ""), (3, True, None)], "id long, held_out boolean, text string")
+    got = {r.id: sorted(x.times for x in r.rest) for r in H.encode(src, a).collect()}
+    assert got == {1: [1, 3], 2: [], 3: []}

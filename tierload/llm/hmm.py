@@ -10,7 +10,8 @@ whatever the corpus.
 
 1. *Counts*: word counts of all training texts (combined per task, then
    shuffled by word) give the alphabet, the class sizes and the base
-   unigram score.
+   unigram score.  The most frequent words are cut off by histograms of
+   the counts, not sorted in one task.
 2. *Encoding*: texts become symbol sequences in one written table; all
    later passes read that.  Words beyond the ``known`` most frequent ones
    meet their counts in a join, so no unbounded table is broadcast.
@@ -101,12 +102,48 @@ class Alphabet:
         return (mix(h ^ np.uint64(0xA5A5)) % np.uint64(len(self.room))).astype(np.int64)
 
 
+#: counts below this have a level each; above, a level is a range within a thousandth
+EXACT = 1 << 11
+
+
+def frequent(counts: DataFrame, known: int) -> DataFrame:
+    """The rows of ``counts`` with the highest counts, at most ``known``.
+
+    Two histograms of bounded size find the cut: by level of the count, then
+    by the top 16 bits of the word among the words of the level that is cut.
+    No task and not the driver sees more than a partition's rows of either.
+    """
+    bits = "length(bin(c))"
+    leveled = counts.withColumn("level", F.expr(f"if(c < {EXACT}, c, {EXACT} * {bits} + shiftright(c, {bits} - 11))"))
+    level, before, fits = _cut(leveled.groupBy(F.col("level").alias("k")).count(), known, down=True)
+    if fits:
+        return counts
+    leveled = leveled.withColumn("part", F.shiftright("word", 48))
+    tied = leveled.where(F.col("level") == level)
+    part, _, _ = _cut(tied.groupBy(F.col("part").alias("k")).count(), known - before, down=False)
+    return leveled.where((F.col("level") > level) | ((F.col("level") == level) & (F.col("part") < part))).drop("level", "part")
+
+
+def _cut(histogram: DataFrame, room: int, down: bool) -> tuple[int, int, bool]:
+    """(first key that does not fit whole, rows before it, do all fit?)."""
+    got = histogram.toArrow()
+    key, n = got.column("k").to_numpy(), got.column("count").to_numpy()
+    order = np.argsort(-key if down else key)
+    total = np.cumsum(n[order])
+    at = int(np.searchsorted(total, room, side="right"))
+    if at == len(order):
+        return 0, int(total[-1]) if at else 0, True
+    return int(key[order][at]), int(total[at - 1]) if at else 0, False
+
+
 def alphabet(counts: DataFrame, own: int, classes: int, known: int) -> Alphabet:
     total = counts.agg(F.count("*").alias("v"), F.sum("c").alias("n")).first()
     n, v = total["n"] or 0, total["v"]
     end = int(END.view(np.int64))
-    top = counts.where(F.col("word") != end).orderBy(F.desc("c"), "word").limit(known).toArrow()
-    words, c = top.column("word").to_numpy().view(np.uint64), top.column("c").to_numpy()
+    top = frequent(counts.where(F.col("word") != end), known).toArrow()
+    words, c = top.column("word").to_numpy(), top.column("c").to_numpy()
+    order = np.lexsort((words, -c))
+    words, c = words[order].view(np.uint64), c[order]
     end_count = counts.where(F.col("word") == end).agg(F.sum("c")).first()[0] or 0
     own = min(own, len(words))
     symbol = np.full(len(words), -1)
@@ -149,7 +186,7 @@ def encode(src: DataFrame, a: Alphabet) -> DataFrame:
     """(id, held_out, n_tokens, symbols, known, logs, drawn, rest): one row per text.
 
     ``known`` tokens with counts at hand and the sum of their log10(c + 1) (``logs``); ``drawn``: the part of the
-    score that draws words from shared symbols, as far as counts are at hand; ``rest``: hashes still to be looked up.
+    score that draws words from shared symbols, as far as counts are at hand; ``rest``: hashes still to be looked up, each once a text.
     """
     shared = src.sparkSession.sparkContext.broadcast(a)
     kind = src.schema["id"].dataType.simpleString()
@@ -178,9 +215,13 @@ def encode(src: DataFrame, a: Alphabet) -> DataFrame:
             def per_text(x: np.ndarray, w: Words = w) -> np.ndarray:
                 return np.bincount(w.row, weights=x, minlength=len(w.count)).astype(float)
 
+            # each text's missing words once, with how often they occur
             missing = np.flatnonzero(~found[inverse])
-            cut = np.searchsorted(missing, w.first)
-            rest = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(w.hash[missing].view(np.int64)))
+            pair, times = np.unique(w.row[missing].astype(np.int64) * max(len(u), 1) + inverse[missing], return_counts=True)
+            row, which = np.divmod(pair, max(len(u), 1))
+            cut = np.searchsorted(row, np.arange(len(n) + 1))
+            rest = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.StructArray.from_arrays(
+                [pa.array(u[which].view(np.int64)), pa.array(times.astype(np.int64))], ["word", "times"]))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), b.column("held_out"), pa.array(n.astype(np.int64)), blob,
                  pa.array((per_text(found[inverse].astype(float)) + (a.ends > 0)).astype(np.int64)),
@@ -188,7 +229,7 @@ def encode(src: DataFrame, a: Alphabet) -> DataFrame:
                 ["id", "held_out", "n_tokens", "symbols", "known", "logs", "drawn", "rest"])
 
     return arrow_map(src, fn, f"id {kind}, held_out boolean, n_tokens long, symbols binary, known long, logs double, "
-                              "drawn double, rest array<long>")
+                              "drawn double, rest array<struct<word:long,times:long>>")
 
 
 @dataclass
@@ -325,8 +366,8 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
 
     scored = arrow_map(coded.drop("rest"), fn, f"id {kind}, held_out boolean, n_tokens long, known long, logs double, drawn double, row long, path double")
     # words beyond the frequent ones meet their counts; unknown ones add log10(0 + 1) = 0
-    rare = (coded.where(F.size("rest") > 0).select("row", F.explode("rest").alias("word")).join(counts, "word")
-            .groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("c") + 1.0)).alias("rare")))
+    rare = (coded.where(F.size("rest") > 0).select("row", F.inline("rest")).join(counts, "word")
+            .groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("rare")))
     base = np.log10((a.n + 1.0 * (a.v + 1)))
     more, rare_logs = F.coalesce("more", F.lit(0)), F.coalesce("rare", F.lit(0.0))
     return scored.join(rare, "row", "left").select(
