@@ -21,8 +21,10 @@ def test_merge_sql_dialects():
     assert 'ON CONFLICT ("id") DO UPDATE SET "v" = EXCLUDED."v"' in pg
     assert "DO NOTHING" in merge_sql("t", "s", ["a", "b"], ["a", "b"], "jdbc:postgresql://h/db")
     std = merge_sql("t", "s", ["id", "v"], ["id"], "jdbc:other:x")
-    assert std.startswith("MERGE INTO t t USING s s ON t.\"id\" = s.\"id\"")
+    assert std.startswith("MERGE INTO \"t\" t USING \"s\" s ON t.\"id\" = s.\"id\"")
     assert "WHEN MATCHED" not in merge_sql("t", "s", ["a"], ["a"], "jdbc:other:x")
+    assert merge_sql("Sales.T", "Sales.s", ["a"], ["a"], "jdbc:postgresql://h/db").startswith(
+        'INSERT INTO "Sales"."T" ("a") SELECT "a" FROM "Sales"."s" ')
 
 
 class Recorder(JdbcTarget):
@@ -42,10 +44,10 @@ class Recorder(JdbcTarget):
             raise RuntimeError("rolled back")
         for s in statements:
             if s.startswith("CREATE TABLE "):
-                self.tables.add(s.split()[2])
+                self.tables.add(s.split()[2].replace('"', ""))
             elif s.startswith("DROP TABLE "):
-                self.tables.discard(s.split()[2])
-            elif s.startswith("INSERT INTO T_runs "):
+                self.tables.discard(s.split()[2].replace('"', ""))
+            elif s.startswith('INSERT INTO "T_runs" '):
                 run, n = s[s.index("VALUES (") + 8:-1].rsplit(", ", 1)
                 assert run not in self.runs, "primary key"
                 self.runs[run] = n
@@ -81,9 +83,9 @@ def test_upsert_creates_stages_merges_and_drops(spark):
     t = Recorder(spark)
     assert t.upsert(_pair(spark), "T", ["id"]) == 2
     create, merge, drop = t.statements()
-    assert create == 'CREATE TABLE T ("id" TEXT NOT NULL, "v" DOUBLE PRECISION, PRIMARY KEY ("id"))'
-    assert merge.startswith("INSERT INTO T ") and 'DO UPDATE SET "v" = EXCLUDED."v"' in merge
-    assert drop.startswith("DROP TABLE T_STG_") and t.tables == {"T"}
+    assert create == 'CREATE TABLE "T" ("id" TEXT NOT NULL, "v" DOUBLE PRECISION, PRIMARY KEY ("id"))'
+    assert merge.startswith('INSERT INTO "T" ') and 'DO UPDATE SET "v" = EXCLUDED."v"' in merge
+    assert drop.startswith('DROP TABLE "T_stg_') and t.tables == {"T"}
     assert Recorder(spark).upsert(_pair(spark, 0).limit(0), "T", ["id"]) == 0
 
 
@@ -98,8 +100,8 @@ def test_a_run_is_recorded_by_the_transaction_of_its_merge_and_not_repeated(spar
     assert t.upsert(_pair(spark), "T", ["id"], run_id="r'1") == 2
     both = [g for g in t.sent if len(g) == 2]
     assert len(both) == 1
-    assert both[0][0] == "INSERT INTO T_runs (\"run_id\", \"n_rows\") VALUES ('r''1', 2)"
-    assert both[0][1].startswith("INSERT INTO T (")
+    assert both[0][0] == "INSERT INTO \"T_runs\" (\"run_id\", \"n_rows\") VALUES ('r''1', 2)"
+    assert both[0][1].startswith('INSERT INTO "T" (')
     before, staged = len(t.sent), len(t.staged)
     t.columns, t.key = [("id", "string"), ("v", "double")], ["id"]
     assert t.upsert(_pair(spark, 5), "T", ["id"], run_id="r'1") == 2          # the recorded number
@@ -111,7 +113,7 @@ def test_a_run_is_recorded_by_the_transaction_of_its_merge_and_not_repeated(spar
 def test_an_empty_run_is_recorded(spark):
     t = Recorder(spark)
     t.upsert(_pair(spark).limit(0), "T", ["id"], run_id="r")
-    assert t.runs == {"'r'": "0"} and not [s for s in t.statements() if s.startswith("INSERT INTO T (")]
+    assert t.runs == {"'r'": "0"} and not [s for s in t.statements() if s.startswith('INSERT INTO "T" (')]
 
 
 def test_a_merge_that_fails_takes_its_record_along_and_drops_staging(spark):
@@ -126,7 +128,7 @@ def test_a_merge_that_fails_takes_its_record_along_and_drops_staging(spark):
 def test_an_existing_target_gets_new_columns(spark):
     t = Recorder(spark, columns=[("id", "string"), ("old", "int")], key=["id"])
     t.upsert(_pair(spark), "T", ["id"])
-    assert t.statements()[0] == 'ALTER TABLE T ADD COLUMN "v" DOUBLE PRECISION'
+    assert t.statements()[0] == 'ALTER TABLE "T" ADD COLUMN "v" DOUBLE PRECISION'
     assert '"old"' not in t.statements()[1]
 
 
@@ -143,12 +145,49 @@ def test_a_changed_key_or_type_is_refused_before_anything_is_sent(spark, columns
     assert t.sent == [] and t.staged == []
 
 
-def test_names_are_searched_without_wildcards():
-    class Meta:
-        def getSearchStringEscape(self):
-            return "!"
-    assert JdbcTarget._names(Meta(), "a_b.T_1") == [("a!_b", "T!_1"), ("A!_B", "T!_1"), ("a!_b", "t!_1")]
-    assert JdbcTarget._names(Meta(), "T")[0] == (None, "T")
+class Meta:
+    """Metadata of a connection: what it is asked, and one stored table."""
+
+    def __init__(self, stored=()):
+        self.asked, self.stored = [], stored
+
+    def getSearchStringEscape(self):
+        return "!"
+
+    def getTables(self, catalog, schema, table, types):
+        self.asked.append((schema, table))
+        return self
+
+    def next(self):
+        return self.asked[-1] in self.stored
+
+
+def test_names_are_searched_as_written_and_without_wildcards():
+    assert JdbcTarget._name(Meta(), "a_b.T_1") == ("a!_b", "T!_1")
+    assert JdbcTarget._name(Meta(), "T") == (None, "T")
+
+
+def test_a_table_of_another_spelling_is_another_table(spark):
+    t, md = JdbcTarget(spark, "jdbc:postgresql://h/db"), Meta(stored=[("sales", "orders")])
+
+    class Connection:
+        def getMetaData(self):
+            return md
+
+        def close(self):
+            pass
+
+    t._connection = Connection
+    assert t.table_exists("sales.orders") and not t.table_exists("sales.Orders") and not t.table_exists("orders")
+
+
+def test_the_target_schema_qualifies_every_statement(spark):
+    t = Recorder(spark)
+    t.schema = "sales"
+    assert t.upsert(_pair(spark), "T", ["id"], run_id="r") == 2
+    assert all('"sales"."T' in s for s in t.statements())
+    assert {x for x in t.tables} == {"sales.T", "sales.T_runs"}
+    assert t.full_name("other.T") == "other.T"
 
 
 def test_stream_matches_batch_for_rising_cursors(spark, tmp_path):

@@ -290,3 +290,30 @@ def test_merge_with_another_key_type_rewrites_all(spark):
     done = t.merge(src, lambda cur: upsert_overwrite(cur, src, ["id"], t.join_partitions()))
     assert done.touched is None and done.carried == []
     assert spark.table(t.name).count() == 51 and spark.table(t.name).where("v < 0").count() == 2
+
+
+def test_loaders_keep_as_many_versions_as_they_are_told(spark):
+    from tierload.config import DateValidation, GoldTable, SilverDataset
+    from tierload.operators import ColumnMap
+    from tierload.plans.gold import load_gold
+    from tierload.plans.silver import load_silver
+    tag = _name("keep")
+    ds = SilverDataset(name="d", pk=["id"], cursor="cur")
+
+    def bronze(n):
+        return spark.range(n).select("id", F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("cur"),
+                                     F.lit(f"2024-01-0{n}").alias("ingestion_date"), F.lit(f"b{n}").alias("batch_id"))
+
+    silver = SnapshotTable(spark, f"{tag}_d", key=["id"])
+    for n in (1, 2, 3):
+        load_silver(spark, lambda _, n=n: bronze(n), [ds], DateValidation(), table_prefix=f"{tag}_", buckets=2)
+    assert len(silver.versions()) == 3                         # all stay unless told otherwise
+    load_silver(spark, lambda _: bronze(4), [ds], DateValidation(), table_prefix=f"{tag}_", buckets=2, keep_versions=2)
+    assert len(silver.versions()) == 2 and spark.table(silver.name).count() == 4
+    gold = GoldTable("d", "g", ["id"], [ColumnMap("id", "id", "bigint")])
+    for _ in range(2):
+        out = load_gold(spark, lambda _: spark.table(silver.name), [gold], table_prefix=f"{tag}_", buckets=2,
+                        watermark_table=f"{tag}_wm", keep_versions=1).first()
+        assert out["status"] == "OK"
+    target = SnapshotTable(spark, f"{tag}_g", key=["id"])
+    assert len(target.versions()) == 1 and spark.table(target.name).count() == 4

@@ -2,9 +2,10 @@
 
     python -m tierload.cli crawl  --root ROOT [--prefix P] [--database DB] [--inventory T] [--dry-run]
     python -m tierload.cli silver --config silver.json [--bronze-database DB] [--dataset=NAME]
-                                  [--dry-run] [--rebuild] [--confirm-append-only]
+                                  [--dry-run] [--rebuild] [--confirm-append-only] [--keep-versions N]
     python -m tierload.cli gold   --config mappings.json [--silver-prefix silver_] [--table NAME]
                                   [--jdbc-url URL [--run-id ID]]
+                                  [--keep-versions N]
 
 Prints the summary; exits with status 1 when any dataset, table or partition failed.
 """
@@ -36,6 +37,7 @@ def _args(argv):
     s.add_argument("--rebuild", action="store_true")
     s.add_argument("--confirm-append-only", action="store_true")
     s.add_argument("--buckets", type=int)
+    s.add_argument("--keep-versions", type=int)
     g = sub.add_parser("gold")
     g.add_argument("--config", required=True)
     g.add_argument("--silver-prefix", default="silver_")
@@ -44,6 +46,7 @@ def _args(argv):
     g.add_argument("--jdbc-url")
     g.add_argument("--run-id")
     g.add_argument("--buckets", type=int)
+    g.add_argument("--keep-versions", type=int)
     return p.parse_args(argv)
 
 
@@ -68,7 +71,7 @@ def run(spark, argv) -> int:
         summary = load_silver(spark, lambda name: spark.table(f"{a.bronze_database}.{name}"),
                               datasets, validation, plan_only=a.dry_run, rebuild=a.rebuild,
                               confirm=a.confirm_append_only, table_prefix=a.silver_prefix,
-                              buckets=a.buckets, only=a.dataset)
+                              buckets=a.buckets, only=a.dataset, keep_versions=a.keep_versions)
         summary.show(truncate=False)
         return 1 if any_failed(summary) else 0
     from .config import gold_config_from_json
@@ -77,10 +80,10 @@ def run(spark, argv) -> int:
     jdbc = None
     if a.jdbc_url:
         from .sources.jdbc import JdbcTarget
-        jdbc = JdbcTarget(spark, a.jdbc_url)
+        jdbc = JdbcTarget(spark, a.jdbc_url, schema=settings.schema)
     summary = load_gold(spark, lambda name: spark.table(f"{a.silver_prefix}{name}"), tables,
                         settings, table_prefix=a.gold_prefix, buckets=a.buckets, jdbc=jdbc, run_id=a.run_id,
-                        only=a.table)
+                        only=a.table, keep_versions=a.keep_versions)
     summary.show(truncate=False)
     return 1 if summary.where(F.col("status") != "OK").limit(1).count() else 0
 

@@ -64,6 +64,7 @@ class GoldLoad:
     run_ts: object = None
     jdbc: object = None                          # optional sources.jdbc.JdbcTarget
     run_id: str | None = None                    # names this run there: a retry is skipped
+    keep_versions: int | None = None             # registered versions left after a load
 
     def target(self, t: GoldTable) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.table_prefix}{t.target_table}",
@@ -130,6 +131,8 @@ class GoldLoad:
                                                "source_table string, last_watermark timestamp_ntz")
             store.merge(entry.select("source_table"), lambda current: save_watermarks(
                 current, entry, self.run_ts, partitions=store.join_partitions()))
+        if self.keep_versions is not None:
+            target.drop_old_versions(self.keep_versions)
         return (t.source_table, t.target_table, "OK", m.get("rows"), prev, new_wm, batch)
 
     def run(self, tables: list[GoldTable]) -> DataFrame:
@@ -148,12 +151,15 @@ class GoldLoad:
 def load_gold(spark: SparkSession, silver: Callable[[str], DataFrame], tables: list[GoldTable],
               settings: GoldSettings = GoldSettings(), table_prefix: str = "gold_",
               watermark_table: str = "gold_watermarks", buckets: int | None = None,
-              run_ts=None, jdbc=None, only: str | None = None, run_id: str | None = None) -> DataFrame:
+              run_ts=None, jdbc=None, only: str | None = None, run_id: str | None = None,
+              keep_versions: int | None = None) -> DataFrame:
     """Run the Silver -> Gold load; ``only`` selects one configured table
-    by source or target name (an unknown name is an error)."""
+    by source or target name (an unknown name is an error).  After a load,
+    ``keep_versions`` unregisters all but a table's newest ones (default:
+    all stay)."""
     if only is not None:
         tables = [t for t in tables if only in (t.source_table, t.target_table)]
         if not tables:
             raise ConfigError(f"no table named {only!r} is configured")
     return GoldLoad(spark, silver, settings, table_prefix, watermark_table, buckets,
-                    run_ts, jdbc, run_id).run(tables)
+                    run_ts, jdbc, run_id, keep_versions).run(tables)

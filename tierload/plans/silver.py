@@ -37,6 +37,7 @@ class SilverLoad:
     buckets: int | None = None
     as_of: object = None
     run_ts: object = None
+    keep_versions: int | None = None            # registered versions left after a load
 
     def table(self, ds: SilverDataset) -> SnapshotTable:
         key = list(ds.pk) if ds.mode == "dedupe_latest" else None
@@ -95,6 +96,8 @@ class SilverLoad:
             obs = Observation(f"silver_{ds.name}")
             table.write(frame.observe(obs, F.count(F.lit(1)).alias("rows")), aligned=self._aligned(ds, table))
             rows = obs.get.get("rows", 0)
+        if self.keep_versions is not None:
+            table.drop_old_versions(self.keep_versions)
         return (ds.name, ds.mode, op, f"OK ({op})", rows, st[0], st[1])
 
     def _append(self, ds: SilverDataset, table: SnapshotTable) -> int:
@@ -147,14 +150,17 @@ def load_silver(spark: SparkSession, bronze: Callable[[str], DataFrame],
                 datasets: list[SilverDataset], validation: DateValidation = DateValidation(),
                 plan_only: bool = False, rebuild: bool = False, confirm: bool = False,
                 as_of=None, run_ts=None, table_prefix: str = "silver_",
-                buckets: int | None = None, only: str | None = None) -> DataFrame:
+                buckets: int | None = None, only: str | None = None,
+                keep_versions: int | None = None) -> DataFrame:
     """Run the Bronze -> Silver load; ``only`` restricts it to one
-    configured dataset (an unknown name is an error)."""
+    configured dataset (an unknown name is an error).  After a load,
+    ``keep_versions`` unregisters all but a table's newest ones (default:
+    all stay)."""
     if only is not None:
         datasets = [d for d in datasets if d.name == only]
         if not datasets:
             raise ConfigError(f"no dataset named {only!r} is configured")
-    loader = SilverLoad(spark, bronze, validation, table_prefix, buckets, as_of, run_ts)
+    loader = SilverLoad(spark, bronze, validation, table_prefix, buckets, as_of, run_ts, keep_versions)
     return loader.run(datasets, plan_only, rebuild, confirm)
 
 

@@ -12,7 +12,8 @@ With a ``run_id`` the same transaction first records the run in
 and is skipped, and of two runs at the same time the second one's insert
 fails, which rolls its merge back.
 
-An existing target is guarded: new columns are added, a changed key or
+Names are quoted part by part and found as they are written; the target
+schema qualifies names that have none.  An existing target is guarded: new columns are added, a changed key or
 an incompatible type is refused.
 
 Statements that Spark's JDBC source cannot issue (DDL, MERGE) run over
@@ -50,6 +51,11 @@ def _qi(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+def quoted(table: str) -> str:
+    """``schema.table`` with each part quoted, so it is found as it is written."""
+    return ".".join(_qi(p) for p in table.split("."))
+
+
 def column_ddl(field: T.StructField, url: str) -> str:
     types = _POSTGRES_TYPES if _dialect(url) == "postgres" else _DERBY_TYPES
     ct = catalog_type(field.dataType)
@@ -60,7 +66,7 @@ def create_table_sql(table: str, schema: T.StructType, pk: list[str], url: str)
     cols = [f"{_qi(f.name)} {column_ddl(f, url)}" + (" NOT NULL" if f.name in pk else "")
             for f in schema.fields]
     cols.append(f"PRIMARY KEY ({', '.join(_qi(k) for k in pk)})")
-    return f"CREATE TABLE {table} ({', '.join(cols)})"
+    return f"CREATE TABLE {quoted(table)} ({', '.join(cols)})"
 
 
 def runs_table(table: str) -> str:
@@ -71,28 +77,29 @@ def create_runs_sql(table: str, url: str) -> str:
     text = column_ddl(T.StructField("run_id", T.StringType()), url)
     # a key column: the widest type may be too long for an index
     text = text if _dialect(url) == "postgres" else "VARCHAR(200)"
-    return (f"CREATE TABLE {runs_table(table)} ({_qi('run_id')} {text} NOT NULL, "
+    return (f"CREATE TABLE {quoted(runs_table(table))} ({_qi('run_id')} {text} NOT NULL, "
             f"{_qi('n_rows')} BIGINT NOT NULL, PRIMARY KEY ({_qi('run_id')}))")
 
 
 def record_run_sql(table: str, run_id: str, n_rows: int) -> str:
     value = run_id.replace("'", "''")
-    return f"INSERT INTO {runs_table(table)} ({_qi('run_id')}, {_qi('n_rows')}) VALUES ('{value}', {n_rows:d})"
+    return f"INSERT INTO {quoted(runs_table(table))} ({_qi('run_id')}, {_qi('n_rows')}) VALUES ('{value}', {n_rows:d})"
 
 
 def find_run_sql(table: str, run_id: str) -> str:
     value = run_id.replace("'", "''")
-    return f"SELECT {_qi('n_rows')} FROM {runs_table(table)} WHERE {_qi('run_id')} = '{value}'"
+    return f"SELECT {_qi('n_rows')} FROM {quoted(runs_table(table))} WHERE {_qi('run_id')} = '{value}'"
 
 
 def add_column_sql(table: str, field: T.StructField, url: str) -> str:
-    return f"ALTER TABLE {table} ADD COLUMN {_qi(field.name)} {column_ddl(field, url)}"
+    return f"ALTER TABLE {quoted(table)} ADD COLUMN {_qi(field.name)} {column_ddl(field, url)}"
 
 
 def merge_sql(table: str, staging: str, columns: list[str], pk: list[str], url: str) -> str:
     """Insert-or-overwrite from staging; DO NOTHING when all columns are key."""
     non_key = [c for c in columns if c not in pk]
     cols = ", ".join(_qi(c) for c in columns)
+    table, staging = quoted(table), quoted(staging)
     if _dialect(url) == "postgres":
         action = ("DO UPDATE SET " + ", ".join(f"{_qi(c)} = EXCLUDED.{_qi(c)}" for c in non_key)
                   if non_key else "DO NOTHING")
@@ -106,10 +113,16 @@ def merge_sql(table: str, staging: str, columns: list[str], pk: list[str], url:
 
 
 class JdbcTarget:
-    def __init__(self, spark: SparkSession, url: str, properties: dict | None = None):
+    """A relational database; ``schema`` holds the tables named without one."""
+
+    def __init__(self, spark: SparkSession, url: str, properties: dict | None = None, schema: str | None = None):
         self.spark = spark
         self.url = url
         self.properties = dict(properties or {})
+        self.schema = schema
+
+    def full_name(self, table: str) -> str:
+        return f"{self.schema}.{table}" if self.schema and "." not in table else table
 
     def _connection(self):
         jvm = self.spark.sparkContext._jvm
@@ -147,22 +160,21 @@ class JdbcTarget:
             conn.close()
 
     @staticmethod
-    def _names(md, table: str) -> list[tuple[str | None, str]]:
-        """``(schema, table)`` spellings a name may be stored in, with the
-        wildcards of the metadata calls escaped."""
+    def _name(md, table: str) -> tuple[str | None, str]:
+        """``(schema, table)`` with the wildcards of the metadata calls escaped."""
         schema, _, name = table.rpartition(".")
         escape = md.getSearchStringEscape() or ""
 
         def plain(x: str) -> str:
             return "".join(escape + c if c in "_%" else c for c in x)
 
-        return [(plain(f(schema)) if schema else None, plain(f(name))) for f in (str, str.upper, str.lower)]
+        return plain(schema) if schema else None, plain(name)
 
     def table_exists(self, table: str) -> bool:
         conn = self._connection()
         try:
             md = conn.getMetaData()
-            return any(md.getTables(None, s, t, None).next() for s, t in self._names(md, table))
+            return bool(md.getTables(None, *self._name(md, table), None).next())
         finally:
             conn.close()
 
@@ -170,21 +182,17 @@ class JdbcTarget:
         """Key columns of an existing table (no order)."""
         conn = self._connection()
         try:
-            md = conn.getMetaData()
-            schema, _, name = table.rpartition(".")
-            for f in (str, str.upper, str.lower):      # this call takes no patterns
-                rs, out = md.getPrimaryKeys(None, f(schema) if schema else None, f(name)), []
-                while rs.next():
-                    out.append(rs.getString("COLUMN_NAME"))
-                if out:
-                    return out
-            return []
+            schema, _, name = table.rpartition(".")     # this call takes no patterns
+            rs, out = conn.getMetaData().getPrimaryKeys(None, schema or None, name), []
+            while rs.next():
+                out.append(rs.getString("COLUMN_NAME"))
+            return out
         finally:
             conn.close()
 
     def existing_columns(self, table: str) -> list[tuple[str, str]]:
         """``(column, catalog type)`` of an existing table (no row is read)."""
-        return schema_pairs(self.read(f"(SELECT * FROM {table} WHERE 1 = 0) t").schema)
+        return schema_pairs(self.read(f"(SELECT * FROM {quoted(table)} WHERE 1 = 0) t").schema)
 
     def read(self, table: str) -> DataFrame:
         return (self.spark.read.format("jdbc").option("url", self.url).option("dbtable", table)
@@ -217,6 +225,7 @@ class JdbcTarget:
         """Stage ``df`` and merge it into ``table`` by ``pk``; returns the
         number of staged rows.  A ``run_id`` that is recorded already is
         not staged again (its recorded number is returned)."""
+        table = self.full_name(table)
         self.ensure_table(table, df.schema, pk)
         if run_id is not None:
             done = self.finished(table, run_id)
@@ -224,7 +233,7 @@ class JdbcTarget:
                 return done
             if not self.table_exists(runs_table(table)):
                 self.execute(create_runs_sql(table, self.url))
-        staging = f"{table}_STG_{uuid.uuid4().hex[:8]}".upper()
+        staging = f"{table}_stg_{uuid.uuid4().hex[:8]}"
         batch = safe_batch_size(batch_size, len(df.columns))
         try:
             n = self.stage(df, staging, batch, max_connections)
@@ -234,7 +243,7 @@ class JdbcTarget:
                 self.execute(*record, *merge)        # one transaction: both or neither
         finally:
             if self.table_exists(staging):
-                self.execute(f"DROP TABLE {staging}")
+                self.execute(f"DROP TABLE {quoted(staging)}")
         return n
 
     def stage(self, df: DataFrame, staging: str, batch: int, max_connections: int) -> int:
@@ -242,7 +251,7 @@ class JdbcTarget:
         rows = Observation(f"staged_{uuid.uuid4().hex[:8]}")
         # the source is computed at full width; only the insert runs in a few sessions
         staged = df.observe(rows, F.count(F.lit(1)).alias("n")).repartition(max_connections)
-        writer = (staged.write.format("jdbc").option("url", self.url).option("dbtable", staging)
+        writer = (staged.write.format("jdbc").option("url", self.url).option("dbtable", quoted(staging))
                   .option("batchsize", batch).options(**self.properties).mode("errorifexists"))
         if _dialect(self.url) == "standard":     # other targets: the types of Spark's own dialect
             writer = writer.option("createTableColumnTypes", ", ".join(
