@@ -40,24 +40,6 @@ def catalog_type(dt: T.DataType) -> str:
     return "string"
 
 
-def catalog_type_sql(type_col: Column) -> Column:
-    """Same mapping applied to a column of SQL type names (any engine's
-    spelling, e.g. from ``DESCRIBE``): used to compare schemas as data."""
-    t = F.upper(F.trim(type_col))
-    return (F.when(t.endswith("]") | t.startswith("ARRAY") | t.startswith("MAP")
-                   | t.startswith("STRUCT"), F.lit("string"))
-            .when(t == "BOOLEAN", "boolean")
-            .when(t.isin("TINYINT", "SMALLINT", "INTEGER", "INT"), "int")
-            .when(t.isin("BIGINT", "HUGEINT"), "bigint")
-            .when(t.isin("FLOAT", "REAL"), "float")
-            .when(t == "DOUBLE", "double")
-            .when(t == "DATE", "date")
-            .when(t.startswith("TIMESTAMP"), "timestamp")
-            .when(t.startswith("DECIMAL"), F.lower(F.regexp_replace(t, r"\s", "")))
-            .when(t.isin("BLOB", "BINARY"), "binary")
-            .otherwise("string"))
-
-
 def is_date_type(dt: T.DataType) -> bool:
     return isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType))
 
@@ -110,13 +92,6 @@ _SQL_TYPE_NAMES = {
 }
 
 
-def sql_type_name(dt: T.DataType) -> str:
-    ct = catalog_type(dt)
-    if ct.startswith("decimal"):
-        return ct.upper()
-    return _SQL_TYPE_NAMES[ct]
-
-
 def parse_type(name: str) -> T.DataType:
     """A declared column type (Spark DDL or a common SQL spelling) as a
     Spark ``DataType``."""

@@ -28,11 +28,6 @@ def gold_source(silver: DataFrame, table: GoldTable, watermark=None,
     return map_columns(src, table.columns)
 
 
-def next_watermark(silver_slice: DataFrame, table: GoldTable, previous=None) -> DataFrame:
-    """One row: the new high-water mark (never below ``previous``)."""
-    return watermark_max(silver_slice, table.watermark_column, previous)
-
-
 def gold_upsert(target: DataFrame, source: DataFrame, table: GoldTable,
                 duplicates: str = "error", partitions: int | None = None) -> DataFrame:
     return upsert(target, source, list(table.primary_keys), duplicates=duplicates,

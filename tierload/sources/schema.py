@@ -30,10 +30,6 @@ def infer_schema(spark: SparkSession, samples: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(rows, SCHEMA_ROWS)
 
 
-def schema_frame(spark: SparkSession, dataset: str, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame(schema_rows(dataset, schema), SCHEMA_ROWS)
-
-
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
@@ -45,7 +41,3 @@ def table_columns(spark: SparkSession, name: str) -> DataFrame:
     schema = spark.table(name).schema
     rows = [(c.name, catalog_type(schema[c.name].dataType)) for c in cols]
     return spark.createDataFrame(rows, "column_name string, data_type string")
-
-
-def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
