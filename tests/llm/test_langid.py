@@ -67,6 +67,50 @@ def test_expected_counts_match_enumeration(pieces):
     assert np.allclose(into, want, rtol=1e-9, atol=1e-12)
 
 
+def test_lattice_holds_every_piece(pieces):
+    """Each piece inside each part is an edge, sorted by its end; sweeps are ranges of nodes."""
+    number = {x: i for i, x in enumerate(pieces)}
+    pool = L.Pieces(pieces)
+    assert sum(len(known) - 1 for _, _, _, known, _ in pool.levels) == len({x[:m] for x in pieces for m in range(1, len(x) + 1)})
+    words = [*WORDS, WORDS[0], ("é中" * 40).encode(), b"\x00\x00"]
+    data, start, end = spans(words)
+    word, first, a, z = L.word_parts(data, start, end)
+    parts = [b" " * f + data[s:e].tobytes() for f, s, e in zip(first, a, z, strict=True)]
+    lat = L.Lattice(pool, data, start, end)
+    assert (np.diff(lat.dst) >= 0).all() and (np.diff(lat.size) <= 0).all() and lat.word.tolist() == word[lat.by].tolist()
+    node = {(int(lat.column[t]) + j): (int(lat.by[j]), t) for t, n in enumerate(lat.width) for j in range(n)}
+    got = sorted((*node[s], node[d][1], i) for s, d, i in zip(lat.src.tolist(), lat.dst.tolist(), lat.piece.tolist(), strict=True))
+    assert all(node[s][0] == node[d][0] for s, d in zip(lat.src.tolist(), lat.dst.tolist(), strict=True))
+    assert got == sorted((k, s, e, number[w[s:e]]) for k, w in enumerate(parts) for s in range(len(w)) for e in range(s + 1, len(w) + 1)
+                         if w[s:e] in number)
+
+
+def test_positions_are_followed_only_while_a_piece_begins():
+    """Longer lengths of the vocabulary are not looked at once no position's bytes begin a piece."""
+    pool = L.Pieces(sorted({bytes([i]) for i in range(256)} | {b"ab", b"zzzzzzzz"}))
+    assert len(pool.levels) == 8
+    pool.levels[3:] = [None] * 5  # reading one fails
+    p = L.smoothed(np.ones((2, len(pool))))
+    assert np.isfinite(L.log_probabilities(pool, p, *spans([b"abab" * 10, b"zzx", b"b"]))).all()
+
+
+def test_chunks_do_not_matter(pieces, monkeypatch):
+    r = np.random.default_rng(5)
+    pool, p = L.Pieces(pieces), r.dirichlet(np.ones(len(pieces)), 2)
+    words = [*WORDS, ("é中" * 100).encode(), *WORDS]
+    lang, n = np.arange(len(words)) % 2, np.arange(1, len(words) + 1)
+
+    def both():
+        into = np.zeros(p.shape)
+        L.expected_pieces(pool, p, pa.array(words, pa.binary()), lang, n, into)
+        return L.log_probabilities(pool, p, *spans(words)), into
+
+    (a, x) = both()
+    monkeypatch.setattr(L, "NODES", 1)
+    (b, y) = both()
+    assert np.allclose(a, b, rtol=1e-12) and np.allclose(x, y, rtol=1e-9, atol=1e-12)
+
+
 def test_long_words_are_scored_in_parts(pieces):
     """Whole, within the range of doubles, and never inside a character."""
     words = [("é中" * 4000).encode(), b"z" * 59 + "中".encode() + b"q" * 100, b"\x80" * 500, b"a"]

@@ -18,7 +18,9 @@ probability is the product over its words.
    languages; a text's languages compete by posterior probability, with
    the languages' shares of the training texts as prior.
 
-All words of a block advance one byte at a time.  A share ``FLOOR`` of the
+All words of a block advance one byte at a time.  The pieces that begin at
+a position are found by walking on as long as its bytes begin a piece, so
+the work follows the beginnings found, not the lengths of the vocabulary.  A share ``FLOOR`` of the
 probability is spread evenly over the vocabulary, at every corpus size;
 with it and the factor ``TILT`` per byte (taken out again), a word of
 ``PART`` bytes stays within the range of doubles.  Longer words are
@@ -49,12 +51,11 @@ ROUNDS, FLOOR, PART = 3, 1e-3, 60
 TILT = 10.0 ** 3.5
 FIXED = 1 << 10
 BLOCK_BYTES = 4 << 20
-NODES = 1 << 21  # nodes x languages of one pass
-TOP_BITS = 18
+NODES = 1 << 18  # nodes x languages of one pass
 UNKNOWN = "und"
 
 _P = np.uint64(0x9E3779B97F4A7C15)
-_P_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
+_END = 256  # after a part; no byte
 
 
 def vocabulary(path: str) -> list[bytes]:
@@ -69,98 +70,123 @@ def vocabulary(path: str) -> list[bytes]:
 
 
 class Pieces:
-    """Piece numbers by length and hash; a bit per top of a hash rules out most other byte strings first."""
+    """Pieces and all beginnings of pieces by length and hash, with the piece's number or -1; the top of a hash tells where to look."""
 
     def __init__(self, pieces: list[bytes]) -> None:
         self.sizes = np.array([len(p) for p in pieces])
-        self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for m in np.unique(self.sizes):
-            ids = np.flatnonzero(self.sizes == m)
-            raw = np.frombuffer(b"".join(pieces[i] for i in ids), np.uint8).reshape(len(ids), m)
-            h = (raw * _powers(_P, int(m))).sum(axis=1, dtype=np.uint64)
-            order = np.argsort(h)
-            maybe = np.zeros(1 << TOP_BITS, bool)
-            maybe[h >> np.uint64(64 - TOP_BITS)] = True
-            self.by_size[int(m)] = maybe, h[order], ids[order]
+        self.longest = int(self.sizes.max())
+        raw = np.zeros((len(pieces), self.longest), np.uint8)
+        raw[np.arange(self.longest) < self.sizes[:, None]] = np.frombuffer(b"".join(pieces), np.uint8)
+        h = np.zeros(len(pieces), np.uint64)
+        self.levels: list[tuple] = []
+        for m, power in enumerate(np.cumprod(np.full(self.longest, _P), dtype=np.uint64), 1):
+            live = np.flatnonzero(self.sizes >= m)
+            h[live] += raw[live, m - 1] * power
+            known, at = np.unique(h[live], return_inverse=True)
+            ids = np.full(len(known) + 1, -1)
+            whole = self.sizes[live] == m
+            ids[at[whole]] = live[whole]
+            bits = len(known).bit_length() + 2
+            top = np.searchsorted(known, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+            self.levels.append((power, np.uint64(64 - bits), top.astype(np.int32), np.append(known, ~np.uint64(0)), ids))
 
     def __len__(self) -> int:
         return len(self.sizes)
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
 class Lattice:
     """All pieces inside each of a number of words: edges between byte positions.
 
-    A node is a position in a part of a word; ``word``: the word of each
-    part; ``begin``/``stop``: its first and last node.
+    A node is a position in a part of a word.  The parts are sorted by
+    size, longest first (``by``: their former places; ``word``: the word of
+    each), and nodes are numbered position by position, so that a step of a
+    sweep is one range of nodes and of edges.  Each node but a part's first
+    has an edge into it, each but its last (``stop``) one out of it, as all
+    single bytes are pieces.  Edges are sorted by their end and length.
     """
 
     def __init__(self, pieces: Pieces, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
-        self.word, first, a, z = word_parts(data, start, end)
-        size = z - a + first
-        off = np.concatenate([[0], np.cumsum(size)])
-        n = off[-1]
-        part = np.repeat(np.arange(len(size)), size)
-        flat = np.full(n, 0x20, np.uint8)
-        place = np.arange(n) - off[part]
-        inner = place >= first[part]
+        word, first, a, z = word_parts(data, start, end)
+        self.by = np.argsort(a - z - first, kind="stable")
+        self.word, first, a, z = (x[self.by] for x in (word, first, a, z))
+        self.size = z - a + first
+        self.width = np.cumsum(np.bincount(self.size, minlength=1)[::-1])[::-1]  # parts that have each position
+        self.column = np.concatenate([[0], np.cumsum(self.width)])
+        self.nodes = int(self.column[-1])
+        self.stop = self.column[self.size] + np.arange(len(self.size))
+        # bytes part by part, an _END behind each
+        part = np.repeat(np.arange(len(self.size)), self.size + 1)
+        off = np.cumsum(self.size + 1) - self.size - 1
+        place = np.arange(self.nodes) - off[part]
+        number = self.column[place] + part
+        flat = np.full(self.nodes + pieces.longest, _END, np.uint16)
+        flat[off[first > 0]] = 0x20
+        inner = np.flatnonzero((place >= first[part]) & (place < self.size[part]))
         flat[inner] = data[(a - first)[part[inner]] + place[inner]]
-        self.begin = off[:-1] + np.arange(len(size))
-        self.stop = self.begin + size
-        self.nodes = int(n) + len(size)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(flat * _powers(_P, n), dtype=np.uint64)])
-        back = _powers(_P_INVERSE, n)
-        src, dst, ids, to = [], [], [], []
-        longest = int(place.max(initial=-1)) + 1
-        for m, (maybe, known, of) in pieces.by_size.items():
-            if m > longest:
-                continue
-            e = np.flatnonzero(place >= m - 1)
-            s = e + 1 - m
-            h = (sums[e + 1] - sums[s]) * back[s]
-            may = np.flatnonzero(maybe[h >> np.uint64(64 - TOP_BITS)])
-            e, s, h = e[may], s[may], h[may]
-            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            hit = known[at] == h
-            e, s = e[hit], s[hit]
-            src.append(s + part[e])
-            dst.append(e + 1 + part[e])
-            ids.append(of[at[hit]])
-            to.append(place[e] + 1)
-        src, dst, ids, to = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (src, dst, ids, to))
-        order = np.lexsort((dst, to))
-        self.src, self.dst, self.piece, self.to = src[order], dst[order], ids[order], to[order]
-        self.part = self._part_of(self.dst)
-
-    def _part_of(self, nodes: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.begin, nodes, side="right") - 1
+        # from each position, as long as its bytes begin a piece
+        s = np.flatnonzero(flat[:self.nodes] != _END)
+        h = np.zeros(len(s), np.uint64)
+        src, dst, ids = [], [], []
+        for m, (power, shift, top, known, of) in enumerate(pieces.levels):
+            h = h + flat[s + m] * power
+            at = top[(h >> shift).view(np.int64)].astype(np.int64)
+            late = np.flatnonzero(known[at] < h)
+            while len(late):
+                at[late] += 1
+                late = late[known[at[late]] < h[late]]
+            on = np.flatnonzero(known[at] == h)
+            s, h = s[on], h[on]
+            if not len(s):
+                break
+            piece = of[at[on]]
+            whole = np.flatnonzero(piece >= 0)
+            src.append(number[s[whole]])
+            dst.append(number[s[whole] + m + 1])
+            ids.append(piece[whole])
+        self.first, self._at = _dealt(self.nodes, dst)
+        self._src, self._dst = src, dst
+        self.src, self.piece = (_put(self._at, x) for x in (src, ids))
+
+    @property
+    def dst(self) -> np.ndarray:
+        return np.repeat(np.arange(self.nodes), np.diff(self.first))
 
     def forward(self, q: np.ndarray) -> np.ndarray:
         """Sum over all ways to reach each node; ``q``: (edges, ...) probabilities."""
-        return _sweep(self.nodes, self.begin, self.src, self.dst, self.to, q)
+        out = np.ones((self.nodes, *q.shape[1:]))
+        for a, z in zip(self.column[1:-1], self.column[2:], strict=True):
+            first = self.first[a:z + 1]
+            e = slice(first[0], first[-1])
+            out[a:z] = np.add.reduceat(out[self.src[e]] * q[e], first[:-1] - first[0], axis=0)
+        return out
 
     def backward(self, q: np.ndarray) -> np.ndarray:
         """Sum over all ways from each node to the end of its part."""
-        left = self.stop[self.part] - self.src  # bytes from an edge's source to the end
-        order = np.lexsort((self.src, left))
-        return _sweep(self.nodes, self.stop, self.dst[order], self.src[order], left[order], q[order])
+        start, at = _dealt(self.nodes, self._src)
+        dst, edge = _put(at, self._dst), _put(at, self._at)
+        out = np.ones((self.nodes, *q.shape[1:]))
+        for a, n in zip(self.column[-3::-1], self.width[:0:-1], strict=True):
+            first = start[a:a + n + 1]
+            e = slice(first[0], first[-1])
+            out[a:a + n] = np.add.reduceat(out[dst[e]] * q[edge[e]], first[:-1] - first[0], axis=0)
+        return out
 
 
-def _sweep(nodes: int, seeds: np.ndarray, src: np.ndarray, dst: np.ndarray, step: np.ndarray, q: np.ndarray) -> np.ndarray:
-    out = np.zeros((nodes, *q.shape[1:]))
-    out[seeds] = 1.0
-    if not len(src):
-        return out
-    cut = np.flatnonzero(np.append(True, step[1:] != step[:-1]))
-    for a, z in zip(cut, np.append(cut[1:], len(step)), strict=True):
-        to = dst[a:z]
-        first = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
-        out[to[first]] = np.add.reduceat(out[src[a:z]] * q[a:z], first, axis=0)
+def _dealt(nodes: int, groups: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(first place of each node, place of each entry) with entries sorted by node, then group; no group repeats a node."""
+    count = np.bincount(np.concatenate(groups), minlength=nodes) if groups else np.zeros(nodes, np.int64)
+    first = np.concatenate([[0], np.cumsum(count)])
+    free, at = first[:-1].copy(), []
+    for g in groups:
+        at.append(free[g])
+        free[g] += 1
+    return first, at
+
+
+def _put(at: list[np.ndarray], values: list[np.ndarray]) -> np.ndarray:
+    out = np.empty(sum(map(len, at)), np.int64)
+    for i, v in zip(at, values, strict=True):
+        out[i] = v
     return out
 
 
@@ -211,11 +237,13 @@ def expected_pieces(pieces: Pieces, p: np.ndarray, words: pa.Array, lang: np.nda
     tilted = p * TILT ** pieces.sizes
     for s in _chunks(np.diff(off), 4):
         lat = Lattice(pieces, data, off[:-1][s], off[1:][s])
-        of = lat.word[lat.part]
+        dst = lat.dst
+        part = (np.arange(lat.nodes) - np.repeat(lat.column[:-1], lat.width))[dst]
+        of = lat.word[part]
         row = lang[s][of]
         q = tilted[row, lat.piece]
         alpha, beta = lat.forward(q), lat.backward(q)
-        share = alpha[lat.src] * q * beta[lat.dst] / alpha[lat.stop][lat.part] * n[s][of]
+        share = alpha[lat.src] * q * beta[dst] / alpha[lat.stop][part] * n[s][of]
         into += np.bincount(row * into.shape[1] + lat.piece, weights=share, minlength=into.size).reshape(into.shape)
 
 
@@ -225,9 +253,11 @@ def log_probabilities(pieces: Pieces, p: np.ndarray, data: np.ndarray, start: np
     tilted = np.ascontiguousarray((p * TILT ** pieces.sizes).T)
     for s in _chunks(end - start, len(p)):
         lat = Lattice(pieces, data, start[s], end[s])
-        total = np.log(lat.forward(tilted[lat.piece])[lat.stop]) - ((lat.stop - lat.begin) * np.log(TILT))[:, None]
-        first = np.flatnonzero(np.append(True, lat.word[1:] != lat.word[:-1]))
-        out[s] = np.add.reduceat(total, first, axis=0)
+        total = np.log(lat.forward(tilted[lat.piece])[lat.stop]) - (lat.size * np.log(TILT))[:, None]
+        total[lat.by] = total.copy()
+        word = np.empty_like(lat.word)
+        word[lat.by] = lat.word
+        out[s] = np.add.reduceat(total, np.flatnonzero(np.append(True, word[1:] != word[:-1])), axis=0)
     return out
 
 
